@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpline.llm import nearest, splits, tokens
+from kelpline.llm import mixture, nearest, percentiles, splits, subjects, tokens
 from kelpline.runtime import materialize, read
 
 SPLITS = {"train": 0.8, "validation": 0.1, "test": 0.1}
@@ -44,9 +44,99 @@ def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return tokens.round_trip(read(spark, d, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_splits": p2_splits, "p2_report": p2_report, "p3_found": p3_found, "p7_ids": p7_ids, "p7_round_trip": p7_round_trip}
+GROUPS = ["metric", "dataset", "robot", "month"]
+
+
+def _numbers(spark: SparkSession, d: str) -> DataFrame:
+    return percentiles.episode_numbers(read(spark, d, "episodes"), read(spark, d, "episodes_stats"))
+
+
+def p4_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """Exact percentiles of each dataset, robot and month, and, with a null month, of all months."""
+    return percentiles.percentiles(percentiles.with_totals(_numbers(spark, d)), GROUPS, "value")
+
+
+def p4_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Exact percentiles of each metric over everything: few and large groups."""
+    return percentiles.percentiles(_numbers(spark, d), ["metric"], "value", (10, 250, 500, 750, 990))
+
+
+def p4_combined(spark: SparkSession, d: str) -> DataFrame:
+    """Bounds of the percentiles of each dataset and robot from the added histograms of single months."""
+    months = percentiles.histogram(_numbers(spark, d), GROUPS, "value")
+    rest = ["metric", "dataset", "robot"]
+    return percentiles.from_histogram(percentiles.combine(months, rest), rest)
+
+
+def _sizes(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.count_tokens(read(spark, d, "documents").select("doc_id", "source", "text"))
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.mix(_sizes(spark, d), read(spark, d, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.mix_report(p8_mix(spark, d), read(spark, d, "mix_targets"))
+
+
+def _classified(spark: SparkSession, d: str):
+    return subjects.classify(read(spark, d, "documents"), read(spark, d, "subject_labels"), read(spark, d, "subjects"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _classified(spark, d)[0].select("doc_id", "subject_id")
+
+
+def p9_composition(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and characters by source and subject; a document with several subjects counts under each, one with none under null."""
+    docs = read(spark, d, "documents").select("doc_id", mixture.clean_source(F.col("source")).alias("source"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
+    found = docs.join(_classified(spark, d)[0].select("doc_id", "subject_id"), "doc_id", "left")
+    return found.groupBy("source", "subject_id").agg(F.count("*").alias("n_docs"), F.sum("chars").alias("n_chars"))
+
+
+def p9_leaves(spark: SparkSession, d: str) -> DataFrame:
+    """The leaves of the tree, their labels and their most discriminative terms."""
+    tree = _classified(spark, d)[1]
+    rows = [] if tree.empty else [(i, int(s), t) for i, (s, t) in enumerate(zip(tree.labels, tree.terms))]
+    return spark.createDataFrame(rows, "leaf int, subject_id long, terms array<string>")
+
+
+QUERIES = {
+    "p2_found": p2_found, "p2_splits": p2_splits, "p2_report": p2_report, "p3_found": p3_found, "p4_percentiles": p4_percentiles, "p4_metrics": p4_metrics, "p4_combined": p4_combined,
+    "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_composition": p9_composition, "p9_leaves": p9_leaves,
+}
+
+_NUMBERS = r"""
+with e as (
+  select episode_index, arg_max(struct_pack(dataset := dataset, robot := robot, length := length), (ingested_at, length, dataset, robot)) as r,
+         bool_or(deleted_at is not null) as gone, min(ingested_at) as arrived
+  from episodes where episode_index is not null group by 1
+), live as (select episode_index, r.dataset as dataset, r.robot as robot, r.length as length, arrived from e where not gone
+), s as (
+  select * from (select *, row_number() over (partition by episode_index order by written_at desc, stats desc) as nr
+    from episodes_stats where episode_index is not null and json_valid(stats)) where nr = 1
+), f as (select episode_index, written_at, stats, unnest(json_keys(stats)) as feature from s
+), g as (select episode_index, written_at, feature, json_extract(stats, '$."' || feature || '"') as o from f
+), h as (select episode_index, written_at, feature, o, unnest(json_keys(o)) as stat from g
+), t as (select episode_index, written_at, feature || '/' || stat as metric, unnest(string_split(regexp_replace(cast(json_extract(o, '$."' || stat || '"') as varchar), '[\[\]\s"]', '', 'g'), ',')) as x from h
+), numbers as (
+  select 'length' as metric, dataset, robot, strftime(arrived, '%Y-%m') as month, cast(length as double) as value from live where length between 1 and 100000000
+  union all
+  select metric, dataset, robot, strftime(written_at, '%Y-%m'), try_cast(x as double) from t join live using (episode_index)
+  where abs(try_cast(x as double)) <= 1e9 and not isnan(try_cast(x as double))
+)
+"""
 
 ORACLE = {
+    "p4_percentiles": _NUMBERS + """
+, both_ as (select * from numbers union all select metric, dataset, robot, null, value from numbers),
+ranked as (select *, row_number() over (partition by metric, dataset, robot, month order by value) as nr, count(*) over (partition by metric, dataset, robot, month) as n from both_)
+select metric, dataset, robot, month, permille, n, value from ranked, (select unnest([500, 900, 990])::int as permille)
+where nr = greatest(1, (n * permille + 999) // 1000)""",
+    "p4_metrics": _NUMBERS + """
+, ranked as (select *, row_number() over (partition by metric order by value) as nr, count(*) over (partition by metric) as n from numbers)
+select metric, permille, n, value from ranked, (select unnest([10, 250, 500, 750, 990])::int as permille) where nr = greatest(1, (n * permille + 999) // 1000)""",
     "p2_found": r"""
 with recursive part as (
   select distinct episode_index, unnest(regexp_split_to_array(source_bag, '[,;+|]')) as s from episodes where source_bag is not null
