@@ -66,7 +66,7 @@ def _packer(columns: list[str], block_bytes: int):
     def encode(rows: pa.Table) -> bytes:
         sink = pa.BufferOutputStream()
         body = rows.select(columns).combine_chunks()
-        with pa.ipc.new_stream(sink, body.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        with pa.ipc.new_stream(sink, body.schema) as w:
             w.write_table(body)
         return sink.getvalue().to_pybytes()
 
@@ -130,6 +130,11 @@ def pack(frames: DataFrame, files: DataFrame, info: DataFrame, target_bytes: int
     return f.mapInArrow(_packer(frames.columns, block_bytes), STORE)
 
 
+def write(store: DataFrame) -> DataFrame:
+    """The store as a written table. Payloads are compressed block by block, across the members' like headers."""
+    return materialize(store, "store", compression="zstd")
+
+
 def index_of(store: DataFrame) -> DataFrame:
     """The members of a store: container, block, path, offset, length, checksum, rows and key ranges."""
     return store.select(*INDEX).filter("length is not null")
@@ -197,4 +202,4 @@ def distinct_records(rows: DataFrame) -> DataFrame:
 
 def packed_overlaps(frames: DataFrame, files: DataFrame, info: DataFrame, **size: int) -> DataFrame:
     """Pack, then tell from the written index which files hold a same record."""
-    return overlapping_files(index_of(materialize(pack(frames, files, info, **size), "store")))
+    return overlapping_files(index_of(write(pack(frames, files, info, **size))))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline.operators import archive, orphans, spikes
-from kelpline.runtime import materialize, read
+from kelpline.runtime import read
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -38,12 +38,12 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_index(spark: SparkSession, d: str) -> DataFrame:
-    return archive.index_of(materialize(_store(spark, d), "store")).drop("records")
+    return archive.index_of(archive.write(_store(spark, d))).drop("records")
 
 
 def p6_records(spark: SparkSession, d: str) -> DataFrame:
     frames = read(spark, d, "hdf5_frames")
-    rows = archive.unpack(materialize(_store(spark, d), "store"), frames.select("file_id", "episode_idx", "frame_index", "task_index", "robot"))
+    rows = archive.unpack(archive.write(_store(spark, d)), frames.select("file_id", "episode_idx", "frame_index", "task_index", "robot"))
     return archive.distinct_records(rows).select("episode_idx", "frame_index", "file_id", "robot", F.col("task_index").alias("task_index"))
 
 

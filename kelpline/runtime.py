@@ -32,14 +32,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, label: str = "t") -> DataFrame:
+def materialize(df: DataFrame, label: str = "t", **options: str) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage and survives the loss of executors, since the files lie in storage all of them share.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/kelpline-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _scratch.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
