@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from kelpline.plans import corpus
+from kelpline.plans import corpus, logs
 
-QUERIES = corpus.QUERIES
-ORACLE = corpus.ORACLE
+_PLANS = (logs, corpus)
+QUERIES = {k: v for p in _PLANS for k, v in p.QUERIES.items()}
+ORACLE = {k: v for p in _PLANS for k, v in p.ORACLE.items()}
