@@ -62,7 +62,7 @@ def merge(sources: Dataset, source: str, episode_order: str, task_order: str = "
     """All sources in one dataset; every table has a ``source`` column, whose values are taken in ascending order.
 
     Episodes keep their order within the source. Tasks are merged by text. The frames of an episode get the new number
-    of the task of its first frame; tasks without a text keep their number. Statistics follow their episodes.
+    of the task of its first frame; tasks without a text keep their number, of a number's several texts the first in the alphabet counts. Statistics follow their episodes.
     """
     e = renumber(sources.episodes, source, episode_order)
     tasks, frames, stats = sources.tasks, sources.frames, sources.stats
@@ -70,7 +70,7 @@ def merge(sources: Dataset, source: str, episode_order: str, task_order: str = "
         dictionary = task_dictionary(tasks, source, task_order)
     if frames is not None:
         if tasks is not None and "task_index" in frames.columns:
-            to = tasks.select(F.col(source).alias("t_source"), F.col("task_index").alias("t_old"), "task").dropDuplicates(["t_source", "t_old"]).join(dictionary.withColumnRenamed("task_index", "t_new"), "task").drop("task")
+            to = tasks.groupBy(F.col(source).alias("t_source"), F.col("task_index").alias("t_old")).agg(F.min("task").alias("task")).join(dictionary.withColumnRenamed("task_index", "t_new"), "task").drop("task")
             first = F.first(F.col("task_index")).over(Window.partitionBy(source, frame_episode).orderBy(sources.order))
             frames = frames.withColumn("first_task", first).join(small(to), (F.col(source) == F.col("t_source")) & (F.col("first_task") == F.col("t_old")), "left")
             kind = dict(sources.frames.dtypes)["task_index"]
