@@ -62,7 +62,8 @@ def shapes(parsed: DataFrame) -> DataFrame:
     A material given by name only is looked up in the robot's; one given inline wins. Without any the colour is null.
     """
     r = parsed.select(F.col("robot._name").alias("robot"), F.coalesce("robot.material", F.array()).alias("ms"), F.explode("robot.link").alias("l"))
-    both = F.concat(*[F.transform(F.coalesce(F.col(f"l.{c}"), F.array()), lambda p, c=c: F.struct(F.lit(c).alias("role"), p.alias("p"))) for c in ("visual", "collision")])
+    tagged = lambda c: F.transform(F.coalesce(F.col(f"l.{c}"), F.array()), lambda p: F.struct(F.lit(c).alias("role"), p.alias("p")))
+    both = F.concat(tagged("visual"), tagged("collision"))
     r = r.select("robot", "ms", F.col("l._name").alias("link"), F.posexplode(both).alias("ord", "x"))
     g, m = "x.p.geometry", F.col("x.p.material")
     known = F.try_element_at(F.filter("ms", lambda k: k["_name"] == F.col("x.p.material._name")), F.lit(-1))
@@ -112,9 +113,9 @@ def mimic_cycles(joints_: DataFrame) -> DataFrame:
 
 def require_no_cycles(joints_: DataFrame) -> DataFrame:
     """``joints_``, failing when it is read if joints mimic each other in a circle."""
-    n = mimic_cycles(joints_).agg(F.count("*").alias("n_cycles"))
-    ok = F.when(F.col("n_cycles") == 0, True).otherwise(F.raise_error(F.lit("joints mimic each other in an infinite loop")).cast("boolean"))
-    return joints_.crossJoin(F.broadcast(n)).filter(ok).drop("n_cycles")
+    bad = small(mimic_cycles(joints_).withColumn("in_cycle", F.lit(True)))
+    ok = F.when(F.col("in_cycle").isNull(), True).otherwise(F.raise_error(F.lit("joints mimic each other in an infinite loop")).cast("boolean"))
+    return joints_.join(bad, ["robot", "joint"], "left").filter(ok).drop("in_cycle")
 
 
 def set_values(joints_: DataFrame, requests: DataFrame, current: DataFrame | None = None, ignore_limits: bool = False) -> DataFrame:
