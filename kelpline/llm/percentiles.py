@@ -33,13 +33,13 @@ def key_value(key: Column) -> Column:
 def percentiles(values: DataFrame, groups: list[str], value: str, permille: tuple[int, ...] = (500, 900, 990), fanout: int = 16) -> DataFrame:
     """``groups, permille, n, value``: exact percentiles of each group, without null and NaN values.
 
-    Null group keys form groups. Groups of any size are counted in partial sums; no group is gathered in one place.
+    Null group keys form groups; keys must be types that JSON keeps (text, integers, booleans, dates). Groups of any size are counted in partial sums; no group is gathered in one place.
     A group without usable values has no rows. Ties and repeated rows count each.
     """
     grp = F.struct(*groups)
     keyed = values.select(F.to_json(grp, {"ignoreNullFields": "false"}).alias("grp"), order_key(F.col(value).cast("double")).alias("k")).filter("k is not null")
     keyed = materialize(keyed, "keys")
-    names = values.select(F.to_json(grp, {"ignoreNullFields": "false"}).alias("grp"), *groups).dropDuplicates(["grp"])
+    kinds = values.select(*groups).schema
     first = keyed.groupBy("grp").agg(F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi"))
     state = first.select("grp", "n", F.explode(F.array(*map(F.lit, permille))).alias("permille"), "lo", "hi")
     state = state.withColumns({"rank": F.greatest(F.lit(1).cast("long"), F.expr("(n * permille + 999) div 1000")), "below": F.lit(0).cast("long"), "inside": F.col("n")})
@@ -78,8 +78,8 @@ def percentiles(values: DataFrame, groups: list[str], value: str, permille: tupl
     found = keyed.join(small(rest.select("grp", "permille", "n", "lo", "hi", "rank", "below")), "grp").filter("k between lo and hi")
     listed = found.groupBy("grp", "permille", "n", "rank", "below").agg(F.array_sort(F.collect_list("k")).alias("ks"))
     listed = listed.select("grp", "permille", "n", F.element_at("ks", (F.col("rank") - F.col("below")).cast("int")).alias("k"))
-    out = done.unionByName(listed).join(names, "grp")
-    return out.select(*groups, "permille", "n", key_value(F.col("k")).alias("value"))
+    out = done.unionByName(listed).withColumn("g", F.from_json("grp", kinds))
+    return out.select(*[f"g.{c}" for c in groups], "permille", "n", key_value(F.col("k")).alias("value"))
 
 
 def histogram(values: DataFrame, groups: list[str], value: str) -> DataFrame:
