@@ -1,7 +1,7 @@
 """Readings a source cannot have had: spikes, stuck values, non-numbers and values beyond reach.
 
 One pass over the frames, vectorised over whole batches of episodes, takes from every reading its residual against
-the course of its neighbours (the seasonal part of a short recording), and gives, per source and slot, a log-binned
+the course of its neighbours (level and slope, the seasonal part of a short recording), and gives, per source and slot, a log-binned
 histogram of the residuals and of run lengths, plus the few readings that stand out within their own episode. A
 generalised Pareto law fitted to the histogram's peaks over threshold then sets the cutoff of each source and slot at a
 fixed risk, and the readings that stood out are held against it.
@@ -29,6 +29,8 @@ FIELDS = ("state", "chassis_state", "action")
 #: Slots of grippers, which rest at an end stop.
 GRIPPERS = {"state": (7, 15), "action": (7, 15)}
 END_STOPS = (0.0, 1.0)
+#: Slots of quaternions. A quaternion and its negative are the same turn, so a change of sign is a lasting move.
+TURNS = {f: (51, 52, 53, 54, 58, 59, 60, 61) for f in ("state", "action")}
 #: Frames of an episode that one group holds, and how many it sees of its neighbours.
 BLOCK, HALO = 2048, 32
 #: Half of the window whose median is the expected reading; a spike may last so many frames.
@@ -44,6 +46,8 @@ BOUNDS = {"inner": (4.5, 7.0), "edge": (3.5, 6.0)}
 RUNS = (8, 10)
 #: With fewer residuals than this a source's slot is judged by that of all sources.
 ENOUGH = 500
+#: Where even all sources have too few residuals at the ends of episodes, the inner cutoff times this holds there.
+EDGE = 1.5
 
 BINS, SHIFT = 116, 21
 _BASE = int(np.float32(2.0**-14).view(np.int32)) >> SHIFT
@@ -67,15 +71,31 @@ def bin_top(b: np.ndarray) -> np.ndarray:
     return np.where(b <= 0, 0.0, ((b + _BASE).astype(np.int32) << SHIFT).view(np.float32).astype(float))
 
 
-def _median9(x: np.ndarray) -> np.ndarray:
-    """Median of each row and the four before and after it, by a network of exchanges; the first and last four rows are not set."""
-    m = len(x) - 8
-    p = [x[i : i + m] for i in range(9)]
-    for i, j in ((1, 2), (4, 5), (7, 8), (0, 1), (3, 4), (6, 7), (1, 2), (4, 5), (7, 8), (0, 3), (5, 8), (4, 7), (3, 6), (1, 4), (2, 5), (4, 7), (4, 2), (6, 4), (4, 2)):
+#: Exchanges that bring the median of seven and of nine values to the middle.
+_SEVEN = ((0, 5), (0, 3), (1, 6), (2, 4), (0, 1), (3, 5), (2, 6), (2, 3), (3, 6), (4, 5), (1, 4), (1, 3), (3, 4))
+_NINE = ((1, 2), (4, 5), (7, 8), (0, 1), (3, 4), (6, 7), (1, 2), (4, 5), (7, 8), (0, 3), (5, 8), (4, 7), (3, 6), (1, 4), (2, 5), (4, 7), (4, 2), (6, 4), (4, 2))
+
+
+def _middle(p: list[np.ndarray], exchanges: tuple) -> np.ndarray:
+    for i, j in exchanges:
         p[i], p[j] = np.minimum(p[i], p[j]), np.maximum(p[i], p[j])
+    return p[len(p) // 2]
+
+
+def expected_course(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the four rows before and after each row make it out to be, and the slope there; the outer four rows are not set.
+
+    The slope is the median of the seven steps around, the expectation the median of the nine readings after they are
+    moved along it. So neither a steady move, nor a jump to another level in the midst of one, nor a spike of up to
+    four rows moves it.
+    """
+    m = len(x) - 8
+    d = x[1:] - x[:-1]
+    slope = np.full_like(x, np.nan)
+    slope[4:-4] = _middle([d[1 + i : 1 + i + m] for i in range(7)], _SEVEN)
     out = np.full_like(x, np.nan)
-    out[4:-4] = p[4]
-    return out
+    out[4:-4] = _middle([x[i : i + m] - np.float32(i - 4) * slope[4:-4] for i in range(9)], _NINE)
+    return out, slope
 
 
 def _matrix(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
@@ -100,8 +120,8 @@ def _matrix(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
 
 
 class _Measure:
-    def __init__(self, fields: tuple[str, ...], grippers: dict, stops: tuple[float, ...]):
-        self.fields, self.grippers, self.stops = fields, grippers, stops
+    def __init__(self, fields: tuple[str, ...], grippers: dict, stops: tuple[float, ...], turns: dict):
+        self.fields, self.grippers, self.stops, self.turns = fields, grippers, stops, turns
         self.sources: dict[str | None, int] = {}
         self.hist: dict[tuple[str, str], np.ndarray] = {}
         self.out: list[pa.RecordBatch] = []
@@ -160,7 +180,15 @@ class _Measure:
         i = np.arange(n)
         finite = np.isfinite(X)
         bad = ~finite if none is None else ~finite & ~none
-        clean = np.where(np.isnan(X), np.float32(np.inf), X) if not finite.all() else X
+        clean = X
+        if not finite.all():
+            # what is no number gives way to the reading before it (or, at the start, after it) in the same episode
+            known = np.where(finite, i[:, None], -1)
+            before = np.maximum.accumulate(known, axis=0)
+            after = np.minimum.accumulate(np.where(finite, i[:, None], n)[::-1], axis=0)[::-1]
+            take = np.where(before >= lo[:, None], before, np.where(after < hi[:, None], after, 0))
+            clean = np.take_along_axis(X, take, axis=0)
+            clean = np.where(np.isfinite(clean), clean, np.float32(0))
         names = pa.array(list(self.sources), pa.string())
 
         def put(kind, r, slot, x):
@@ -177,17 +205,14 @@ class _Measure:
 
         with np.errstate(invalid="ignore", over="ignore"):
             if n >= 9:
-                M = _median9(clean)
+                M, slope = expected_course(clean)
                 inner = (i - lo >= HALF) & (hi - 1 - i >= HALF)
                 expected = M
                 long = (size[g] >= 9) & ~inner
                 if long.any():
                     e = np.flatnonzero(long)
                     c = np.clip(e, lo[e] + HALF, hi[e] - 1 - HALF)
-                    left = e < c
-                    step = np.where(size[g][e] >= 13, np.where(left, 4, -4), 0)
-                    slope = np.where(step[:, None] != 0, (M[c + step] - M[c]) / np.where(step == 0, 1, step)[:, None], 0)
-                    expected[e] = M[c] + slope.astype(np.float32) * (e - c)[:, None].astype(np.float32)
+                    expected[e] = M[c] + slope[c] * (e - c)[:, None].astype(np.float32)
             else:
                 inner, expected = np.zeros(n, bool), np.full_like(X, np.nan)
             for k in np.flatnonzero((size >= 3) & (size < 9)):
@@ -199,13 +224,13 @@ class _Measure:
             R = np.where(known, R, np.float32(0)).astype(np.float32, copy=False)
             local = (np.add.reduceat(np.sqrt(np.minimum(R, np.float32(1e6))), s0, axis=0) / size[:, None]) ** 2
             out = known & (R > LOCAL * local[g]) & mine
+            for k in self.turns.get(field, ()):
+                if k < width:
+                    # at the ends of an episode, where the change of sign itself may lie
+                    out[:, k] &= inner | ~(np.abs(clean[:, k] + expected[:, k]) < np.float32(0.5) * R[:, k])
         for kind, at in (("inner", inner & own), ("edge", ~inner & own)):
             sub = known[at]
             self.count(kind, field, np.repeat(code[at], width)[sub.ravel()], (slots + _bins(R[at])).ravel()[sub.ravel()], width, BINS)
-        r, slot = np.nonzero(out)
-        for kind, at in (("inner?", inner[r]), ("edge?", ~inner[r])):
-            put(kind, r[at], slot[at], R[r[at], slot[at]].astype(float))
-
         same = np.zeros(X.shape, bool)
         same[1:] = (X[1:] == X[:-1]) & ~start[1:, None]
         moves = np.maximum.reduceat(size_of, s0, axis=0) > 0
@@ -222,17 +247,27 @@ class _Measure:
         end = np.concatenate([nxt[1:], np.full((1, width), n, np.int32)])
         end = np.minimum(end, hi[:, None])
         length = end - begin
+        if n >= 9 and long.any():
+            # at the ends of an episode what follows a stuck value is the course again, not a departure from it
+            stuck = same & (length >= RUNS[0])
+            step = np.where(e < c, -1, 1)
+            for k in range(4):
+                out[e] &= ~stuck[np.clip(c + k * step, 0, n - 1)]
+        r, slot = np.nonzero(out)
+        for kind, at in (("inner?", inner[r]), ("edge?", ~inner[r])):
+            put(kind, r[at], slot[at], R[r[at], slot[at]].astype(float))
+
         r, slot = np.nonzero(counted & ~same)
         self.count("run", field, code[r], slot * RUN_BINS + np.minimum(length[r, slot], RUN_BINS - 1), width, RUN_BINS)
         r, slot = np.nonzero(same & (length >= RUNS[0]) & mine)
         put("run?", r, slot, length[r, slot].astype(float))
 
 
-def _measurer(fields, grippers, stops, rows: int):
+def _measurer(fields, grippers, stops, turns, rows: int):
     names = ["source", "episode_idx", "block", "frame_index", *fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, held, count = _Measure(fields, grippers, stops), [], 0
+        m, held, count = _Measure(fields, grippers, stops, turns), [], 0
 
         def key(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             return tuple(b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("episode_idx", "block", "frame_index"))
@@ -273,7 +308,7 @@ def _measurer(fields, grippers, stops, rows: int):
     return run
 
 
-def measure(frames: DataFrame, source: str = "robot", fields: tuple[str, ...] = FIELDS, grippers: dict | None = None, stops: tuple[float, ...] = END_STOPS) -> DataFrame:
+def measure(frames: DataFrame, source: str = "robot", fields: tuple[str, ...] = FIELDS, grippers: dict | None = None, stops: tuple[float, ...] = END_STOPS, turns: dict | None = None) -> DataFrame:
     """Histograms and readings that stand out, as a written table (``kind, source, field, slot, episode_idx, frame_index, x, n``).
 
     Frames are spread by episode and by blocks of ``BLOCK`` frames that see ``HALO`` frames of their neighbours, so
@@ -284,7 +319,7 @@ def measure(frames: DataFrame, source: str = "robot", fields: tuple[str, ...] =
     blocks = F.when((o < HALO) & (b != 0), F.array(b - 1, b)).when(o >= BLOCK - HALO, F.array(b, b + 1)).otherwise(F.array(b))
     f = f.withColumn("block", F.explode(blocks)).repartition("episode_idx", "block")
     f = f.sortWithinPartitions("episode_idx", "block", "frame_index", *[F.col(c).isNull() for c in fields])
-    return materialize(f.mapInArrow(_measurer(tuple(fields), GRIPPERS if grippers is None else grippers, tuple(stops), 8192), MEASURED), "spikes")
+    return materialize(f.mapInArrow(_measurer(tuple(fields), GRIPPERS if grippers is None else grippers, tuple(stops), TURNS if turns is None else turns, 8192), MEASURED), "spikes")
 
 
 def pareto_cutoff(x: np.ndarray, n: np.ndarray, risk: float = RISK, bounds: tuple[float, float] = (4.5, 7.0)) -> float:
@@ -349,7 +384,12 @@ def cutoffs(measured: DataFrame) -> DataFrame:
     own, rest = fit(True), fit(False)
     rest = rest.select("kind", "field", "slot", F.col("n").alias("n_all"), F.nanvl("cutoff", F.lit(None).cast("double")).alias("all_cutoff"))
     joined = own.join(small(rest), ["kind", "field", "slot"], "left")
-    one = joined.select("kind", "source", "field", "slot", "n", F.when((F.col("n") >= ENOUGH) & ~F.isnan("cutoff"), F.col("cutoff")).otherwise(F.col("all_cutoff")).alias("cutoff"))
+    one = joined.select("kind", "source", "field", "slot", "n", F.when((F.col("n") >= ENOUGH) & ~F.isnan("cutoff"), F.col("cutoff")).otherwise(F.col("all_cutoff")).alias("cutoff"), "n_all")
+    few = (F.col("kind") == "edge") & (F.col("n_all") < ENOUGH)
+    inner = one.filter("kind = 'inner'").select(F.col("source").alias("i_source"), F.col("field").alias("i_field"), F.col("slot").alias("i_slot"), F.col("cutoff").alias("i_cutoff"))
+    same = F.col("source").eqNullSafe(F.col("i_source")) & (F.col("field") == F.col("i_field")) & (F.col("slot") == F.col("i_slot"))
+    ends = one.filter(few).join(inner, same, "left").withColumn("cutoff", F.coalesce(F.col("i_cutoff") * EDGE, "cutoff"))
+    one = one.filter(~few).select("kind", "source", "field", "slot", "n", "cutoff").unionByName(ends.select("kind", "source", "field", "slot", "n", "cutoff"))
     level = rest.filter("kind = 'level'").select(F.lit("reach").alias("kind"), F.lit("*").alias("source"), "field", "slot", F.col("n_all").alias("n"), F.col("all_cutoff").alias("cutoff"))
     return one.unionByName(level)
 
