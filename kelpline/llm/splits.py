@@ -54,8 +54,9 @@ def components(links: DataFrame, record: str = "record", entity: str = "entity",
     """
     links = materialize(links.filter(F.col(record).isNotNull() & F.col(entity).isNotNull()).select(F.col(record).alias("record"), F.col(entity).alias("entity")).distinct(), "links")
     head = links.groupBy("entity").agg(F.min("record").alias("head"))
-    star = materialize(links.join(head, "entity").groupBy("record").agg(F.min("head").alias("low"), F.collect_set("head").alias("heads")), "star")
-    edges = star.filter(F.size("heads") > 1).select("low", F.explode("heads").alias("head")).filter("low <> head")
+    heads = materialize(links.join(head, "entity").select("record", "head").distinct(), "heads")
+    star = materialize(heads.groupBy("record").agg(F.min("head").alias("low"), F.count("*").alias("n")), "star")
+    edges = heads.join(star.filter("n > 1").select("record", "low"), "record").select("low", "head").filter("low <> head")
     edges = materialize(edges.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("head").alias("b")), F.struct(F.col("head").alias("a"), F.col("low").alias("b")))).alias("x")).select("x.a", "x.b").distinct(), "edges")
     labels = materialize(edges.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("v"), F.least("a", "b").alias("label")), "labels")
     for _ in range(max_rounds):
