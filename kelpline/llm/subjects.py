@@ -26,8 +26,9 @@ from kelpline.runtime import materialize
 
 #: Labelled documents that the terms are learnt from, chosen by hash; all documents are classified.
 MAX_LABELLED = 20_000
-#: Pseudo-observations that draw a term towards the base rates; least lift and share of a term; least score of a passage.
-SMOOTH, LIFT, SHARE, SCORE = 3.0, 1.0, 0.4, 1.5
+#: Pseudo-observations that draw a term towards the base rates; least lift of a term, as a part of the greatest possible,
+#: and least share; least score of a passage.
+SMOOTH, LIFT, SHARE, SCORE = 3.0, 0.45, 0.4, 1.5
 LEAVES = 32
 #: What every subject has in every leaf's mixture, for passages that a split high in the tree sent the wrong way.
 LEAF_FLOOR = 0.1
@@ -96,7 +97,7 @@ def fit_terms(texts: list[str | None], labels: list[set[int]], subjects: list[in
     for turn in range(rounds):
         share = (np.stack([np.bincount(col, weights=q[row, c], minlength=v) for c in range(k)], 1) + SMOOTH * base) / (count + SMOOTH)[:, None]
         W = np.log(share / base)
-        W = np.where(share >= SHARE, W, 0) if turn else np.where(W > LIFT, W, 0)
+        W = np.where(share >= np.maximum(SHARE, 1.5 * base), W, 0) if turn else np.where(W > LIFT * -np.log(base), W, 0)
         score = np.stack([np.add.reduceat(W[col, c], start) for c in range(k)], 1)
         best = score.argmax(1)
         hit = score.max(1) > SCORE
