@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from kelpline.operators.order import asof_join
@@ -24,7 +25,7 @@ def first_picture_type(data: bytes | None) -> int | None:
     return None
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def is_keyframe(data: pd.Series) -> pd.Series:
     """Whether the first picture unit is of type 19 or 20; null and empty packets are not."""
     return data.map(lambda d: first_picture_type(d) in (19, 20))
