@@ -15,6 +15,8 @@ from kelpline.runtime import drop_scratch, materialize, small
 
 #: An interval with at most so many rows is resolved by listing them.
 FINISH = 64
+#: Groups that still have open intervals are broadcast up to this number (their keys are short texts), else shuffled.
+SMALL = 50_000
 #: Bits of a key that a histogram's bin keeps: sign, exponent and 8 of the fraction, so bins are under 0.4 % wide.
 BIN_BITS = 20
 
@@ -54,7 +56,7 @@ def percentiles(values: DataFrame, groups: list[str], value: str, permille: tupl
         cuts = F.filter(F.concat(F.array("lo"), F.transform(F.sequence(F.lit(1), F.lit(fanout - 1)), lambda i: F.try_add(F.col("lo"), F.try_multiply(i.cast("long"), F.col("step"))))), lambda c: c.isNotNull() & (c <= F.col("hi")))
         cut = todo.withColumn("step", step).withColumn("cuts", cuts)
         by_grp = materialize(cut.groupBy("grp").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("cuts")))).alias("all_cuts"), F.min("lo").alias("from"), F.max("hi").alias("to")), "cuts")
-        seen = keyed.join(small(by_grp), "grp")
+        seen = keyed.join(small(by_grp, SMALL), "grp")
         bucket = F.when(F.col("k") > F.col("to"), -1).otherwise(F.size(F.filter("all_cuts", lambda c: c <= F.col("k"))))
         counts = seen.select("grp", bucket.alias("b")).filter("b >= 0").groupBy("grp", "b").agg(F.count("*").alias("m"))
         table = counts.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("b", "m"))).alias("m")).join(by_grp, "grp")
@@ -75,7 +77,7 @@ def percentiles(values: DataFrame, groups: list[str], value: str, permille: tupl
         drop_scratch(by_grp)
     done = state.filter("lo = hi").select("grp", "permille", "n", F.col("lo").alias("k"))
     rest = state.filter("lo < hi")
-    found = keyed.join(small(rest.select("grp", "permille", "n", "lo", "hi", "rank", "below")), "grp").filter("k between lo and hi")
+    found = keyed.join(small(rest.select("grp", "permille", "n", "lo", "hi", "rank", "below"), SMALL), "grp").filter("k between lo and hi")
     listed = found.groupBy("grp", "permille", "n", "rank", "below").agg(F.array_sort(F.collect_list("k")).alias("ks"))
     listed = listed.select("grp", "permille", "n", F.element_at("ks", (F.col("rank") - F.col("below")).cast("int")).alias("k"))
     out = done.unionByName(listed).withColumn("g", F.from_json("grp", kinds))
