@@ -34,11 +34,11 @@ def validate(spark: SparkSession, root: str, fps: float = 45, min_rows: int = 30
     return per, segment.duration_stats(e, seconds, fps, min_rows)
 
 
-def convert_bags(spark: SparkSession, root: str, target: str, fps: int = 45, task: str = "task description", kind: str = "lerobot", min_rows: int = 30, start: int = 0, overwrite: bool = False, max_episodes: int | None = None) -> dict:
-    """Convert the bags below ``root`` into a dataset folder (``lerobot``, ``frames``) or nested episodes (``rlds``); returns totals."""
+def convert_bags(spark: SparkSession, root: str, target: str, fps: int = 45, task: str = "task description", kind: str = "wide", min_rows: int = 30, start: int = 0, overwrite: bool = False, max_episodes: int | None = None) -> dict:
+    """Convert the bags below ``root`` into a dataset folder (``wide`` with chassis and lift in 72 slots, or ``frames`` with 62 and 9) or nested episodes (``rlds``); returns totals."""
     folders.check_start(target, start, overwrite)
-    m = convert.with_cameras(_messages(spark, root, "FAILFAST" if kind == "lerobot" else "PERMISSIVE"))
-    f = convert.frames(m, fps, min_rows=min_rows, lift=kind == "lerobot")
+    m = convert.with_cameras(_messages(spark, root, "FAILFAST" if kind == "wide" else "PERMISSIVE"))
+    f = convert.frames(m, fps, min_rows=min_rows, lift=kind == "wide")
     if kind == "rlds":
         convert.rlds(f, convert.episodes(m), fps, task).write.mode("overwrite" if overwrite else "errorifexists").parquet(f"{target}/episodes")
         return {"target": f"{target}/episodes"}
@@ -137,7 +137,7 @@ def main(args: list[str] | None = None) -> None:
         return c
 
     command("validate", "root", fps=45.0, min_rows=30)
-    command("convert", "root", "target", fps=45, task="task description", kind="lerobot", min_rows=30, start=0, overwrite=False, max_episodes=None)
+    command("convert", "root", "target", fps=45, task="task description", kind="wide", min_rows=30, start=0, overwrite=False, max_episodes=None)
     command("delete", "root", "target").add_argument("ids", type=int, nargs="+")
     command("split", "root").add_argument("n_train", type=int)
     command("unify", "root", "target", "task")

@@ -61,6 +61,12 @@ def names(layout: tuple[tuple[str, int, int], ...] = LAYOUT) -> list[str]:
     return [f"{n}_{i}" if size > 1 else n for n, _, size in layout for i in range(size)]
 
 
+def zip_shortest(**arrays: Column) -> Column:
+    """An array of structs from arrays by position, as long as the shortest."""
+    n = F.array_min(F.array(*[F.size(a) for a in arrays.values()]))
+    return F.arrays_zip(*[F.slice(a, 1, n).alias(k) for k, a in arrays.items()])
+
+
 def vector_stats(vectors, column: str):
     """Per slot (from 0): ``min, max, mean, std`` (population) and ``count`` over all rows, nulls left out."""
     e = vectors.select(F.posexplode(column).alias("slot", "v"))

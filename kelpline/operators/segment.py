@@ -75,6 +75,14 @@ def duration_stats(found: DataFrame, seconds: Column, fps: float, min_rows: int)
     return found.agg(F.count("*").alias("n_pairs"), F.count(d).alias("n_valid"), ratio.alias("valid_percent"), *[F.coalesce(v, F.lit(0.0)).alias(k) for k, v in stats.items()])
 
 
+def conversion_summary(found: DataFrame, rows: DataFrame, fps: float, keys: tuple[str, ...] = ("bag", "x_seq")) -> DataFrame:
+    """One row: ``n_pairs``, ``n_saved`` (pairs with rows), ``n_rows``, ``seconds`` (rows / fps) and ``valid_percent`` (0 without pairs)."""
+    kept = rows.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.count("*").alias("n_saved"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_rows"), F.lit(1).alias("one"))
+    pairs = found.agg(F.count("*").alias("n_pairs"), F.lit(1).alias("one"))
+    percent = F.when(F.col("n_pairs") > 0, F.col("n_saved") * 100.0 / F.col("n_pairs")).otherwise(0.0)
+    return pairs.join(kept, "one").select("n_pairs", "n_saved", "n_rows", (F.col("n_rows") / F.lit(float(fps))).alias("seconds"), percent.alias("valid_percent"))
+
+
 def whole_bags(messages: DataFrame, keyframe: Column, cameras: list[str], keys: tuple[str, ...] = ("bag",)) -> DataFrame:
     """Whole-log mode: ``x_seq, t_start`` where every camera has had a keyframe, ``y_seq`` null (the log's end); none if one never has."""
     first = messages.filter(keyframe & F.col("topic").isin(cameras)).groupBy(*keys, "topic").agg(F.min(F.struct("seq", "t")).alias("first"))

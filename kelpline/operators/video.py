@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,15 +16,14 @@ from kelpline.operators.order import asof_join
 KEPT = 60
 
 
+#: A start code and the byte that holds the unit's type in its bits 1 to 6.
+_UNIT = re.compile(rb"\x00\x00\x01(.)", re.DOTALL)
+
+
 def first_picture_type(data: bytes | None) -> int | None:
-    """Type of the first picture unit (type under 32) after a start code ``00 00 01``, or None."""
-    at = data.find(b"\0\0\1") if data else -1
-    while 0 <= at < len(data) - 3:
-        kind = data[at + 3] >> 1 & 0x3F
-        if kind < 32:
-            return kind
-        at = data.find(b"\0\0\1", at + 3)
-    return None
+    """Type of the first picture unit (type under 32) of a packet, or None."""
+    kinds = (u[0] // 2 % 64 for u in _UNIT.findall(data or b""))
+    return next((k for k in kinds if k < 32), None)
 
 
 @F.pandas_udf(T.BooleanType())

@@ -182,9 +182,15 @@ def vector_stats(spark, d):
     return s.select("slot", *[F.round(c, 6).alias(c) for c in ("min", "max", "mean", "std")], "count")
 
 
+def zip_lists(spark, d):
+    """Lists of unlike length side by side, cut to the shorter."""
+    z = vectors.zip_shortest(a=F.slice("embedding", 1, 5), b=F.slice("embedding", 6, 3))
+    return read(spark, d, "embeddings").select("vec_id", F.transform(z, lambda x: x["a"].cast("double") * x["b"].cast("double")).alias("products"))
+
+
 QUERIES = {f.__name__: f for f in (
     merge_episodes, merge_frames, merge_tasks, merge_stats, delete_episodes, delete_frames, delete_stats, delete_missing, split_train, split_test, unify_frames, unify_stats, dataset_totals, dataset_info, chunk_ntile,
-    path_render, path_parse_max, path_parts, video_resolution, fmt_duration, fmt_size, json_permissive, vector_assemble, vector_pad, vector_flatten, vector_stats,
+    path_render, path_parse_max, path_parts, video_resolution, fmt_duration, fmt_size, json_permissive, vector_assemble, vector_pad, vector_flatten, vector_stats, zip_lists,
 )}
 
 _E = """
@@ -245,6 +251,7 @@ select episode_index, video_key, arg_min(file_id, (priority, file_id)) as file_i
     "vector_flatten": "select vec_id, [embedding[1], embedding[2], 0, embedding[3], embedding[4], embedding[5], 0, 0, 0]::float[] as chassis, [embedding[1], 0, embedding[9]]::float[] as gripper from embeddings",
     "vector_stats": """with v as (select unnest(embedding)::double as v, unnest(range(len(embedding)))::int as slot from embeddings)
 select slot, round(min(v), 6) as min, round(max(v), 6) as max, round(avg(v), 6) as mean, round(stddev_pop(v), 6) as std, count(v) as count from v group by 1""",
+    "zip_lists": "select vec_id, [embedding[i]::double * embedding[i + 5]::double for i in [1, 2, 3]] as products from embeddings",
     "vector_assemble": """with v as (select vec_id, list_concat(
   list_concat(list_concat(embedding[1:7], embedding[22:22]), list_concat(embedding[25:31], embedding[45:45])),
   list_concat(list_concat(embedding[8:14], embedding[23:23]), list_concat(embedding[32:38], embedding[46:46])),

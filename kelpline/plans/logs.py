@@ -88,6 +88,11 @@ def episode_numbers(spark, d):
     return order.number_rows(r, "bag", "x_seq", index="episode_index", sums={"start_frame": "n_rows"})
 
 
+def conversion_summary(spark, d):
+    s = segment.conversion_summary(_episodes(messages(spark, d)), sample.grid_rows(_inside(spark, d), PERIOD, OFFSET, []), 1 / SECONDS)
+    return s.select("n_pairs", "n_saved", "n_rows", *[F.round(c, 3).alias(c) for c in ("seconds", "valid_percent")])
+
+
 def time_gaps(spark, d):
     return sample.time_gaps(sample.grid_rows(_inside(spark, d), PERIOD, OFFSET, []), 3, SECONDS)
 
@@ -183,7 +188,7 @@ def change_events(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    episode_frames, edge_detect, episode_segments, episode_validate_bags, episode_validate_stats, messages_in_episodes, grid_ticks, episode_numbers, time_gaps, asof_latest, gop_islands, episode_packets,
+    episode_frames, edge_detect, episode_segments, episode_validate_bags, episode_validate_stats, messages_in_episodes, grid_ticks, episode_numbers, conversion_summary, time_gaps, asof_latest, gop_islands, episode_packets,
     shown_packets, pts_monotone, pts_clock, keyframes, rlds_steps, rlds_nested, topic_catalog, topic_union, require_topics, first_calibration, dedupe_first, whole_bag, change_events,
 )}
 
@@ -236,6 +241,9 @@ from g join f s on s.bag = g.bag and s.x_seq = g.x_seq and s.seq = g.state_seq j
     "episode_numbers": _M + """
 , r as (select bag, x_seq, count(*) as n_rows from g group by all)
 select bag, x_seq, n_rows, row_number() over (order by bag, x_seq) - 1 as episode_index, coalesce(sum(n_rows) over (order by bag, x_seq rows between unbounded preceding and 1 preceding), 0)::bigint as start_frame from r""",
+    "conversion_summary": _M + """
+, a as (select count(*) as n_pairs from ep), b as (select count(distinct (bag, x_seq)) as n_saved, count(*) as n_rows from g)
+select n_pairs, n_saved, n_rows, round(n_rows / (1 / 43200.0::double), 3) as seconds, round(n_saved * 100.0::double / n_pairs, 3) as valid_percent from a, b""",
     "time_gaps": _M + """
 , s as (select bag, x_seq, tick - lag(tick) over (partition by bag, x_seq order by tick) as step from g)
 select bag, x_seq, count(*) as n_rows, count(case when step >= 3 then 1 end) as n_time_gaps, coalesce(max(case when step >= 3 then step end) * 43200.0::double, 0) as max_time_gap_s from s group by all""",

@@ -102,6 +102,12 @@ def write_frames(frames: DataFrame, root: str, info: dict, order: str = "frame_i
     return frames.select(*keep).groupBy(episode).applyInArrow(write, "episode long, path string, n_rows long")
 
 
+def write_shards(rows: DataFrame, path: str, key: str, per_shard: int, salt: str | None = None) -> None:
+    """Parquet shards of at most ``per_shard`` rows in the order of ``key``, or of a salted hash of it; ranges are written in parallel."""
+    order = F.col(key) if salt is None else F.xxhash64(F.col(key), F.lit(salt))
+    rows.repartitionByRange(order, F.col(key)).sortWithinPartitions(order, key).write.option("maxRecordsPerFile", per_shard).parquet(path)
+
+
 def copy_plan(mapping: DataFrame, info: dict, source: str, target: str) -> DataFrame:
     """``src, dst`` of the videos of episodes that move from ``old_index`` to ``episode_index``."""
     from kelpline.functions.paths import fill_template

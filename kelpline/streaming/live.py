@@ -43,3 +43,54 @@ def _cut(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iter
 def live_episodes(joystick: DataFrame) -> DataFrame:
     """Episodes of a streaming (or batch) DataFrame ``bag, seq, t, buttons``, as they close; append mode."""
     return joystick.select("bag", "seq", "t", "buttons").groupBy("bag").applyInPandasWithState(_cut, FOUND, STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+ROWS = "bag string, x_seq long, tick long, state_seq long, action_seq long"
+GRID_STATE = "last_seq long, start_pressed int, stop_pressed int, x_seq long, due long, state_seq long, ticks array<long>, states array<long>, actions array<long>"
+
+
+def _sampler(period: int, offset: int, min_rows: int):
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, a, b, x, k, held, rows = -1, -1, -1, -1, 0, -1, []
+        start = 0
+        if state.exists:
+            last, a, b, x, start, held, ticks, states, actions = state.get
+            k, rows = (0, []) if not ticks else (ticks[-1], list(zip(ticks[:-1], states, actions)))
+        out = []
+        messages = pd.concat(list(batches)).sort_values("seq", kind="stable")
+        for seq, t, buttons in zip(messages["seq"], messages["t"], messages["buttons"]):
+            if seq <= last:
+                continue
+            last = seq
+            begun = False
+            if buttons is not None and len(buttons) > max(START, STOP):
+                if a == 0 and buttons[START] == 1:
+                    x, start, k, held, rows, begun = seq, t, 0, -1, [], True
+                if b == 0 and buttons[STOP] == 1 and x >= 0:
+                    if len(rows) >= min_rows:
+                        out += [(key[0], x, *r) for r in rows]
+                    x = -1
+                a, b = int(buttons[START]), int(buttons[STOP])
+            if x < 0 or begun:
+                continue
+            due = start + (k + 1) * period
+            if due <= t <= due + offset:
+                held = seq if held < 0 else held
+            elif t > due + offset:
+                if held >= 0:
+                    rows.append((k, held, seq))
+                k, held = k + (t - due - offset) // period + 1, -1
+        columns = [[int(r[i]) for r in rows] for i in range(3)]
+        state.update((int(last), int(a), int(b), int(x), int(start), int(held), [*columns[0], int(k)], columns[1], columns[2]))
+        yield pd.DataFrame(out, columns=["bag", "x_seq", "tick", "state_seq", "action_seq"])
+
+    return step
+
+
+def live_grid(messages: DataFrame, period: int, offset: int, min_rows: int = 30) -> DataFrame:
+    """Grid rows of ``bag, seq, t, buttons`` (null buttons for other topics), emitted when their episode stops.
+
+    The rules of the batch sampling, message by message. What a log holds is its open episode's rows, since a new start
+    discards them.
+    """
+    return messages.select("bag", "seq", "t", "buttons").groupBy("bag").applyInPandasWithState(_sampler(period, offset, min_rows), ROWS, GRID_STATE, "append", GroupStateTimeout.NoTimeout)

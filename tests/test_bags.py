@@ -276,3 +276,17 @@ def test_lines(spark, tmp_path):
     assert out.read_text() == '{"task_index": 0, "task": "\\u00e4"}\n{"task_index": 1, "task": "b"}\n'
     (tmp_path / "episode_000001.hdf5.tmp").write_text("")
     assert folders.clear_unfinished(str(tmp_path)) == 1
+
+
+def test_shards(spark, tmp_path):
+    df = spark.range(0, 100).withColumnRenamed("id", "k")
+    folders.write_shards(df, str(tmp_path / "s"), "k", 7, "salt")
+    sizes = [r["count"] for r in spark.read.parquet(str(tmp_path / "s")).groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert sum(sizes) == 100 and max(sizes) <= 7
+
+
+def test_keyframes():
+    from kelpline.operators.video import first_picture_type
+
+    assert first_picture_type(b"\0\0\1\x26x") == 19 and first_picture_type(b"\0\0\0\1\x40\0\0\1\x02") == 1
+    assert first_picture_type(None) is None and first_picture_type(b"") is None and first_picture_type(b"\0\0\1") is None and first_picture_type(b"\0\0\1\x40") is None

@@ -4,8 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from kelpline.operators import segment
-from kelpline.streaming.live import live_episodes
+from kelpline.operators import sample, segment
+from kelpline.streaming.live import live_episodes, live_grid
 from tests.conftest import rows
 
 
@@ -24,3 +24,25 @@ def test_live_equals_batch(spark, tmp_path):
     got = spark.sql("select * from live")
     assert rows(got.select("bag", "x_seq", "y_seq", "t_start", "t_stop")) == rows(want.select("bag", "x_seq", "y_seq", "t_start", "t_stop"))
     assert want.count() > 10
+
+
+def test_live_grid_equals_batch(spark, tmp_path):
+    rnd = random.Random(11)
+    log = []
+    for b in "pq":
+        t = 0
+        for i in range(300):
+            t += rnd.choice([0, 5, 10, 20])
+            log.append((b, i, t, rnd.choice([[0, 0, 0, 0], [0, 0, 1, 0], [0, 0, 0, 1]]) if rnd.random() < 0.2 else None))
+    schema = "bag string, seq long, t long, buttons array<int>"
+    df = spark.createDataFrame(log, schema)
+    for k in range(3):
+        df.filter(F.floor(F.col("seq") / 100) == k).coalesce(1).write.parquet(str(tmp_path / "in" / f"{k}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    q = live_grid(stream, 20, 10, 1).writeStream.format("memory").queryName("grid").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).start()
+    q.processAllAvailable()
+    q.stop()
+    found = segment.episodes(segment.button_edges(df))
+    want = sample.grid_rows(segment.in_episodes(df, found), 20, 10, []).select("bag", "x_seq", "tick", "state_seq", "action_seq")
+    assert rows(spark.sql("select * from grid")) == rows(want)
+    assert want.count() > 20
