@@ -138,14 +138,10 @@ where nr = greatest(1, (n * permille + 999) // 1000)""",
 , ranked as (select *, row_number() over (partition by metric order by value) as nr, count(*) over (partition by metric) as n from numbers)
 select metric, permille, n, value from ranked, (select unnest([10, 250, 500, 750, 990])::int as permille) where nr = greatest(1, (n * permille + 999) // 1000)""",
     "p2_found": r"""
-with recursive part as (
-  select distinct episode_index, unnest(regexp_split_to_array(source_bag, '[,;+|]')) as s from episodes where source_bag is not null
-), path as (
-  select episode_index, regexp_replace(regexp_replace(replace(lower(trim(s)), '\', '/'), '[/\s]+$', ''), '/metadata\.ya?ml$', '') as p from part
-), name as (
-  select episode_index, regexp_extract(regexp_replace(regexp_replace(p, '^.*/', ''), '(\.(db3|mcap|zstd))+$', ''), '^(.*\d{4}[-_]?\d{2}[-_]?\d{2}[-_t]?\d{2}[-_]?\d{2}[-_]?\d{2})(_\d+)?$', 1) as rec from path
+with recursive name as (
+  select distinct episode_index, unnest(regexp_extract_all(lower(source_bag), 'rosbag2_\d{4}_\d\d_\d\d-\d\d_\d\d_\d\d|session-\d{4}-\d\d-\d\d-\d{6}|take_\d{8}_\d{6}|xr_run\d{8}t\d{6}')) as rec from episodes
 ), link as (
-  select distinct a.episode_index as x, b.episode_index as y from name a join name b on a.rec = b.rec and a.rec <> ''
+  select distinct a.episode_index as x, b.episode_index as y from name a join name b on a.rec = b.rec
   union select episode_index, recut_of from episodes where recut_of in (select episode_index from episodes)
   union select recut_of, episode_index from episodes where recut_of in (select episode_index from episodes)
 ), reach as (

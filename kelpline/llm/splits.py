@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from kelpline.runtime import drop_scratch, materialize
 
 #: A recording's name ends with its date and time; a number after that is a segment of the same recording.
-RECORDING = r"^(.*\d{4}[-_]?\d{2}[-_]?\d{2}[-_tT ]?\d{2}[-_:]?\d{2}[-_:]?\d{2})(?:_\d+)?$"
+RECORDING = r"^(.*?(?:19|20)\d{2}[-_]?\d{2}[-_]?\d{2}[-_tT ]?\d{2}[-_:]?\d{2}[-_:]?\d{2})(?:_\d+)?$"
 #: Groups of at least 1/LARGE of all records, at most LARGE of them, are assigned one by one.
 LARGE = 5_000
 #: Small groups of a stratum are dealt out in so many buckets.

@@ -24,6 +24,7 @@ BAGS = [
     ("rosbag2_2024_01_04-09_36_55", ["rosbag2_2024_01_04-09_36_55"]), (" ./rosbags/Take_20240101_012850/ ", ["take_20240101_012850"]), ("D:\\bags\\session-2024-01-02-114526\\", ["session-2024-01-02-114526"]),
     ("xr_run20240102T012712/xr_run20240102T012712_8.db3", ["xr_run20240102t012712"]), ("/mnt/cold//take_20240101_012850/take_20240101_012850_4.db3.zstd", ["take_20240101_012850"]), ("rosbags/take_20240101_012850/metadata.yaml", ["take_20240101_012850"]),
     ("rosbag2_2024_01_04-09_36_55_11.mcap; take_20240101_012850.mcap", ["rosbag2_2024_01_04-09_36_55", "take_20240101_012850"]), ("a_b + c|d, a_b", ["a_b", "c", "d"]), ("own_7.mcap", ["own"]), ("own_7", ["own_7"]),
+    ("take_20240109_152832_10.mcap", ["take_20240109_152832"]), ("take_20240816_121425/take_20240816_121425_12.db3", ["take_20240816_121425"]), ("rosbag2_2024_01_04-09_36_55", ["rosbag2_2024_01_04-09_36_55"]),
     ("episode_014", []), ("./EPISODE_000/", []), ("", []), ("  ", []), (None, []), ("unknown", []),
 ]
 
