@@ -11,8 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kelpline.operators.order import fill_forward
+
 #: Positions of the start and stop buttons; shorter button lists are ignored.
 START, STOP = 2, 3
+#: Message numbers of a log that one task handles.
+BLOCK = 1 << 17
 
 
 def rising(flag: Column, w) -> Column:
@@ -46,16 +50,17 @@ def episodes(marked: DataFrame, time: str = "t", keys: tuple[str, ...] = ("bag",
     return e.filter(closed).select(*keys, F.col("started.seq").alias("x_seq"), F.col("seq").alias("y_seq"), F.col(f"started.{time}").alias("t_start"), F.col(time).alias("t_stop"))
 
 
-def in_episodes(messages: DataFrame, found: DataFrame, keys: tuple[str, ...] = ("bag",)) -> DataFrame:
+def in_episodes(messages: DataFrame, found: DataFrame, keys: tuple[str, ...] = ("bag",), block: bool = True) -> DataFrame:
     """Messages from the start (inclusive) to the stop (exclusive) of their episode, with ``x_seq`` and ``t_start``.
 
-    A window carries the latest boundary to each message, so that no range join is needed.
+    A window carries the latest boundary to each message, so that no range join is needed. Logs are split into blocks of
+    ``BLOCK`` numbers, so that a log with a third of all messages is many tasks; without ``block`` a log is one task.
     """
     bounds = found.select(*keys, F.explode(F.array(F.struct(F.col("x_seq").alias("seq"), F.struct("x_seq", "t_start").alias("mark")), F.struct(F.col("y_seq").alias("seq"), F.struct(F.lit(None).cast("long").alias("x_seq"), F.lit(None).cast("long").alias("t_start")).alias("mark")))).alias("b")).select(*keys, F.col("b.seq").alias("seq"), F.col("b.mark").alias("mark"))
     # of a start and a stop in one message the stop is later
     bounds = bounds.groupBy(*keys, "seq").agg(F.min_by("mark", F.col("mark.x_seq").isNotNull()).alias("mark"))
-    w = Window.partitionBy(*keys).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    m = messages.join(bounds, [*keys, "seq"], "left").withColumn("mark", F.last("mark", ignorenulls=True).over(w))
+    m = messages.join(bounds, [*keys, "seq"], "left")
+    m = fill_forward(m, list(keys), ["seq"], {"in_mark": F.col("mark")}, F.floor(F.col("seq") / BLOCK) if block else None).drop("mark").withColumnRenamed("in_mark", "mark")
     return m.filter(F.col("mark.x_seq").isNotNull()).withColumns({"x_seq": F.col("mark.x_seq"), "t_start": F.col("mark.t_start")}).drop("mark")
 
 
