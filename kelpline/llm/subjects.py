@@ -4,7 +4,7 @@
    say nothing about subjects drop out. Terms that mark passages which mention a subject without the document being
    about it ("... in the background") are learnt too.
 2. Each passage (sentence) of every document becomes the normalised vector of its terms' lifts. Passages without such
-   terms, and passing mentions, have no vector.
+   terms, and passing mentions (with ``MARKS`` marks or more), have no vector.
 3. Bisecting k-means clusters the vectors of all documents. A leaf's discriminative terms, those closest to its centre,
    label it, and its centre is its mixture of subjects.
 4. A passage's subject is the largest of its own profile's squares times its leaf's mixture; a document is about a subject if at
@@ -33,6 +33,8 @@ LEAVES = 32
 #: What every subject has in every leaf's mixture, for passages that a split high in the tree sent the wrong way.
 LEAF_FLOOR = 0.1
 PASSAGES = 2
+#: So many marks make a passage a passing mention.
+MARKS = 2
 
 _TAG = re.compile(r"<[^<>]{0,200}>")
 _CUT = re.compile(r"[\n\r  。！？!?]+|[.]+[)\"'\]»”]*(?:\s|$)")
@@ -94,6 +96,7 @@ def fit_terms(texts: list[str | None], labels: list[set[int]], subjects: list[in
     q = Y / np.maximum(Y.sum(1, keepdims=True), 1)
     base = np.maximum(q.mean(0), 1e-4)
     count = np.bincount(col, minlength=v)
+    phrase = np.array([" " in x or _CJK.match(x) is not None and len(x) > 1 for x in voc])  # a single word marks no passing mention
     for turn in range(rounds):
         share = (np.stack([np.bincount(col, weights=q[row, c], minlength=v) for c in range(k)], 1) + SMOOTH * base) / (count + SMOOTH)[:, None]
         W = np.log(share / base)
@@ -103,8 +106,8 @@ def fit_terms(texts: list[str | None], labels: list[set[int]], subjects: list[in
         hit = score.max(1) > SCORE
         right = hit & Y[np.arange(n), best]
         hits, rights = np.bincount(col, weights=hit[row], minlength=v), np.bincount(col, weights=right[row], minlength=v)
-        passing = ((rights + 1.8) / (hits + 2) < 0.5) & (hits >= 4) & (W.max(1) <= 0)
-        use = np.flatnonzero(hit & (np.bincount(row, weights=passing[col], minlength=n) == 0) & Y.any(1))
+        passing = ((rights + 1.8) / (hits + 2) < 0.5) & (hits >= 4) & (W.max(1) <= 0) & phrase
+        use = np.flatnonzero(right)
         z = np.where(Y[use], score[use], -np.inf)
         top = z.max(1, keepdims=True)
         e = np.where(top > 0, np.exp(z - np.maximum(top, 0)), 0)
@@ -126,7 +129,7 @@ def _profiler(shared, k: int, id_at: int, text_at: int):
                     known.clear()
                 t = terms(p)
                 w = [weights[x] for x in t if x in weights]
-                v = np.sum(w, axis=0) if w and t.isdisjoint(passing) else None
+                v = np.sum(w, axis=0) if w and len(t & passing) < MARKS else None
                 known[p] = v / np.linalg.norm(v) if v is not None and v.max() > SCORE else None
             return known[p]
 
