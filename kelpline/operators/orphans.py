@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kelpline.functions.paths import clean_path, fill_template
+from kelpline.functions.paths import clean_path, fill, read_template
 from kelpline.runtime import materialize, small
 
 WORDS = 8
@@ -99,9 +99,10 @@ def episode_references(episodes: DataFrame, stats: DataFrame, tasks: DataFrame,
     st = per_month(stats, "written_at", "episode_index")
 
     keys = F.transform(F.filter(F.map_entries("features"), lambda x: x["value"]["dtype"] == "video"), lambda x: x["key"])
-    templates = small(info.filter("video_path is not null").select("dataset", "video_path", "chunks_size", F.explode(keys).alias("video_key")).distinct())
+    templates = info.filter("video_path is not null").select("dataset", "video_path", "chunks_size", F.explode(keys).alias("video_key")).distinct()
+    templates = small(templates.select("dataset", "chunks_size", read_template(F.col("video_path"), F.col("video_key")).alias("parts")))
     video = ep.filter("not gone").join(templates, "dataset")
-    video = video.withColumn("ref_key", fill_template(F.col("video_path"), F.expr("episode_index div chunks_size"), F.col("episode_index"), F.col("video_key"))).filter("ref_key is not null")
+    video = video.withColumn("ref_key", fill(F.col("parts"), F.expr("episode_index div chunks_size"), F.col("episode_index"))).filter("ref_key is not null")
     vd = video.select(F.lit("info").alias("src_table"), "episode_index", F.lit("video_path").alias("ref_field"), "ref_key", month(F.col("arrived")).alias("period"), F.col("arrived").alias("at"), _key("v", F.col("dataset"), clean_path(F.col("ref_key"))).alias("key"))
     refs = reduce(DataFrame.unionByName, [
         rows(st, "episodes_stats", "episode_index", "episode_index", "at", "e", "episode_index"),
