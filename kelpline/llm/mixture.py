@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kelpline.runtime import materialize
+from kelpline.runtime import materialize, small
 
 #: Ranks are first counted in so many buckets; only the bucket in which a source's target falls is sorted.
 BUCKETS = 4096
@@ -46,22 +46,22 @@ def mix(sizes: DataFrame, targets: DataFrame, key: str = "doc_id", source: str =
     budget = F.least(F.col("weight") * F.lit(float(total)), (F.col("max_repeats") * F.col("have")).cast("double"))
     plan = plan.withColumn("budget", budget).withColumn("whole", F.floor(F.col("budget") / F.col("have"))).withColumn("left", F.col("budget") - F.col("whole") * F.col("have"))
     plan = plan.withColumn("share", F.col("left") / F.col("have")).withColumn("mean", F.col("have") / F.col("rows"))
-    plan = F.broadcast(materialize(plan.select("mix_source", "whole", "left", "share", "mean"), "plan"))
+    plan = small(materialize(plan.select("mix_source", "whole", "left", "share", "mean"), "plan"))
     r = rows.join(plan, "mix_source")
     u = uniform(F.col("k"), seed)
     p = F.least(F.greatest(F.col("share") * F.least(F.col("size") / F.col("mean"), F.lit(2.0)), F.lit(1e-9)), F.lit(0.5) + F.col("share") / 2)
     q = u / (1 - u) * (1 - p) / p
     r = r.withColumn("q", q).withColumn("bucket", F.floor(F.col("q") / (1 + F.col("q")) * BUCKETS).cast("int"))
-    sums = r.groupBy("mix_source", "bucket").agg(F.sum("size").alias("s"))
+    sums = materialize(r.groupBy("mix_source", "bucket").agg(F.sum("size").alias("s")), "buckets")
     before = F.coalesce(F.sum("s").over(Window.partitionBy("mix_source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    at = F.broadcast(sums.select("mix_source", "bucket", before.alias("before")))
+    at = small(materialize(sums.select("mix_source", "bucket", before.alias("before"), F.col("s").alias("bucket_size")), "buckets"))
     r = r.join(at, ["mix_source", "bucket"]).withColumn("sub", F.pmod(F.floor(F.col("q") / (1 + F.col("q")) * BUCKETS * 64), F.lit(64)))
     # of the bucket in which the budget ends, 64 parts are summed alike, and only rows of the last part are sorted
     edge = (F.col("before") < F.col("left")) & (F.col("before") + F.col("bucket_size") > F.col("left"))
-    r = r.join(F.broadcast(sums.withColumnRenamed("s", "bucket_size")), ["mix_source", "bucket"]).withColumn("edge", edge)
+    r = r.withColumn("edge", edge)
     parts = r.filter("edge").groupBy("mix_source", "sub").agg(F.sum("size").alias("s"))
     ahead = F.coalesce(F.sum("s").over(Window.partitionBy("mix_source").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = F.broadcast(parts.select("mix_source", "sub", ahead.alias("ahead"), F.col("s").alias("sub_size")))
+    parts = small(materialize(parts.select("mix_source", "sub", ahead.alias("ahead"), F.col("s").alias("sub_size")), "parts"))
     e = r.filter("edge").join(parts, ["mix_source", "sub"]).withColumn("start", F.col("before") + F.col("ahead"))
     sort = (F.col("start") < F.col("left")) & (F.col("start") + F.col("sub_size") > F.col("left"))
     upto = F.col("start") + F.sum("size").over(Window.partitionBy("mix_source").orderBy("q", "k").rowsBetween(Window.unboundedPreceding, 0))

@@ -8,7 +8,7 @@ contracted graph then converges in few rounds, as each round also jumps to the l
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -17,7 +17,9 @@ from kelpline.runtime import drop_scratch, materialize
 #: A recording's name ends with its date and time; a number after that is a segment of the same recording.
 RECORDING = r"^(.*?(?:19|20)\d{2}[-_]?\d{2}[-_]?\d{2}[-_tT ]?\d{2}[-_:]?\d{2}[-_:]?\d{2})(?:_\d+)?$"
 #: Groups of at least 1/LARGE of all records, at most LARGE of them, are assigned one by one.
-LARGE = 5_000
+LARGE = 2_000
+#: So many labels are told apart, the most frequent; the others count as one.
+LABELS = 1_000
 #: Small groups of a stratum are dealt out in so many buckets.
 BUCKETS = 1024
 
@@ -93,8 +95,11 @@ def deal_groups(records: DataFrame, record: str, group: str, label: str, splits:
     names, shares = list(splits), np.array([splits[k] for k in splits])
     r = records.select(F.col(record).alias("record"), F.coalesce(F.col(group).cast("string"), F.concat(F.lit("\u0000"), F.col(record).cast("string"))).alias("grp"), F.coalesce(F.col(label).cast("string"), F.lit("")).alias("lab"))
     cells = materialize(r.groupBy("grp", "lab").agg(F.count("*").alias("n")), "cells")
+    totals = {x["lab"]: x["n"] for x in cells.groupBy("lab").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lab").limit(LABELS).collect()}
+    if len(totals) == LABELS:
+        known = spark_labels(records.sparkSession, totals)
+        cells = materialize(cells.join(F.broadcast(known), "lab", "left").groupBy("grp", F.coalesce("known", F.lit("")).alias("lab")).agg(F.sum("n").alias("n")), "cells")
     groups = cells.groupBy("grp").agg(F.sum("n").alias("size"), F.max_by("lab", F.struct("n", "lab")).alias("stratum"))
-    totals = {x["lab"]: x["n"] for x in cells.groupBy("lab").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lab").limit(1000).collect()}
     whole = cells.agg(F.sum("n").alias("n")).first()["n"] or 0
     large = groups.filter(F.col("size") * LARGE >= whole).select("grp", "size")
     vectors: dict[str, dict[str, int]] = {}
@@ -128,6 +133,10 @@ def deal_groups(records: DataFrame, record: str, group: str, label: str, splits:
     return r.join(dealt.unionByName(fixed), "grp").select(F.col("record").alias(record), F.col("grp").alias(group), "split")
 
 
+def spark_labels(spark: SparkSession, totals: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame([(k, k) for k in totals], "lab string, known string")
+
+
 def split_report(assigned: DataFrame, records: DataFrame, record: str, label: str) -> DataFrame:
     """``label, split, n, share``: the share of each label's records that each split got."""
     n = assigned.join(records.select(record, label), record).groupBy(label, "split").agg(F.count("*").alias("n"))

@@ -88,6 +88,14 @@ def test_deal_keeps_groups_whole_and_shares_near(spark):
     assert splits.deal_groups(df.filter("false"), "id", "grp", "lab", queries.SPLITS).count() == 0
 
 
+def test_deal_with_more_labels_than_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(splits, "LABELS", 2)
+    df = spark.createDataFrame([(i, i // 3, "abcdef"[i % 6]) for i in range(3000)], "id long, grp long, lab string")
+    got = splits.deal_groups(df, "id", "grp", "lab", queries.SPLITS).groupBy("split").count().collect()
+    n = {r["split"]: r["count"] for r in got}
+    assert sum(n.values()) == 3000 and abs(n["train"] - 2400) < 150
+
+
 def test_nearest_against_brute_force(spark):
     rnd = random.Random(3)
     left = [(rnd.choice(["a", "b", None]), rnd.choice([None, *range(0, 4000, 7)]), i) for i in range(400)]
