@@ -101,6 +101,8 @@ def deal_groups(records: DataFrame, record: str, group: str, label: str, splits:
         cells = materialize(cells.join(F.broadcast(known), "lab", "left").groupBy("grp", F.coalesce("known", F.lit("")).alias("lab")).agg(F.sum("n").alias("n")), "cells")
     groups = cells.groupBy("grp").agg(F.sum("n").alias("size"), F.max_by("lab", F.struct("n", "lab")).alias("stratum"))
     whole = cells.agg(F.sum("n").alias("n")).first()["n"] or 0
+    if whole > sum(totals.values()):
+        totals[""] = totals.get("", 0) + whole - sum(totals.values())
     large = groups.filter(F.col("size") * LARGE >= whole).select("grp", "size")
     vectors: dict[str, dict[str, int]] = {}
     for x in cells.join(F.broadcast(large.select("grp")), "grp").collect():
