@@ -39,15 +39,17 @@ HALF = 4
 LOCAL = 5.0
 #: Readings of smaller size are never beyond reach; others are if over REACH times the 99.9 % quantile of their slot.
 REACH_FLOOR, REACH = 6.0, 4.0
-#: Risk per reading of a cutoff, and the multiples of the 99 % quantile that it is held between, inside an episode and at its ends.
+#: Risk per reading of a cutoff.
 RISK = 1e-7
-BOUNDS = {"inner": (4.5, 7.0), "edge": (3.5, 6.0)}
+#: Share of the residuals that are peaks, and the largest shape of their law; a heavier tail is not told from spikes.
+PEAKS, HEAVY = 0.05, 0.1
 #: A run of equal readings is stuck from a length that chance gives with RISK; held between these.
 RUNS = (8, 10)
 #: With fewer residuals than this a source's slot is judged by that of all sources.
 ENOUGH = 500
-#: Where even all sources have too few residuals at the ends of episodes, the inner cutoff times this holds there.
-EDGE = 1.5
+#: At the ends of episodes, a source with too few residuals has its inner cutoff times the median ratio of the sources with
+#: at least SOME residuals there, in the same slot; where there is none, times EDGE.
+SOME, EDGE = 100, 1.5
 
 BINS, SHIFT = 116, 21
 _BASE = int(np.float32(2.0**-14).view(np.int32)) >> SHIFT
@@ -98,6 +100,23 @@ def expected_course(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, slope
 
 
+def returns(w: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """Whether a reading is a departure for a few frames and no side of a lasting jump.
+
+    ``w``: the nine readings around each, along the slope, in columns. A reading of the four before and one of the four
+    after, from both of which it departs, must agree within half its residual; or it departs from all eight alike, as
+    a single spike right at a jump does.
+    """
+    x = w[:, 4:5]
+    half = np.abs(x - expected[:, None]) / 2
+    away = np.where(x >= expected[:, None], x - w, w - x) > half
+    found = away[:, [0, 1, 2, 3, 5, 6, 7, 8]].all(1)
+    for j in range(4):
+        for k in range(5, 9):
+            found |= away[:, j] & away[:, k] & (np.abs(w[:, j] - w[:, k]) <= half[:, 0])
+    return found
+
+
 def _matrix(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     """Rows that have an array, their values (NaN beyond shorter arrays), and where there is no reading at all."""
     rows = np.flatnonzero(col.is_valid().to_numpy(zero_copy_only=False))
@@ -182,12 +201,16 @@ class _Measure:
         bad = ~finite if none is None else ~finite & ~none
         clean = X
         if not finite.all():
-            # what is no number gives way to the reading before it (or, at the start, after it) in the same episode
+            # what is no number gives way to the line between the readings around it (at an end, to the nearest) in the same episode
             known = np.where(finite, i[:, None], -1)
             before = np.maximum.accumulate(known, axis=0)
             after = np.minimum.accumulate(np.where(finite, i[:, None], n)[::-1], axis=0)[::-1]
             take = np.where(before >= lo[:, None], before, np.where(after < hi[:, None], after, 0))
             clean = np.take_along_axis(X, take, axis=0)
+            r, k = np.nonzero(~finite & (before >= lo[:, None]) & (after < hi[:, None]))
+            b, a = before[r, k], after[r, k]
+            with np.errstate(over="ignore", invalid="ignore"):
+                clean[r, k] = X[b, k] + (X[a, k] - X[b, k]) * ((r - b) / (a - b)).astype(np.float32)
             clean = np.where(np.isfinite(clean), clean, np.float32(0))
         names = pa.array(list(self.sources), pa.string())
 
@@ -254,6 +277,13 @@ class _Measure:
             for k in range(4):
                 out[e] &= ~stuck[np.clip(c + k * step, 0, n - 1)]
         r, slot = np.nonzero(out)
+        at = np.flatnonzero(inner[r])
+        if len(at):
+            k = np.arange(-HALF, HALF + 1)
+            a, b = r[at, None], slot[at, None]
+            with np.errstate(invalid="ignore", over="ignore"):
+                lasting = ~returns(clean[a + k, b] - k.astype(np.float32) * slope[a, b], expected[r[at], slot[at]])
+            r, slot = np.delete(r, at[lasting]), np.delete(slot, at[lasting])
         for kind, at in (("inner?", inner[r]), ("edge?", ~inner[r])):
             put(kind, r[at], slot[at], R[r[at], slot[at]].astype(float))
 
@@ -322,28 +352,29 @@ def measure(frames: DataFrame, source: str = "robot", fields: tuple[str, ...] =
     return materialize(f.mapInArrow(_measurer(tuple(fields), GRIPPERS if grippers is None else grippers, tuple(stops), TURNS if turns is None else turns, 8192), MEASURED), "spikes")
 
 
-def pareto_cutoff(x: np.ndarray, n: np.ndarray, risk: float = RISK, bounds: tuple[float, float] = (4.5, 7.0)) -> float:
-    """Cutoff from a histogram (``n`` residuals of size ``x``, ascending): a generalised Pareto law over the 98 % quantile.
+def pareto_cutoff(x: np.ndarray, n: np.ndarray, risk: float = RISK) -> float:
+    """Cutoff from a histogram (``n`` residuals of size ``x``, ascending): a generalised Pareto law over the 95 % quantile.
 
-    The law is fitted by the first two moments of the lower 95 % of the peaks, as the highest may be the spikes looked
-    for. NaN if even the 99 % quantile is zero.
+    Its scale and shape come from the quantiles that halve the peaks and halve them again, so the highest quarter, which
+    may be the spikes looked for, has no weight. The shape is 0 (exponential) unless the tail is heavier by more than
+    twice the error of its estimate, about 4.4 over the root of the number of peaks. NaN if even the 99 % quantile is zero.
     """
     c = np.cumsum(n)
-    q = lambda p: x[np.searchsorted(c, p * c[-1])]
-    u, q99 = q(0.98), q(0.99)
+    low = bin_top(_bins(x.astype(np.float32)) - 2)
+
+    def q(p: float) -> float:
+        k = min(int(np.searchsorted(c, p * c[-1])), len(c) - 1)
+        return float(low[k] + (p * c[-1] - c[k] + n[k]) / n[k] * (x[k] - low[k]))
+
+    u, half, quarter, q99 = q(1 - PEAKS), q(1 - PEAKS / 2), q(1 - PEAKS / 4), q(0.99)
     if q99 <= 0:
         return float("nan")
-    peak = (x > u) & (c <= c[-1] - 0.05 * 0.02 * c[-1])
-    y, w = x[peak] - u, n[peak]
-    cut = bounds[0] * q99
-    if w.sum() > 0:
-        mean = np.average(y, weights=w)
-        var = np.average((y - mean) ** 2, weights=w)
-        xi = float(np.clip(0.5 * (1 - mean**2 / var), -0.3, 0.3)) if var > 0 else 0.0
-        sigma = mean * (1 - xi)
-        tail = 0.02 / risk
-        cut = u + (sigma * np.log(tail) if abs(xi) < 1e-3 else sigma / xi * (tail**xi - 1))
-    return float(np.clip(cut, bounds[0] * q99, bounds[1] * q99))
+    if half <= u:
+        return u + (q99 - u) / np.log(PEAKS / 0.01) * np.log(PEAKS / risk)
+    xi = float(np.log2(max(quarter - half, 1e-9) / (half - u))) - 2 * 4.4 / np.sqrt(PEAKS * c[-1])
+    xi = float(np.clip(xi, 0.0, HEAVY))
+    tail = PEAKS / risk
+    return float(u + (half - u) * (np.log(tail) / np.log(2) if xi < 1e-3 else (tail**xi - 1) / (2**xi - 1)))
 
 
 def run_cutoff(x: np.ndarray, n: np.ndarray, risk: float = RISK, bounds: tuple[int, int] = RUNS) -> float:
@@ -361,8 +392,8 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in b.to_pylist():
             bins = sorted((int(c["x"]), c["n"]) for c in row.pop("cells"))
             x, n = np.array([k for k, _ in bins]), np.array([k for _, k in bins], float)
-            if row["kind"] in BOUNDS:
-                cut = pareto_cutoff(bin_top(x), n, bounds=BOUNDS[row["kind"]])
+            if row["kind"] in ("inner", "edge"):
+                cut = pareto_cutoff(bin_top(x), n)
             elif row["kind"] == "run":
                 cut = run_cutoff(x, n)
             else:
@@ -374,22 +405,26 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def cutoffs(measured: DataFrame) -> DataFrame:
     """``kind, source, field, slot, n, cutoff``: the cutoffs of every source and slot; ``reach`` is that of all sources.
 
-    A source with fewer than ``ENOUGH`` residuals in a slot, or with none but zeros, gets the cutoff of all sources.
+    A source with fewer than ``ENOUGH`` residuals in a slot, or with none but zeros, gets the cutoff of all sources; at the
+    ends of episodes, its inner cutoff times what is usual between the two.
     """
     h = measured.filter("n is not null").groupBy("kind", "source", "field", "slot", "x").agg(F.sum("n").alias("n"))
     pooled = h.groupBy("kind", "field", "slot", "x").agg(F.sum("n").alias("n")).withColumn("source", F.lit("*"))
     both = h.filter("kind <> 'level'").withColumn("own", F.lit(True)).unionByName(pooled.withColumn("own", F.lit(False)))
     cells = both.groupBy("own", "kind", "source", "field", "slot").agg(F.collect_list(F.struct(F.col("x").cast("int").alias("x"), "n")).alias("cells"))
     fit = lambda own: cells.filter(F.col("own") == own).drop("own").mapInArrow(_fit, "kind string, source string, field string, slot long, n long, cutoff double")
-    own, rest = fit(True), fit(False)
+    own, rest = materialize(fit(True), "fits"), fit(False)
     rest = rest.select("kind", "field", "slot", F.col("n").alias("n_all"), F.nanvl("cutoff", F.lit(None).cast("double")).alias("all_cutoff"))
     joined = own.join(small(rest), ["kind", "field", "slot"], "left")
-    one = joined.select("kind", "source", "field", "slot", "n", F.when((F.col("n") >= ENOUGH) & ~F.isnan("cutoff"), F.col("cutoff")).otherwise(F.col("all_cutoff")).alias("cutoff"), "n_all")
-    few = (F.col("kind") == "edge") & (F.col("n_all") < ENOUGH)
+    one = joined.select("kind", "source", "field", "slot", "n", F.when((F.col("n") >= ENOUGH) & ~F.isnan("cutoff"), F.col("cutoff")).otherwise(F.col("all_cutoff")).alias("cutoff"))
+    few = (F.col("kind") == "edge") & (F.col("n") < ENOUGH)
     inner = one.filter("kind = 'inner'").select(F.col("source").alias("i_source"), F.col("field").alias("i_field"), F.col("slot").alias("i_slot"), F.col("cutoff").alias("i_cutoff"))
     same = F.col("source").eqNullSafe(F.col("i_source")) & (F.col("field") == F.col("i_field")) & (F.col("slot") == F.col("i_slot"))
-    ends = one.filter(few).join(inner, same, "left").withColumn("cutoff", F.coalesce(F.col("i_cutoff") * EDGE, "cutoff"))
-    one = one.filter(~few).select("kind", "source", "field", "slot", "n", "cutoff").unionByName(ends.select("kind", "source", "field", "slot", "n", "cutoff"))
+    fitted = own.filter((F.col("kind") == "edge") & (F.col("n") >= SOME) & ~F.isnan("cutoff")).join(inner.filter("i_cutoff > 0"), same)
+    ratio = fitted.groupBy("field", "slot").agg(F.median(F.col("cutoff") / F.col("i_cutoff")).alias("ratio"))
+    ends = one.filter(few).join(inner, same, "left").join(ratio, ["field", "slot"], "left").withColumn("cutoff", F.coalesce(F.col("i_cutoff") * F.coalesce("ratio", F.lit(EDGE)), "cutoff"))
+    columns = ["kind", "source", "field", "slot", "n", "cutoff"]
+    one = one.filter(~few).select(*columns).unionByName(ends.select(*columns))
     level = rest.filter("kind = 'level'").select(F.lit("reach").alias("kind"), F.lit("*").alias("source"), "field", "slot", F.col("n_all").alias("n"), F.col("all_cutoff").alias("cutoff"))
     return one.unionByName(level)
 
@@ -397,7 +432,8 @@ def cutoffs(measured: DataFrame) -> DataFrame:
 def find_implausible(frames: DataFrame, source: str = "robot", **how) -> DataFrame:
     """Implausible readings: ``episode_idx, frame_index, field, slot, reason`` (``spike``, ``stuck``, ``bad``, ``reach``); one row each and reason.
 
-    A spike exceeds both its source's cutoff for the slot and ``LOCAL`` times what is typical of its own episode.
+    A spike exceeds both its source's cutoff for the slot and ``LOCAL`` times what is typical of its own episode, and the
+    level returns after it; at the ends of an episode, where that is not to be seen, a short departure counts as a spike.
     """
     m = measure(frames, source, **how)
     cut = small(materialize(cutoffs(m).filter("cutoff is not null"), "cutoffs"))

@@ -104,6 +104,31 @@ def test_cutoffs():
     assert spikes.run_cutoff(np.array([1, 2, 3]), np.array([9000.0, 900.0, 90.0])) in (8, 9)
 
 
+def test_fit_decides_and_lasting_moves_are_no_spikes(spark):
+    rng = np.random.default_rng(11)
+    cells, planted = [], {(300, 20, 0), (301, 1, 0)}
+    for e in range(320):
+        x = rng.laplace(0, 0.01, 45).round(5)
+        if e == 300:
+            x[20] = 0.19  # 4.2 times the 99 % quantile
+        if e == 301:
+            x[1] = 0.4
+        if e >= 310:
+            x[8:22] = x[8] - 0.3  # stuck, then a jump into a slope
+            x[22:] += 0.05 * np.arange(23)
+        cells += [(e, e, i, 0, f"r{e % 2}", 0.0, [float(v)], None, None, "") for i, v in enumerate(x)]
+    got = {(r["episode_idx"], r["frame_index"], r["slot"]) for r in spikes.find_implausible(frames(spark, cells)).filter("reason = 'spike'").collect()}
+    assert got == planted
+    x = spikes.bin_top(np.arange(1, 116))
+    tail = np.exp(-np.concatenate([[0], x]) / 0.01)
+    n = 1e6 * (tail[:-1] - tail[1:])
+    law = spikes.pareto_cutoff(x, n)
+    assert abs(law - 0.01 * np.log(1e7)) < 0.015  # what an exponential law exceeds with a chance of 1e-7
+    spiky = n.copy()
+    spiky[100] += 500  # one peak in a hundred
+    assert abs(spikes.pareto_cutoff(x, spiky) - law) < 0.15 * law  # spikes among the peaks hardly move it
+
+
 FILES = "file_id long, dataset string, path string, kind string, episode_idx long, n_bytes long, dataset_note string"
 
 
