@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 from kelpline.functions.paths import clean_path
 from kelpline.runtime import materialize, small
 
-#: Rows of one file that make one member; a longer file becomes several members.
+#: Most rows of one file that make one member; a longer file becomes several members, spread over the tasks.
 MEMBER_ROWS = 65_536
 
 RANGE = T.ArrayType(T.StructType([T.StructField("episode_idx", T.LongType()), T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
@@ -56,12 +56,12 @@ def _ranges(episodes: list, frames: list) -> list[dict]:
     return out
 
 
-def _packer(columns: list[str], block_bytes: int):
+def _packer(columns: list[str], block_bytes: int, member_rows: int):
     schema = pa.schema([
         ("dataset", pa.string()), ("chunk", pa.int64()), ("part", pa.int64()), ("block", pa.int64()), ("file_id", pa.int64()), ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("crc32", pa.int64()), ("n_rows", pa.int64()),
         ("records", pa.list_(pa.struct([("episode_idx", pa.int64()), ("first", pa.int64()), ("last", pa.int64())]))), ("payload", pa.binary()),
     ])
-    head = ["pack_dataset", "pack_chunk", "pack_part", "file_id", "pack_member"]
+    head = ["pack_dataset", "pack_chunk", "pack_part", "pack_member", "file_id"]
 
     def encode(rows: pa.Table) -> bytes:
         sink = pa.BufferOutputStream()
@@ -81,29 +81,36 @@ def _packer(columns: list[str], block_bytes: int):
             return out
 
         def members() -> Iterator[tuple[tuple, pa.Table]]:
-            held, key = [], None
+            held, key, count = [], None, 0
             for b in batches:
                 ids = list(zip(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in head]))
                 start = 0
                 for i in range(1, len(ids) + 1):
                     if i == len(ids) or ids[i] != ids[start]:
                         if key is not None and ids[start] != key:
-                            yield key, pa.Table.from_batches(held)
-                            held = []
+                            if held:
+                                yield key, pa.Table.from_batches(held)
+                            held, count = [], 0
                         key = ids[start]
-                        held.append(b.slice(start, i - start))
-                        start = i
+                        while start < i:
+                            step = min(i - start, member_rows - count)
+                            held.append(b.slice(start, step))
+                            start, count = start + step, count + step
+                            if count == member_rows:
+                                yield key, pa.Table.from_batches(held)
+                                held, count = [], 0
             if held:
                 yield key, pa.Table.from_batches(held)
 
         for key, rows in members():
-            if at is not None and (key[:3] != at or size >= block_bytes):
+            if entries and (key[:4] != at or size >= block_bytes):
                 yield flush()
-            if key[:3] != at:
-                at, block = key[:3], 0
+            if key[:4] != at:
+                # rows of one part and member number meet in one task, so no other task makes these block numbers
+                at, block = key[:4], key[3] << 32
             data = encode(rows)
             entries.append({
-                "dataset": key[0], "chunk": key[1], "part": key[2], "block": block, "file_id": key[3], "path": rows.column("pack_path")[0].as_py(), "offset": size, "length": len(data),
+                "dataset": key[0], "chunk": key[1], "part": key[2], "block": block, "file_id": key[4], "path": rows.column("pack_path")[0].as_py(), "offset": size, "length": len(data),
                 "crc32": zlib.crc32(data), "n_rows": rows.num_rows, "records": _ranges(rows.column("episode_idx").to_pylist(), rows.column("frame_index").to_pylist()),
             })
             parts.append(data)
@@ -118,16 +125,21 @@ def pack(frames: DataFrame, files: DataFrame, info: DataFrame, target_bytes: int
     """Pack the rows of every stored file into containers; returns the store (index rows and payload rows).
 
     All rows are kept, repeats and copies included, with all their columns; rows without a ``file_id`` form members of
-    their own under dataset ``''``. A member is at most ``MEMBER_ROWS`` frames of a file, so a file that holds a third
-    of all rows is spread over many members; no task holds more than one block and one member.
+    their own under dataset ``''``. A member is at most ``MEMBER_ROWS`` rows of a file, and the members of a file with more
+    rows are spread over the tasks by episode and stretch of frames, so one with a third of all rows makes no large task;
+    no task holds more than one block and one member. Block numbers are unique within a part, whatever task makes them.
     """
     plan = container_plan(files, info, target_bytes)
     plan = plan.select("file_id", *[F.col(c).alias(f"pack_{c}") for c in ("dataset", "chunk", "part", "path")])
     keys = ["pack_dataset", "pack_chunk", "pack_part"]
-    f = frames.withColumn("pack_member", F.coalesce(F.expr(f"frame_index div {MEMBER_ROWS}"), F.lit(0))).join(small(plan), "file_id", "left")
+    rows = frames.filter("file_id is not null").groupBy("file_id").agg(F.count(F.lit(1)).alias("pack_rows")).filter(F.col("pack_rows") > MEMBER_ROWS)
+    stretch = F.coalesce(F.expr(f"frame_index div {MEMBER_ROWS}"), F.lit(0))
+    spread = F.pmod(F.xxhash64("episode_idx", stretch), F.ceil(F.col("pack_rows") / MEMBER_ROWS))
+    f = frames.join(small(plan), "file_id", "left").join(small(materialize(rows, "long")), "file_id", "left")
+    f = f.withColumn("pack_member", F.when(F.col("file_id").isNull(), F.greatest(stretch, F.lit(0))).otherwise(F.coalesce(spread, F.lit(0)))).drop("pack_rows")
     f = f.withColumns({"pack_dataset": F.coalesce("pack_dataset", F.lit("")), "pack_chunk": F.coalesce("pack_chunk", F.expr("-1 - pmod(xxhash64(file_id, episode_idx), 256)")), "pack_part": F.coalesce("pack_part", F.lit(0))})
-    f = f.repartition(*keys, "pack_member").sortWithinPartitions(*keys, "file_id", "pack_member", "episode_idx", "frame_index")
-    return f.mapInArrow(_packer(frames.columns, block_bytes), STORE)
+    f = f.repartition(*keys, "pack_member").sortWithinPartitions(*keys, "pack_member", "file_id", "episode_idx", "frame_index")
+    return f.mapInArrow(_packer(frames.columns, block_bytes, MEMBER_ROWS), STORE)
 
 
 def write(store: DataFrame) -> DataFrame:

@@ -152,6 +152,30 @@ def test_archive_is_lossless_and_counts_once(spark):
         archive.unpack(broken, df).count()
 
 
+def test_long_files_come_back_from_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(archive, "MEMBER_ROWS", 8)
+    long = [(1, 0, i, 1, "r", 0.0, [float(i)], None, None, "") for i in range(200)]
+    flat = [(2, e, i, 1, "r", 0.0, [float(e)], None, None, "") for e in range(30) for i in range(3)]  # many rows, small frame_index
+    lone = [(None, 5, i, 1, "r", 0.0, None, None, None, "") for i in range(40)]
+    short = [(3, 4, i, 1, "r", 0.0, None, None, None, "") for i in range(3)]
+    df = frames(spark, [*long, *flat, *lone, *short])
+    files = spark.createDataFrame([(i, "d", f"f{i}", "hdf5", 0, 50, "") for i in (1, 2, 3)], FILES)
+    info = spark.createDataFrame([("d", 10)], "dataset string, chunks_size long")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        store = archive.write(archive.pack(df, files, info, block_bytes=512))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    key = ["dataset", "chunk", "part", "block"]
+    assert store.filter("payload is not null").groupBy(*key).count().filter("count > 1").count() == 0
+    assert archive.index_of(store).agg(F.max("n_rows")).first()[0] <= 8
+    assert len(store.inputFiles()) > 4
+    assert sorted(map(str, rows(archive.unpack(store, df)))) == sorted(map(str, rows(df)))
+
+
 def test_archive_ignores_clashing_columns(spark):
     df = frames(spark, [(1, 0, 0, 1, "r", 0.0, None, None, None, "")]).withColumns({"dataset": F.lit("mine"), "part": F.lit(5), "path": F.lit("q")})
     files = spark.createDataFrame([(1, "d", "f", "hdf5", 0, None, "")], FILES)
