@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from kelpline.runtime import materialize
 
+#: Most subjects that are told apart.
+SUBJECTS = 1_000
 #: Labelled documents that the terms are learnt from, chosen by hash; all documents are classified.
 MAX_LABELLED = 20_000
 #: Pseudo-observations that draw a term towards the base rates; least lift of a term, as a part of the greatest possible,
@@ -207,9 +209,11 @@ def classify(documents: DataFrame, labels: DataFrame, subjects: DataFrame, passa
     """``doc_id, subject_id, n_passages`` of all documents, and the tree. Documents without a subject have no row.
 
     Null and blank texts have no subjects; without labels or texts the result is empty. A repeated ``doc_id`` is one
-    document with the passages of all its rows.
+    document with the passages of all its rows. More than ``SUBJECTS`` subjects are an error.
     """
-    ids = sorted(r["subject_id"] for r in subjects.filter("subject_id is not null").select("subject_id").distinct().limit(1000).collect())
+    ids = sorted(r["subject_id"] for r in subjects.filter("subject_id is not null").select("subject_id").distinct().limit(SUBJECTS + 1).collect())
+    if len(ids) > SUBJECTS:
+        raise ValueError(f"more than {SUBJECTS} subjects")
     model = learn(documents, labels, ids)
     vectors = materialize(passage_vectors(documents, model, len(ids)), "passages")
     tree = Tree(vectors, model, ids)

@@ -236,3 +236,10 @@ def test_passages():
     assert subjects.passages(None) == subjects.passages(" \n ") == []
     assert subjects.passages("One 12. (Two.) <b>Three</b>\n- four；没有。好的") == ["one #", "two", "three", "four;没有", "好的"]
     assert subjects.terms("compiler") == subjects.terms("complier") and "心机" in subjects.terms("离心机")
+
+
+def test_too_many_subjects_are_an_error(spark):
+    many = spark.range(subjects.SUBJECTS + 1).select(F.col("id").alias("subject_id"))
+    none = spark.createDataFrame([], "doc_id long, text string, subject_id long")
+    with pytest.raises(ValueError, match="subjects"):
+        subjects.classify(none, none, many)
