@@ -2,7 +2,8 @@
 
 The filter is a split-block one: a key's hash chooses one block of eight 32-bit words and sets one bit in each word, so
 it is built by eight ``bit_or`` aggregates and read by one broadcast join, all in generated code. Keys it rejects are
-definite orphans; only the others go into the exact join.
+definite orphans and meet no parent any more; only the others are shuffled into the exact join. Parents too many for
+one filter of bounded size are split by hash into several, each read by the references of its own part.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelpline.functions.paths import clean_path, fill, read_template
-from kelpline.runtime import materialize, small
+from kelpline.runtime import join_unique, materialize, small
 
 WORDS = 8
 #: The odd multipliers of the public split-block filter, one for each word, that draw its bit from the key's second hash.
@@ -39,18 +40,26 @@ def bloom_blocks(keys: DataFrame, key: str, blocks: int) -> DataFrame:
 def bloom_split(refs: DataFrame, parents: DataFrame, key: str, bits_per_key: int = 12, max_blocks: int = 1 << 20) -> DataFrame:
     """``refs`` with ``maybe``: false means that no parent has the key; true means that an exact join must tell.
 
-    The filter has ``bits_per_key`` bits a parent row and never more than ``max_blocks`` blocks of 44 bytes, so what is
-    broadcast is bounded. Were it so full as to prove little (beyond 24 times the keys of its size), every reference
-    is left to the exact join instead. Null keys get ``maybe`` false; an empty parent table makes all of them false.
+    The filter has ``bits_per_key`` bits a parent row, whatever their number: beyond ``max_blocks`` blocks of 44 bytes,
+    the bound of what is broadcast at once, keys are split by another hash into parts with a filter each. References
+    are then written once by part, and each part is read with its own filter. Null keys get ``maybe`` false; an empty
+    parent table makes all of them false.
     """
-    n = parents.count()
-    blocks = max(1, min(max_blocks, n * bits_per_key // (32 * WORDS) + 1))
-    if n > 24 * max_blocks * (32 * WORDS) // bits_per_key:
-        return refs.withColumn("maybe", F.col(key).isNotNull())
+    blocks = parents.count() * bits_per_key // (32 * WORDS) + 1
+    parts = -(-blocks // max_blocks)
     words = [f"bloom_w{i}" for i in range(WORDS)]
     hit = reduce(lambda a, b: a & b, [F.call_function("shiftright", F.col(w), b).bitwiseAND(F.lit(1)) == 1 for w, b in zip(words, _bits(F.col(key)))])
-    seen = refs.withColumn("bloom_block", _block(F.col(key), blocks)).join(F.broadcast(bloom_blocks(parents, key, blocks)), "bloom_block", "left")
-    return seen.withColumn("maybe", F.col(key).isNotNull() & F.coalesce(hit, F.lit(False))).drop("bloom_block", *words)
+
+    def probe(r: DataFrame, p: DataFrame, n: int) -> DataFrame:
+        seen = r.withColumn("bloom_block", _block(F.col(key), n)).join(F.broadcast(bloom_blocks(p, key, n)), "bloom_block", "left")
+        return seen.withColumn("maybe", F.col(key).isNotNull() & F.coalesce(hit, F.lit(False))).drop("bloom_block", *words)
+
+    if parts == 1:
+        return probe(refs, parents, blocks)
+    part = F.coalesce(F.pmod(F.xxhash64(F.lit("part"), F.col(key)), F.lit(parts)), F.lit(0)).cast("int")
+    split = materialize(refs.withColumn("bloom_part", part), "refs", ("bloom_part",))
+    each = [materialize(probe(split.filter(F.col("bloom_part") == i).drop("bloom_part"), parents.filter(part == i), -(-blocks // parts)), "part") for i in range(parts)]
+    return reduce(DataFrame.unionByName, each)
 
 
 def orphan_causes(refs: DataFrame, parents: DataFrame, key: str, at: str) -> DataFrame:
@@ -58,12 +67,18 @@ def orphan_causes(refs: DataFrame, parents: DataFrame, key: str, at: str) -> Dat
 
     ``parents``: unique ``key``, ``arrived`` (timestamp) and ``gone`` (boolean). The first cause that applies: ``missing``
     (no parent), ``deleted`` (``gone``), ``late`` (``arrived`` after ``at``). References with a null key are no cases;
-    a null ``at`` or ``arrived`` is never late. Keys may repeat in ``refs``; a hot key is one row of ``parents``.
+    a null ``at`` or ``arrived`` is never late. Keys may repeat in ``refs``; a hot key is joined by a broadcast of its parent.
+
+    References that the filter rejects are ``missing`` at once. They are written apart from the others, which alone are
+    read by the exact join.
     """
-    split = bloom_split(refs, parents, key)
-    found = split.join(parents.select(F.col(key).alias("parent_key"), "arrived", "gone"), (F.col(key) == F.col("parent_key")) & F.col("maybe"), "left")
-    cause = F.when(~F.col("maybe") | F.col("parent_key").isNull(), "missing").when(F.col("gone"), "deleted").when(F.col("arrived") > F.col(at), "late")
-    return found.filter(F.col(key).isNotNull()).withColumn("cause", cause).filter("cause is not null").drop("maybe", "parent_key", "arrived", "gone")
+    seen = materialize(bloom_split(refs.filter(F.col(key).isNotNull()), parents, key), "seen", ("maybe",))
+    never = seen.filter("not maybe").drop("maybe").withColumn("cause", F.lit("missing"))
+    there = parents.select(F.col(key), F.struct("arrived", "gone").alias("orphan_parent"))
+    found = join_unique(seen.filter("maybe").drop("maybe"), there, key, "left")
+    arrived, gone = F.col("orphan_parent.arrived"), F.col("orphan_parent.gone")
+    cause = F.when(F.col("orphan_parent").isNull(), "missing").when(gone, "deleted").when(arrived > F.col(at), "late")
+    return never.unionByName(found.withColumn("cause", cause).filter("cause is not null").drop("orphan_parent"))
 
 
 def _key(kind: str, *parts: Column) -> Column:
@@ -117,8 +132,7 @@ def episode_references(episodes: DataFrame, stats: DataFrame, tasks: DataFrame,
 def find_orphans(*tables: DataFrame) -> DataFrame:
     """Distinct orphan references: ``src_table, episode_index, ref_field, ref_key, period, cause`` (see :func:`episode_references`)."""
     refs, parents = episode_references(*tables)
-    parents = materialize(parents, "parents")
-    return orphan_causes(refs, parents, "key", "at").select("src_table", "episode_index", "ref_field", "ref_key", "period", "cause").distinct()
+    return orphan_causes(refs, materialize(parents, "parents"), "key", "at").select("src_table", "episode_index", "ref_field", "ref_key", "period", "cause").distinct()
 
 
 def orphan_report(orphans: DataFrame) -> DataFrame:

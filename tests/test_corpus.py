@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from kelpline import runtime
 from kelpline.operators import archive, orphans, spikes
 from tests.conftest import rows
 
@@ -20,7 +21,10 @@ def test_bloom_proves_and_never_loses(spark):
     false = r.filter("there is null and maybe").count()
     assert false < 0.03 * 15000
     assert orphans.bloom_split(refs, parents.filter("false"), "key").filter("maybe").count() == 0
-    assert orphans.bloom_split(refs, parents, "key", max_blocks=1).filter("not maybe and key is not null").count() == 0  # too full: all left to the join
+    parts = orphans.bloom_split(refs.withColumn("arrived", F.lit("clash")), parents, "key", max_blocks=50)  # five filters instead of one
+    assert parts.count() == 20001 and set(parts.columns) == {"key", "arrived", "maybe"}
+    p = parts.join(parents.withColumn("there", F.lit(True)), "key", "left")
+    assert p.filter("there and not maybe").count() == 0 and p.filter("there is null and maybe").count() < 0.03 * 15000
 
 
 def test_causes(spark):
@@ -30,6 +34,31 @@ def test_causes(spark):
     assert [tuple(r) for r in got] == [("a", "late"), ("b", "deleted"), ("x", "missing"), ("x", "missing")]
 
 
+def test_what_the_filter_rejects_meets_no_parent(spark, monkeypatch):
+    parents = spark.range(0, 300).select(F.col("id").cast("string").alias("key"), F.lit(None).cast("timestamp_ntz").alias("arrived"), F.lit(False).alias("gone"))
+    refs = spark.range(0, 600).select(F.col("id").cast("string").alias("key"), F.lit(None).cast("timestamp_ntz").alias("at"), F.lit("clash").alias("arrived"))
+    got = orphans.orphan_causes(refs, parents, "key", "at")
+    assert got.count() == 300 and set(got.columns) == {"key", "at", "arrived", "cause"}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.split("Join ")[1:]]
+    assert joins and all("maybe" in x for x in joins)
+    rejecting = lambda refs, *_: refs.withColumn("maybe", F.lit(False))
+    monkeypatch.setattr(orphans, "bloom_split", rejecting)
+    assert orphans.orphan_causes(refs, parents, "key", "at").count() == 600  # a filter that rejects all leaves nothing to the join
+    monkeypatch.setattr(orphans, "bloom_split", lambda refs, *_: refs.withColumn("maybe", F.lit(True)))
+    assert orphans.orphan_causes(refs, parents, "key", "at").count() == 300
+
+
+def test_hot_keys_are_joined_alike(spark, monkeypatch):
+    monkeypatch.setattr(runtime, "HOT", 5)
+    left = spark.range(0, 4000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"), F.col("id"))
+    right = spark.createDataFrame([("hot", 1), ("k1", 2), ("k7", 3), ("other", 4)], "k string, v int")
+    for how in ("inner", "left"):
+        j = runtime.join_unique(left, right, "k", how)
+        assert rows(j) == rows(left.join(right, "k", how))
+    assert "Union" in j._jdf.queryExecution().optimizedPlan().toString()
+
+
 SCHEMA = "file_id long, episode_idx long, frame_index long, task_index long, robot string, timestamp double, state array<float>, chassis_state array<float>, action array<float>, note string"
 
 
