@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline.functions.formats import duration_text, size_text
-from kelpline.operators import convert, datasets, segment
+from kelpline.operators import archive, convert, datasets, segment
 from kelpline.sources import bags, folders
 
 
@@ -117,6 +117,17 @@ def merge_folders(spark: SparkSession, roots: list[str], target: str) -> dict:
     return _store(flat, good[0], target)
 
 
+def pack_folder(spark: SparkSession, root: str, store: str, pattern: str = "*", target_bytes: int = archive.TARGET) -> dict:
+    """Pack the small files below ``root`` into containers below ``store``."""
+    made = archive.container_files(archive.pack_files(spark, root, store, pattern, target_bytes))
+    return made.agg(F.count(F.lit(1)).alias("containers"), F.sum("n_members").alias("files"), F.sum("n_bytes").alias("n_bytes")).first().asDict()
+
+
+def unpack_store(spark: SparkSession, store: str, target: str, paths: list[str]) -> dict:
+    """Write the files of a store, or those named, below ``target``."""
+    return {"files": archive.extract_files(archive.open_store(spark, store), target, paths or None)}
+
+
 def _union(dfs: list[DataFrame]) -> DataFrame:
     out = dfs[0]
     for x in dfs[1:]:
@@ -142,6 +153,8 @@ def main(args: list[str] | None = None) -> None:
     command("split", "root").add_argument("n_train", type=int)
     command("unify", "root", "target", "task")
     command("merge", "target").add_argument("roots", nargs="+")
+    command("pack", "root", "store", pattern="*", target_bytes=archive.TARGET)
+    command("unpack", "store", "target").add_argument("paths", nargs="*")
     a = vars(p.parse_args(args))
     spark, name = _session(), a.pop("command")
     if name == "validate":
@@ -150,7 +163,7 @@ def main(args: list[str] | None = None) -> None:
             print(json.dumps(r.asDict(), default=str))
         print(json.dumps(total.first().asDict()))
     else:
-        run = {"convert": convert_bags, "delete": delete_episodes, "split": split_dataset, "unify": unify_tasks, "merge": merge_folders}[name]
+        run = {"convert": convert_bags, "delete": delete_episodes, "split": split_dataset, "unify": unify_tasks, "merge": merge_folders, "pack": pack_folder, "unpack": unpack_store}[name]
         print(json.dumps(run(spark, **a)))
 
 

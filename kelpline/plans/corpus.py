@@ -25,29 +25,36 @@ def p5_cutoffs(spark: SparkSession, d: str) -> DataFrame:
     return spikes.cutoffs(spikes.measure(read(spark, d, "hdf5_frames")))
 
 
-#: Size of a container; at production scale 128 MiB, the default of ``pack``, here what gives the test tables several.
-CONTAINER_BYTES = 32 << 20
-
-
-def _store(spark: SparkSession, d: str) -> DataFrame:
-    return archive.pack(read(spark, d, "hdf5_frames"), read(spark, d, "files").filter("kind = 'hdf5'"), read(spark, d, "info"), CONTAINER_BYTES)
+def _store(spark: SparkSession, d: str) -> archive.Store:
+    return archive.pack_rows(read(spark, d, "hdf5_frames"), read(spark, d, "files").filter("kind = 'hdf5'"), read(spark, d, "info"))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return archive.packed_overlaps(read(spark, d, "hdf5_frames"), read(spark, d, "files").filter("kind = 'hdf5'"), read(spark, d, "info"), target_bytes=CONTAINER_BYTES)
+    return archive.packed_overlaps(read(spark, d, "hdf5_frames"), read(spark, d, "files").filter("kind = 'hdf5'"), read(spark, d, "info"))
 
 
 def p6_index(spark: SparkSession, d: str) -> DataFrame:
-    return archive.index_of(archive.write(_store(spark, d))).drop("records")
+    """What the index says of every packed file, and whether its members lie within one dataset's containers, end to end in their blocks."""
+    i = _store(spark, d).index
+    block = i.groupBy("container", "block").agg((F.sum("length") == F.max(F.col("offset") + F.col("length"))).alias("tight"))
+    mixed = i.groupBy("container").agg((F.countDistinct("dataset") == 1).alias("pure"))
+    j = i.join(block, ["container", "block"]).join(mixed, "container")
+    return j.groupBy("file_id", "dataset", "chunk", "path").agg(F.sum("n_rows").alias("n_rows"), F.min(F.col("tight") & F.col("pure")).alias("sound"))
+
+
+def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    """The containers' physical files and sizes."""
+    return archive.container_files(_store(spark, d))
 
 
 def p6_records(spark: SparkSession, d: str) -> DataFrame:
+    """Every record once, with all its columns, out of the containers."""
     frames = read(spark, d, "hdf5_frames")
-    rows = archive.unpack(archive.write(_store(spark, d)), frames.select("file_id", "episode_idx", "frame_index", "task_index", "robot"))
-    return archive.distinct_records(rows).select("episode_idx", "frame_index", "file_id", "robot", F.col("task_index").alias("task_index"))
+    rows = archive.distinct_records(archive.unpack_rows(_store(spark, d), frames))
+    return rows.withColumns({c: F.col(c).cast("array<double>") for c in ("state", "chassis_state", "action", "chassis_action")})
 
 
-QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p5_found": p5_found, "p5_cutoffs": p5_cutoffs, "p6_found": p6_found, "p6_index": p6_index, "p6_records": p6_records}
+QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p5_found": p5_found, "p5_cutoffs": p5_cutoffs, "p6_found": p6_found, "p6_index": p6_index, "p6_containers": p6_containers, "p6_records": p6_records}
 
 _ORPHANS = r"""
 with ep as (
@@ -104,7 +111,15 @@ ORACLE = {
     "p6_found": """
 select distinct a.file_id as file_id_a, b.file_id as file_id_b from hdf5_frames a join hdf5_frames b
 on a.episode_idx = b.episode_idx and a.frame_index = b.frame_index and a.file_id < b.file_id""",
+    "p6_index": r"""
+select r.file_id, coalesce(f.dataset, '') as dataset,
+       coalesce(case when f.episode_idx >= 0 and i.chunks_size > 0 then f.episode_idx // i.chunks_size end, -1) as chunk,
+       regexp_replace(regexp_replace(f.path, '/(\./|/)+', '/', 'g'), '^(\./|/)+', '') as path, r.n_rows, true as sound
+from (select file_id, count(*) as n_rows from hdf5_frames group by 1) r
+left join (select * from files where kind = 'hdf5') f on r.file_id = f.file_id left join info i on f.dataset = i.dataset""",
     "p6_records": """
-select episode_idx, frame_index, min(file_id) as file_id, arg_min(robot, file_id) as robot, arg_min_null(task_index, file_id) as task_index
-from hdf5_frames where episode_idx is not null and frame_index is not null group by 1, 2""",
+select episode_idx, frame_index, file_id, task_index, robot, timestamp, state::double[] as state, chassis_state::double[] as chassis_state,
+       action::double[] as action, chassis_action::double[] as chassis_action, written_at
+from (select *, row_number() over (partition by episode_idx, frame_index order by file_id nulls last) as nr
+      from hdf5_frames where episode_idx is not null and frame_index is not null) where nr = 1""",
 }

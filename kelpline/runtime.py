@@ -43,12 +43,17 @@ def materialize(df: DataFrame, label: str = "t", partition_by: tuple[str, ...] =
     This cuts the lineage and survives the loss of executors, since the files lie in storage all of them share.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/kelpline-{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, f"{shared_dir(spark)}/kelpline-{label}-{uuid.uuid4().hex}")
     df.write.options(**options).partitionBy(*partition_by).parquet(path)
-    _scratch.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_path(spark: SparkSession, path: str) -> str:
+    """``path``, to be deleted when the program ends."""
+    _scratch.append((spark, path))
+    return path
+
+
 def drop_scratch(df: DataFrame) -> None:
     """Delete the files of a table made by :func:`materialize` that nothing will read again."""
     for path in {m.group() for f in df.inputFiles() if (m := re.match(r".*/kelpline-[a-z]+-[0-9a-f]{32}(?=/)", f))}:
@@ -69,14 +74,19 @@ def _clean() -> None:
             return
 
 
-def small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """``df`` marked for broadcast if its estimated size is at most ``max_bytes`` (``BROADCAST_BYTES``), else unmarked.
+def fits(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether the estimated size of ``df`` is at most ``max_bytes`` (``BROADCAST_BYTES``); no job runs.
 
-    The estimate comes from the optimizer's statistics, so no job runs: for tables, what their files hold of the columns
-    read; for joins, an upper bound. An unmarked side is shuffled unless adaptive execution finds it small at run time.
+    The estimate comes from the optimizer's statistics: for tables, what their files hold of the columns read; for joins, an
+    upper bound.
     """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(df) if size <= (BROADCAST_BYTES if max_bytes is None else max_bytes) else df
+    return size <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
+
+
+def small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it :func:`fits`, else unmarked: shuffled unless adaptive execution finds it small at run time."""
+    return F.broadcast(df) if fits(df, max_bytes) else df
 
 
 def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -85,8 +95,8 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     Keys with 1/``HOT`` of all left rows or more are told by a combined count. Their rows meet the right rows by a broadcast
     of at most ``HOT`` rows; only the others are shuffled, so no key makes a large task. ``left`` is read three times.
     """
-    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("hot_n"))
-    hot = materialize(counts.join(F.broadcast(counts.agg(F.sum("hot_n").alias("hot_all")))).filter(F.col("hot_n") * HOT >= F.greatest("hot_all", F.lit(100 * HOT))).select(key), "hot")
+    least = max(left.count() / HOT, 100)
+    hot = materialize(left.groupBy(key).agg(F.count(F.lit(1)).alias("hot_n")).filter(F.col("hot_n") >= least).select(key), "hot")
     if not hot.limit(1).count():
         return left.join(right, key, how)
     hot = F.broadcast(hot)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kelpline import runtime
+from kelpline import cli, runtime
 from kelpline.operators import archive, orphans, spikes
 from tests.conftest import rows
 
@@ -167,18 +167,58 @@ def test_archive_is_lossless_and_counts_once(spark):
     df = frames(spark, cells)
     files = spark.createDataFrame([(i, "d" if i < 4 else None, f"./p//f{i}.hdf5", "hdf5", 0 if i < 6 else None, 50, "") for i in range(1, 8)], FILES)
     info = spark.createDataFrame([("d", 2), ("d", 2), (None, 1)], "dataset string, chunks_size long")
-    store = archive.write(archive.pack(df, files, info, target_bytes=100, block_bytes=64))
-    back = archive.unpack(store, df)
+    store = archive.pack_rows(df, files, info, target_bytes=9000, block_bytes=64)
+    back = archive.unpack_rows(store, df)
     assert sorted(map(str, rows(back))) == sorted(map(str, rows(df)))
-    assert rows(archive.overlapping_files(archive.index_of(store))) == [(1, 2)][:0] + [(1, 3), (2, 3), (4, 5), (4, 6), (5, 6)]
+    assert rows(archive.overlapping_files(store.index)) == [(1, 3), (2, 3), (4, 5), (4, 6), (5, 6)]
     one = archive.distinct_records(back)
     assert one.count() == len({(c[1], c[2]) for c in cells if c[1] is not None})
     assert {r["file_id"] for r in one.filter("episode_idx = 7").collect()} == {4}
-    assert archive.unpack(store, df, ["p/f2.hdf5"]).count() == 4
-    assert archive.overlapping_files(archive.index_of(archive.pack(df.filter("false"), files, info))).count() == 0
-    broken = store.withColumn("crc32", F.col("crc32") + 1)
+    assert archive.unpack_rows(store, df, ["p/f2.hdf5"]).count() == 4 and archive.unpack_rows(store, df, ["no"]).count() == 0
+    empty = archive.pack_rows(df.filter("false"), files, info)
+    assert archive.overlapping_files(empty.index).count() == archive.unpack_rows(empty, df).count() == 0
+    broken = archive.Store(store.path, store.index, store.blocks.withColumn("members", F.transform("members", lambda m: m.withField("crc32", m["crc32"] + 1))))
     with pytest.raises(Exception, match="checksum"):
-        archive.unpack(broken, df).count()
+        archive.unpack_rows(broken, df).count()
+
+
+def test_containers_are_files_of_the_target_size(spark, tmp_path, monkeypatch):
+    cells = [(f, f // 2, i, 1, "r", 0.0, [float(i)] * 40, None, None, "") for f in range(900) for i in range(4)]
+    df = frames(spark, cells)
+    files = spark.createDataFrame([(f, ("big", "mid", "tiny")[(f > 500) + (f > 895)], f"f{f}", "hdf5", f // 2 if f % 9 else None, None if f % 7 else 10**9, "") for f in range(900)], FILES)
+    info = spark.createDataFrame([("big", 20), ("mid", 1), ("tiny", 1000)], "dataset string, chunks_size long")
+    for rows_sent in (runtime.BROADCAST_BYTES, 0):  # with the plan broadcast, and with it shuffled
+        monkeypatch.setattr(runtime, "BROADCAST_BYTES", rows_sent)
+        store = archive.pack_rows(df, files, info, f"{tmp_path}/store{rows_sent}", target_bytes=256 << 10, block_bytes=32 << 10)
+        held = archive.container_files(store).collect()
+        assert {r["files"] for r in held} == {1} and len(held) > 6
+        sizes = [r["n_bytes"] for r in held]
+        assert sum(s for s in sizes if 128 << 10 <= s <= 512 << 10) > 0.95 * sum(sizes)
+        assert sorted(map(str, rows(archive.unpack_rows(archive.open_store(spark, store.path), df)))) == sorted(map(str, rows(df)))
+        spread = store.index.groupBy("container").agg(F.countDistinct("dataset").alias("n")).filter("n > 1").count()
+        assert spread == 0
+    plan = archive._wanted(store, ["f3"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "container" in plan and archive.unpack_rows(store, df, ["f3"]).count() == 4
+    with pytest.raises(Exception):
+        archive.pack_rows(df, files, info, store.path)  # never over another store
+
+
+def test_original_bytes_come_back(spark, tmp_path):
+    want = {f"{d}/e{i}.hdf5": bytes([i % 256]) * (i * 37 % 5000) for i, d in enumerate(["a", "b", "a/deep"] * 40)}
+    want["top.hdf5"] = b""
+    for name, data in want.items():
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(data)
+    store = archive.pack_files(spark, f"{tmp_path}/in", f"{tmp_path}/store", target_bytes=100_000, block_bytes=20_000)
+    assert {r["path"]: bytes(r["content"]) for r in archive.read_files(store).collect()} == want
+    assert [bytes(r["content"]) for r in archive.read_files(store, ["b/e1.hdf5"]).collect()] == [want["b/e1.hdf5"]]
+    assert archive.container_files(store).count() < 12
+    assert archive.extract_files(archive.open_store(spark, store.path), f"{tmp_path}/out") == len(want)
+    assert all((tmp_path / "out" / n).read_bytes() == b for n, b in want.items())
+    with pytest.raises(Exception):
+        archive.open_store(spark, f"{tmp_path}/in").index.count()
+    assert cli.pack_folder(spark, f"{tmp_path}/in", f"{tmp_path}/packed", target_bytes=10**9)["files"] == len(want)
+    assert cli.unpack_store(spark, f"{tmp_path}/packed", f"{tmp_path}/some", ["b/e1.hdf5"]) == {"files": 1}
 
 
 def test_long_files_come_back_from_several_tasks(spark, monkeypatch):
@@ -190,23 +230,15 @@ def test_long_files_come_back_from_several_tasks(spark, monkeypatch):
     df = frames(spark, [*long, *flat, *lone, *short])
     files = spark.createDataFrame([(i, "d", f"f{i}", "hdf5", 0, 50, "") for i in (1, 2, 3)], FILES)
     info = spark.createDataFrame([("d", 10)], "dataset string, chunks_size long")
-    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
-    try:
-        spark.conf.set("spark.sql.shuffle.partitions", "16")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        store = archive.write(archive.pack(df, files, info, block_bytes=512))
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
-    key = ["dataset", "chunk", "part", "block"]
-    assert store.filter("payload is not null").groupBy(*key).count().filter("count > 1").count() == 0
-    assert archive.index_of(store).agg(F.max("n_rows")).first()[0] <= 8
-    assert len(store.inputFiles()) > 4
-    assert sorted(map(str, rows(archive.unpack(store, df)))) == sorted(map(str, rows(df)))
+    store = archive.pack_rows(df, files, info, target_bytes=6000, block_bytes=512)
+    assert store.blocks.groupBy("container", "block").count().filter("count > 1").count() == 0
+    assert store.index.agg(F.max("n_rows")).first()[0] <= 8
+    assert store.index.filter("file_id = 1").select("container").distinct().count() > 2
+    assert sorted(map(str, rows(archive.unpack_rows(store, df)))) == sorted(map(str, rows(df)))
 
 
 def test_archive_ignores_clashing_columns(spark):
-    df = frames(spark, [(1, 0, 0, 1, "r", 0.0, None, None, None, "")]).withColumns({"dataset": F.lit("mine"), "part": F.lit(5), "path": F.lit("q")})
+    df = frames(spark, [(1, 0, 0, 1, "r", 0.0, None, None, None, "")]).withColumns({"dataset": F.lit("mine"), "container": F.lit(5), "path": F.lit("q"), "first": F.lit(1)})
     files = spark.createDataFrame([(1, "d", "f", "hdf5", 0, None, "")], FILES)
-    back = archive.unpack(archive.pack(df, files, spark.createDataFrame([("d", 10)], "dataset string, chunks_size long")), df)
-    assert rows(back.select("dataset", "part", "path")) == [("mine", 5, "q")]
+    back = archive.unpack_rows(archive.pack_rows(df, files, spark.createDataFrame([("d", 10)], "dataset string, chunks_size long")), df)
+    assert rows(back.select("dataset", "container", "path", "first")) == [("mine", 5, "q", 1)]
