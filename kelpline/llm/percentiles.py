@@ -1,93 +1,110 @@
 """Exact percentiles of very many groups by bisection, and mergeable histograms with a bounded error.
 
-A double is mapped to a 64-bit key of the same order. For every group and percentile an interval of keys is kept that
-holds the target rank; a pass counts the rows below its midpoints (``fanout`` - 1 of them at once; 2 is plain
-bisection) and keeps the part with the rank. Counts of parts add up, so those of months combine to that of all.
+For every group and percentile an interval of values is kept that holds the target rank. A pass cuts each interval into
+``fanout`` parts (2 is plain bisection), counts the rows of each and takes the part with the rank, drawn in to the
+smallest and largest value that occur there. Only rows inside an interval still open are read by the next pass. Counts
+of parts add up, so those of months combine to that of all. All of it is plain arithmetic in generated code.
 A percentile p of n values is the one of rank ceil(p n), at least 1 (the lower one, a value that occurs).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from kelpline.runtime import drop_scratch, materialize, small
+from kelpline import runtime
+from kelpline.runtime import drop_scratch, materialize
 
 #: An interval with at most so many rows is resolved by listing them.
 FINISH = 64
-#: Groups that still have open intervals are broadcast up to this number (their keys are short texts), else shuffled.
-SMALL = 50_000
-#: Bits of a key that a histogram's bin keeps: sign, exponent and 8 of the fraction, so bins are under 0.4 % wide.
-BIN_BITS = 20
+#: The largest finite double, and what makes the logarithm of every positive double positive.
+LARGEST, SHIFT = 1.7976931348623157e308, 745.0
+#: Bins a unit of the logarithm that a histogram has: bins are under 0.4 % wide.
+GRAIN = 256
+
+
+def _log(x: Column) -> Column:
+    """A measure of the same order as ``x`` that is logarithmic on either side of zero; finite for finite ``x``."""
+    return F.when(x == 0, 0.0).otherwise(F.signum(x) * (F.ln(F.abs(x)) + SHIFT))
 
 
-def order_key(x: Column) -> Column:
-    """A long of the same order as the double ``x``; both zeros are alike, null and NaN give null."""
-    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), x + F.lit(0.0)).cast("long")
-    return F.when(x.isNotNull() & ~F.isnan(x), F.when(bits < 0, bits.bitwiseXOR(F.lit(2**63 - 1))).otherwise(bits))
+def _part(x: Column, lo: Column, hi: Column, fanout: int) -> Column:
+    """Which part of [``lo``, ``hi``] holds ``x``, from 0 on in the order of ``x``; infinities are parts of their own.
+
+    An interval within a factor of four is cut evenly, any other by the logarithm, so few passes reach neighbouring
+    doubles. Rounding is monotone, so parts never overlap; ``lo`` and ``hi`` always come into different ones.
+    """
+    low, high = F.greatest(lo, F.lit(-LARGEST)), F.least(hi, F.lit(LARGEST))
+    near = ((low > 0) & (high / 4 <= low)) | ((high < 0) & (low / 4 >= high))
+    even = (x - low) / (high - low)
+    far = (_log(x) - _log(low)) / (_log(high) - _log(low))
+    part = F.least(F.floor(F.when(near, even).otherwise(far) * fanout), F.lit(fanout - 1)) + 1
+    return F.when(x < low, 0).when(x > high, fanout + 1).otherwise(F.when(low < high, part).otherwise(1)).cast("int")
 
 
-def key_value(key: Column) -> Column:
-    bits = F.when(key < 0, key.bitwiseXOR(F.lit(2**63 - 1))).otherwise(key)
-    return F.java_method(F.lit("java.lang.Double"), F.lit("longBitsToDouble"), bits).cast("double")
+def _meet(rows: DataFrame, intervals: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """The rows inside an interval of their group, with its ``lo`` and ``hi``; hot groups by a broadcast of bounded size."""
+    i = intervals.select(F.col("grp").alias("i_grp"), "lo", "hi")
+    on = (F.col("grp") == F.col("i_grp")) & F.col("x").between(F.col("lo"), F.col("hi"))
+    if hot is None or runtime.fits(i):
+        return rows.join(runtime.small(i), on).drop("i_grp")
+    hot = F.broadcast(hot)
+    of = lambda how: i.join(hot.withColumnRenamed("grp", "i_grp"), "i_grp", how)
+    return rows.join(F.broadcast(of("left_semi")), on).unionByName(rows.join(hot, "grp", "left_anti").join(of("left_anti"), on)).drop("i_grp")
 
 
 def percentiles(values: DataFrame, groups: list[str], value: str, permille: tuple[int, ...] = (500, 900, 990), fanout: int = 16) -> DataFrame:
     """``groups, permille, n, value``: exact percentiles of each group, without null and NaN values.
 
-    Null group keys form groups; keys must be types that JSON keeps (text, integers, booleans, dates). Groups of any size are counted in partial sums; no group is gathered in one place.
-    A group without usable values has no rows. Ties and repeated rows count each.
+    Null group keys form groups; keys may be of any type that can be grouped by. Groups of any size are counted in
+    partial sums; no group is gathered in one place, and one with many rows meets its intervals by broadcast.
+    A group without usable values has no rows. Ties and repeated rows count each; both zeros are alike.
     """
-    grp = F.struct(*groups)
-    keyed = values.select(F.to_json(grp, {"ignoreNullFields": "false"}).alias("grp"), order_key(F.col(value).cast("double")).alias("k")).filter("k is not null")
-    keyed = materialize(keyed, "keys")
-    kinds = values.select(*groups).schema
-    first = keyed.groupBy("grp").agg(F.count("*").alias("n"), F.min("k").alias("lo"), F.max("k").alias("hi"))
-    state = first.select("grp", "n", F.explode(F.array(*map(F.lit, permille))).alias("permille"), "lo", "hi")
-    state = state.withColumns({"rank": F.greatest(F.lit(1).cast("long"), F.expr("(n * permille + 999) div 1000")), "below": F.lit(0).cast("long"), "inside": F.col("n")})
-    state = materialize(state, "state")
-    for _ in range(70):
-        open_ = (F.col("inside") > FINISH) & (F.col("lo") < F.col("hi"))
-        todo = state.filter(open_)
-        if not todo.limit(1).count():
+    x = F.col(value).cast("double")
+    rows = materialize(values.select(F.struct(*groups).alias("grp"), (x + F.lit(0.0)).alias("x")).filter("x is not null and not isnan(x)"), "values")
+    first = materialize(rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")), "groups")
+    total = first.agg(F.sum("n").alias("n")).first()["n"] or 0
+    hot = first.filter((F.col("n") * runtime.HOT >= total) & (F.col("n") > FINISH)).select("grp")  # at most HOT groups
+    rank = F.greatest(F.lit(1).cast("long"), F.expr("(n * permille + 999) div 1000"))
+    state = first.withColumn("permille", F.explode(F.array(*map(F.lit, permille)))).select("grp", "permille", "n", rank.alias("rank"), "lo", "hi", F.col("n").alias("inside"))
+    done, rows_in = [], rows
+    for _ in range(100):
+        done.append(state.filter("lo = hi").select("grp", "permille", "n", F.col("lo").alias("value")))
+        few, many = state.filter(f"lo < hi and inside <= {FINISH}"), state.filter(f"lo < hi and inside > {FINISH}")
+        listed = _meet(rows_in, few.select("grp", "lo", "hi").distinct(), hot).groupBy("grp", "lo").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+        listed = few.join(listed.select(F.col("grp").alias("l_grp"), F.col("lo").alias("l_lo"), "xs"), (F.col("grp") == F.col("l_grp")) & (F.col("lo") == F.col("l_lo")))
+        done.append(materialize(listed.select("grp", "permille", "n", F.element_at("xs", F.col("rank").cast("int")).alias("value")), "listed"))
+        if not many.limit(1).count():
             break
-        # lo + i * step without overflow: the width of an interval of longs may exceed a long
-        step = F.expr(f"hi div {fanout} - lo div {fanout} + 1")
-        cuts = F.filter(F.concat(F.array("lo"), F.transform(F.sequence(F.lit(1), F.lit(fanout - 1)), lambda i: F.try_add(F.col("lo"), F.try_multiply(i.cast("long"), F.col("step"))))), lambda c: c.isNotNull() & (c <= F.col("hi")))
-        cut = todo.withColumn("step", step).withColumn("cuts", cuts)
-        by_grp = materialize(cut.groupBy("grp").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("cuts")))).alias("all_cuts"), F.min("lo").alias("from"), F.max("hi").alias("to")), "cuts")
-        seen = keyed.join(small(by_grp, SMALL), "grp")
-        bucket = F.when(F.col("k") > F.col("to"), -1).otherwise(F.size(F.filter("all_cuts", lambda c: c <= F.col("k"))))
-        counts = seen.select("grp", bucket.alias("b")).filter("b >= 0").groupBy("grp", "b").agg(F.count("*").alias("m"))
-        table = counts.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("b", "m"))).alias("m")).join(by_grp, "grp")
-        # for each cut the number of values below it; they follow from the counts of all lower buckets
-        less = F.transform("all_cuts", lambda c, j: F.struct(c.alias("c"), F.aggregate(F.map_entries("m"), F.lit(0).cast("long"), lambda a, e: a + F.when(e["key"] <= j, e["value"]).otherwise(F.lit(0))).alias("lt")))
-        table = table.select("grp", less.alias("less"))
-        j = cut.join(table, "grp")
-        mine = F.filter("less", lambda x: F.array_contains(F.col("cuts"), x["c"]))
-        j = j.withColumn("less", mine)
-        ok = F.filter("less", lambda x: x["lt"] < F.col("rank"))
-        nxt = F.filter("less", lambda x: x["lt"] >= F.col("rank"))
-        top = F.when(F.size(nxt) > 0, nxt[0]["c"] - 1).otherwise(F.col("hi"))
-        upto = F.when(F.size(nxt) > 0, nxt[0]["lt"]).otherwise(F.col("below") + F.col("inside"))
-        best = F.element_at(ok, -1)
-        new = j.select("grp", "n", "permille", best["c"].alias("lo"), top.alias("hi"), "rank", best["lt"].alias("below"), (upto - best["lt"]).alias("inside"))
-        old, state = state, materialize(new.unionByName(state.filter(~open_)), "state")
-        drop_scratch(old)
-        drop_scratch(by_grp)
-    done = state.filter("lo = hi").select("grp", "permille", "n", F.col("lo").alias("k"))
-    rest = state.filter("lo < hi")
-    found = keyed.join(small(rest.select("grp", "permille", "n", "lo", "hi", "rank", "below"), SMALL), "grp").filter("k between lo and hi")
-    listed = found.groupBy("grp", "permille", "n", "rank", "below").agg(F.array_sort(F.collect_list("k")).alias("ks"))
-    listed = listed.select("grp", "permille", "n", F.element_at("ks", (F.col("rank") - F.col("below")).cast("int")).alias("k"))
-    out = done.unionByName(listed).withColumn("g", F.from_json("grp", kinds))
-    return out.select(*[f"g.{c}" for c in groups], "permille", "n", key_value(F.col("k")).alias("value"))
+        inside = materialize(_meet(rows_in, many.select("grp", "lo", "hi").distinct(), hot), "inside")
+        counts = inside.groupBy("grp", "lo", _part(F.col("x"), F.col("lo"), F.col("hi"), fanout).alias("part")).agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("least"), F.max("x").alias("most"))
+        parts = counts.groupBy("grp", "lo").agg(F.array_sort(F.collect_list(F.struct("part", "m", "least", "most"))).alias("parts"))  # at most fanout + 2
+        j = many.join(parts.select(F.col("grp").alias("p_grp"), F.col("lo").alias("p_lo"), "parts"), (F.col("grp") == F.col("p_grp")) & (F.col("lo") == F.col("p_lo")))
+        zero = F.struct(F.lit(0).cast("long").alias("below"), F.lit(None).cast("double").alias("least"), F.lit(None).cast("double").alias("most"), F.lit(0).cast("long").alias("m"))
+        take = lambda a, p: (
+            F.when(a["least"].isNotNull(), a)
+            .when(a["below"] + p["m"] >= F.col("rank"), F.struct(a["below"].alias("below"), p["least"].alias("least"), p["most"].alias("most"), p["m"].alias("m")))
+            .otherwise(F.struct((a["below"] + p["m"]).alias("below"), a["least"].alias("least"), a["most"].alias("most"), a["m"].alias("m")))
+        )
+        j = j.withColumn("to", F.aggregate("parts", zero, take))
+        state = materialize(j.select("grp", "permille", "n", (F.col("rank") - F.col("to.below")).alias("rank"), F.col("to.least").alias("lo"), F.col("to.most").alias("hi"), F.col("to.m").alias("inside")), "state")
+        if rows_in is not rows:
+            drop_scratch(old)
+        old, rows_in = inside, inside.select("grp", "x")
+    else:
+        raise RuntimeError("intervals are still open after 100 passes")
+    return reduce(DataFrame.unionByName, done).select(*[F.col(f"grp.{c}").alias(c) for c in groups], "permille", "n", "value")
 
 
 def histogram(values: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """``groups, bin, n``: a mergeable state of each group; states of parts are combined by adding ``n``."""
-    k = order_key(F.col(value).cast("double"))
-    return values.withColumn("bin", F.shiftright(k, 64 - BIN_BITS)).filter("bin is not null").groupBy(*groups, "bin").agg(F.count("*").alias("n"))
+    """``groups, bin, n``: a mergeable state of each group; states of parts are combined by adding ``n``. Null and NaN count nowhere."""
+    x = F.col(value).cast("double")
+    finite = F.when(x == 0, 0).otherwise((F.signum(x) * (F.floor(_log(F.abs(x)) * GRAIN) + 1)).cast("int"))
+    b = F.when(F.abs(x) <= LARGEST, finite).otherwise(F.signum(x).cast("int") * (1 << 30))
+    return values.withColumn("bin", F.when(~F.isnan(x), b)).filter("bin is not null").groupBy(*groups, "bin").agg(F.count("*").alias("n"))
 
 
 def combine(states: DataFrame, groups: list[str]) -> DataFrame:
@@ -97,43 +114,40 @@ def combine(states: DataFrame, groups: list[str]) -> DataFrame:
 def from_histogram(states: DataFrame, groups: list[str], permille: tuple[int, ...] = (500, 900, 990)) -> DataFrame:
     """``groups, permille, n, lo, hi``: bounds that hold the exact percentile; they differ by under 0.4 % of it.
 
-    A group has at most 2^20 bins, in practice as many as its values have magnitudes.
+    A group has at most as many bins as all doubles, about 750,000; they are summed in order, not gathered.
     """
-    bins = F.array_sort(F.collect_list(F.struct("bin", "n")))
-    g = states.groupBy(*groups).agg(bins.alias("bins"), F.sum("n").alias("n")).withColumn("permille", F.explode(F.array(*map(F.lit, permille))))
-    g = g.withColumn("rank", F.greatest(F.lit(1).cast("long"), F.expr("(n * permille + 999) div 1000")))
-    at = F.aggregate("bins", F.struct(F.lit(0).cast("long").alias("c"), F.lit(None).cast("long").alias("b")), lambda a, x: F.struct((a["c"] + x["n"]).alias("c"), F.when(a["b"].isNull() & (a["c"] + x["n"] >= F.col("rank")), x["bin"]).otherwise(a["b"]).alias("b")))
-    shift = 1 << (64 - BIN_BITS)
-    b = g.withColumn("b", at["b"])
-    return b.select(*groups, "permille", "n", key_value(F.col("b") * shift).alias("lo"), key_value(F.col("b") * shift + (shift - 1)).alias("hi"))
-
-
-#: Numbers of larger size are no measurements.
-MAX_SIZE = 1e9
-#: Lengths from 1 to this are lengths.
-MAX_LENGTH = 100_000_000
-
-
-def episode_numbers(episodes: DataFrame, stats: DataFrame) -> DataFrame:
+    w = Window.partitionBy(*groups).orderBy("bin")
+    c = states.select(*groups, "bin", F.col("n").alias("m"), F.sum("n").over(w).alias("upto"), F.sum("n").over(Window.partitionBy(*groups)).alias("n"))
+    c = c.withColumn("permille", F.explode(F.array(*map(F.lit, permille)))).withColumn("rank", F.greatest(F.lit(1).cast("long"), F.expr("(n * permille + 999) div 1000")))
+    c = c.filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("m") < F.col("rank")))
+    size, sign = F.abs("bin"), F.signum("bin")
+    # the logarithm's last digits must not put a value at an edge outside
+    near, far = F.exp((size - 1) / F.lit(float(GRAIN)) - SHIFT) * (1 - 1e-12), F.exp(size / F.lit(float(GRAIN)) - SHIFT) * (1 + 1e-12)
+    near, far = (F.when(size == 0, 0.0).when(size == 1 << 30, float("inf")).otherwise(e) for e in (near, far))
+    return c.select(*groups, "permille", "n", F.when(sign < 0, -far).otherwise(near).alias("lo"), F.when(sign < 0, -near).otherwise(far).alias("hi"))
+
+
+def episode_numbers(episodes: DataFrame, stats: DataFrame, max_length: float = LARGEST, max_size: float = LARGEST) -> DataFrame:
     """``metric, dataset, robot, month, value``: ``length`` and every number of ``stats`` (``feature/statistic``), long form.
 
     An episode counts once: its length as last delivered (and not deleted), the last of its statistics that can be
-    read. Left out are lengths outside 1 to ``MAX_LENGTH``, broken JSON, texts that are no finite numbers and numbers
-    of size over ``MAX_SIZE``. ``count`` may be a number or a list. The month is that of arrival or writing.
+    read. Left out are lengths under 1 or over ``max_length``, broken JSON, texts that are no finite numbers and numbers
+    of size over ``max_size`` (by default every finite number is kept). ``count`` may be a number or a list. The month is
+    that of arrival or writing.
     """
     last = lambda df, c, *by: df.groupBy("episode_index").agg(F.max_by(c, F.struct(*by)).alias("r")).select("episode_index", "r.*")
     e = episodes.filter("episode_index is not null")
     gone = e.groupBy("episode_index").agg(F.bool_or(F.col("deleted_at").isNotNull()).alias("gone"), F.min("ingested_at").alias("arrived"))
     e = last(e, F.struct("dataset", "robot", "length"), F.col("ingested_at"), F.col("length"), F.col("dataset"), F.col("robot")).join(gone, "episode_index").filter("not gone")
     month = lambda c: F.date_format(c, "yyyy-MM")
-    lengths = e.filter(F.col("length").between(1, MAX_LENGTH)).select(F.lit("length").alias("metric"), "dataset", "robot", month("arrived").alias("month"), F.col("length").cast("double").alias("value"))
+    lengths = e.filter(F.col("length").between(1, max_length)).select(F.lit("length").alias("metric"), "dataset", "robot", month("arrived").alias("month"), F.col("length").cast("double").alias("value"))
     parsed = F.from_json("stats", "map<string,map<string,string>>")
     s = stats.filter("episode_index is not null").select("episode_index", "stats", "written_at", parsed.alias("p")).filter("p is not null")
     s = last(s, F.struct("p", "written_at"), F.col("written_at"), F.col("stats"))
     s = s.select("episode_index", "written_at", F.explode("p").alias("feature", "q")).select("episode_index", "written_at", "feature", F.explode("q").alias("stat", "text"))
     numbers = F.explode(F.split(F.regexp_replace("text", r"[\[\]\s]", ""), ","))
     s = s.select("episode_index", "written_at", F.concat_ws("/", "feature", "stat").alias("metric"), numbers.alias("x")).withColumn("value", F.col("x").try_cast("double"))
-    s = s.filter(F.abs("value") <= MAX_SIZE).filter(~F.isnan("value"))
+    s = s.filter(F.abs("value") <= max_size).filter(~F.isnan("value"))
     return lengths.unionByName(s.join(e.select("episode_index", "dataset", "robot"), "episode_index").select("metric", "dataset", "robot", month("written_at").alias("month"), "value"))
 
 

@@ -45,10 +45,12 @@ def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 
 GROUPS = ["metric", "dataset", "robot", "month"]
+#: What is usable in the tables' statistics: lengths up to this, numbers up to this size.
+USABLE = {"max_length": 100_000_000, "max_size": 1e9}
 
 
 def _numbers(spark: SparkSession, d: str) -> DataFrame:
-    return percentiles.episode_numbers(read(spark, d, "episodes"), read(spark, d, "episodes_stats"))
+    return percentiles.episode_numbers(read(spark, d, "episodes"), read(spark, d, "episodes_stats"), **USABLE)
 
 
 def p4_percentiles(spark: SparkSession, d: str) -> DataFrame:
@@ -62,10 +64,15 @@ def p4_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_combined(spark: SparkSession, d: str) -> DataFrame:
-    """Bounds of the percentiles of each dataset and robot from the added histograms of single months."""
-    months = percentiles.histogram(_numbers(spark, d), GROUPS, "value")
+    """The percentiles of each dataset and robot, exact, and whether the bounds from the added histograms of single months hold them."""
+    numbers = materialize(_numbers(spark, d), "numbers")
     rest = ["metric", "dataset", "robot"]
-    return percentiles.from_histogram(percentiles.combine(months, rest), rest)
+    bounds = percentiles.from_histogram(percentiles.combine(percentiles.histogram(numbers, GROUPS, "value"), rest), rest)
+    exact = percentiles.percentiles(numbers, rest, "value").withColumnsRenamed({"n": "n_exact", "permille": "p"})
+    same = [F.col(c).eqNullSafe(F.col(f"e_{c}")) for c in rest] + [F.col("permille") == F.col("p")]
+    j = bounds.join(exact.withColumnsRenamed({c: f"e_{c}" for c in rest}), same, "full")
+    near = (F.col("value").between(F.col("lo"), F.col("hi"))) & (F.col("hi") - F.col("lo") <= 0.004 * F.abs("value")) & (F.col("n") == F.col("n_exact"))
+    return j.select(*rest, "permille", "n", "value", F.coalesce(near, F.lit(False)).alias("holds"))
 
 
 def _sizes(spark: SparkSession, d: str) -> DataFrame:
@@ -133,6 +140,10 @@ ORACLE = {
 , both_ as (select * from numbers union all select metric, dataset, robot, null, value from numbers),
 ranked as (select *, row_number() over (partition by metric, dataset, robot, month order by value) as nr, count(*) over (partition by metric, dataset, robot, month) as n from both_)
 select metric, dataset, robot, month, permille, n, value from ranked, (select unnest([500, 900, 990])::int as permille)
+where nr = greatest(1, (n * permille + 999) // 1000)""",
+    "p4_combined": _NUMBERS + """
+, ranked as (select *, row_number() over (partition by metric, dataset, robot order by value) as nr, count(*) over (partition by metric, dataset, robot) as n from numbers)
+select metric, dataset, robot, permille, n, value, true as holds from ranked, (select unnest([500, 900, 990])::int as permille)
 where nr = greatest(1, (n * permille + 999) // 1000)""",
     "p4_metrics": _NUMBERS + """
 , ranked as (select *, row_number() over (partition by metric order by value) as nr, count(*) over (partition by metric) as n from numbers)
