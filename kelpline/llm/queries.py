@@ -103,10 +103,15 @@ def p9_composition(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_leaves(spark: SparkSession, d: str) -> DataFrame:
-    """The leaves of the tree, their labels and their most discriminative terms."""
+    """The leaves of the tree: label, purity, closest terms, and the passages of all documents in each."""
+    docs = read(spark, d, "documents")
     tree = _classified(spark, d)[1]
-    rows = [] if tree.empty else [(i, int(s), t) for i, (s, t) in enumerate(zip(tree.labels, tree.terms))]
-    return spark.createDataFrame(rows, "leaf int, subject_id long, terms array<string>")
+    rows = [(i, int(s), float(m.max()), t) for i, (s, m, t) in enumerate(zip(tree.labels, tree.mixture, tree.terms))]
+    leaves = spark.createDataFrame(rows, "leaf int, subject_id long, share double, terms array<string>")
+    if tree.empty:
+        return leaves.withColumn("n_passages", F.lit(0).cast("long"))
+    held = subjects.document_leaves(docs, tree).groupBy("leaf").agg(F.sum("n").alias("n_passages"))
+    return leaves.join(held, "leaf", "left").fillna(0, ["n_passages"])
 
 
 QUERIES = {
