@@ -8,18 +8,17 @@ contracted graph then converges in few rounds, as each round also jumps to the l
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kelpline.runtime import drop_scratch, materialize
+from kelpline.runtime import drop_scratch, join_unique, materialize, small
 
 #: A recording's name ends with its date and time; a number after that is a segment of the same recording.
 RECORDING = r"^(.*?(?:19|20)\d{2}[-_]?\d{2}[-_]?\d{2}[-_tT ]?\d{2}[-_:]?\d{2}[-_:]?\d{2})(?:_\d+)?$"
-#: Groups of at least 1/LARGE of all records, at most LARGE of them, are assigned one by one.
-LARGE = 2_000
-#: So many labels are told apart, the most frequent; the others count as one.
-LABELS = 1_000
+#: Groups of at least 1/LARGE of all records, at most LARGE of them, are assigned one by one, by the counts of the labels that
+#: have 1/LARGE of all records, at most LARGE of them, and of the others taken together.
+LARGE = 500
 #: Small groups of a stratum are dealt out in so many buckets.
 BUCKETS = 1024
 
@@ -56,7 +55,7 @@ def components(links: DataFrame, record: str = "record", entity: str = "entity",
     """
     links = materialize(links.filter(F.col(record).isNotNull() & F.col(entity).isNotNull()).select(F.col(record).alias("record"), F.col(entity).alias("entity")).distinct(), "links")
     head = links.groupBy("entity").agg(F.min("record").alias("head"))
-    heads = materialize(links.join(head, "entity").select("record", "head").distinct(), "heads")
+    heads = materialize(join_unique(links, head, "entity").select("record", "head").distinct(), "heads")
     star = materialize(heads.groupBy("record").agg(F.min("head").alias("low"), F.count("*").alias("n")), "star")
     edges = heads.join(star.filter("n > 1").select("record", "low"), "record").select("low", "head").filter("low <> head")
     edges = materialize(edges.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("head").alias("b")), F.struct(F.col("head").alias("a"), F.col("low").alias("b")))).alias("x")).select("x.a", "x.b").distinct(), "edges")
@@ -86,29 +85,31 @@ def episode_components(episodes: DataFrame) -> DataFrame:
 def deal_groups(records: DataFrame, record: str, group: str, label: str, splits: dict[str, float]) -> DataFrame:
     """``record, group, split``: whole groups dealt out to ``splits`` (name to share, summing to 1).
 
-    Every group goes to one split. Large groups (at most ``LARGE`` of them, as each holds 1/LARGE of the records or
-    more) are assigned in descending size to the split where they least raise the summed squared deviation of the
-    label counts from their targets. The rest are dealt out stratum by stratum, the stratum being a group's most
-    frequent label: hash buckets of groups are laid end to end and cut where the shares still open end. A null label
-    is a label. Records are expected to be unique; null groups are dealt out record by record.
+    Every group goes to one split. Large groups (``LARGE`` at most) are assigned in descending size to the split where they
+    least raise the summed squared deviation of the label counts from their targets. The rest are dealt out stratum by
+    stratum, the stratum being a group's most frequent label, whatever the number of labels: buckets of groups in hash
+    order are laid end to end from a place that the label's hash tells, and cut where the shares stand open that the large
+    groups left. So a stratum of many groups comes within a bucket of its shares, and strata of one group each do not all
+    fall to the largest split. A null label is a label. Records are expected to be unique; null groups are dealt out record
+    by record.
     """
     names, shares = list(splits), np.array([splits[k] for k in splits])
+    spark, other = records.sparkSession, "\u0000"
     r = records.select(F.col(record).alias("record"), F.coalesce(F.col(group).cast("string"), F.concat(F.lit("\u0000"), F.col(record).cast("string"))).alias("grp"), F.coalesce(F.col(label).cast("string"), F.lit("")).alias("lab"))
     cells = materialize(r.groupBy("grp", "lab").agg(F.count("*").alias("n")), "cells")
-    totals = {x["lab"]: x["n"] for x in cells.groupBy("lab").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lab").limit(LABELS).collect()}
-    if len(totals) == LABELS:
-        known = spark_labels(records.sparkSession, totals)
-        cells = materialize(cells.join(F.broadcast(known), "lab", "left").groupBy("grp", F.coalesce("known", F.lit("")).alias("lab")).agg(F.sum("n").alias("n")), "cells")
-    groups = cells.groupBy("grp").agg(F.sum("n").alias("size"), F.max_by("lab", F.struct("n", "lab")).alias("stratum"))
-    whole = cells.agg(F.sum("n").alias("n")).first()["n"] or 0
-    if whole > sum(totals.values()):
-        totals[""] = totals.get("", 0) + whole - sum(totals.values())
-    large = groups.filter(F.col("size") * LARGE >= whole).select("grp", "size")
+    groups = materialize(cells.groupBy("grp").agg(F.sum("n").alias("size"), F.max_by("lab", F.struct("n", "lab")).alias("stratum")), "groups")
+    totals = materialize(cells.groupBy("lab").agg(F.sum("n").alias("total")), "totals")
+    whole = totals.agg(F.sum("total").alias("n")).first()["n"] or 0
+    large = groups.filter(F.col("size") * LARGE >= whole).select("grp")
+    frequent = totals.filter(F.col("total") * LARGE >= whole)
+    target_of = {x["lab"]: x["total"] for x in frequent.collect()}
+    of_large = cells.join(F.broadcast(large), "grp").join(F.broadcast(frequent), "lab", "left").groupBy("grp", F.when(F.col("total").isNull(), other).otherwise(F.col("lab")).alias("lab")).agg(F.sum("n").alias("n"))
     vectors: dict[str, dict[str, int]] = {}
-    for x in cells.join(F.broadcast(large.select("grp")), "grp").collect():
-        vectors.setdefault(x["grp"], {})[x["lab"] if x["lab"] in totals else ""] = x["n"]
-    labs = {k: i for i, k in enumerate({**totals, "": totals.get("", 0)})}
-    target = np.array([totals.get(k, 0) for k in labs], float)[:, None] * shares
+    for x in of_large.collect():  # at most LARGE times LARGE + 1 cells
+        vectors.setdefault(x["grp"], {})[x["lab"]] = x["n"]
+    target_of[other] = whole - sum(target_of.values())
+    labs = {k: i for i, k in enumerate(target_of)}
+    target = np.array(list(target_of.values()), float)[:, None] * shares
     got, chosen = np.zeros_like(target), {}
     weight = 1 / np.maximum(target.sum(1, keepdims=True), 1)
     for grp in sorted(vectors, key=lambda g: (-sum(vectors[g].values()), g)):
@@ -119,24 +120,24 @@ def deal_groups(records: DataFrame, record: str, group: str, label: str, splits:
         s = int(np.argmin(rise))
         got[at, s] += n[:, 0]
         chosen[grp] = names[s]
-    spark = records.sparkSession
-    fixed = spark.createDataFrame(list(chosen.items()) or [("", "")], "grp string, split string").filter(F.lit(bool(chosen)))
-    open_ = np.maximum(target - got, 0)
-    ends = np.cumsum(open_ / np.maximum(open_.sum(1, keepdims=True), 1e-9), axis=1)
-    default = np.cumsum(shares)
-    bounds = spark.createDataFrame([(k, [float(v) for v in (ends[i] if open_[i].sum() > 0 else default)]) for k, i in labs.items()], "stratum string, ends array<double>")
-    rest = groups.join(F.broadcast(fixed), "grp", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("grp"), F.lit(BUCKETS)))
+    fixed = F.broadcast(spark.createDataFrame(list(chosen.items()), "grp string, split string"))
+    # what each label, frequent or not, still lacks in each split
+    has = [F.coalesce(F.sum(F.when(F.col("split") == k, F.col("n"))), F.lit(0)).alias(f"has_{i}") for i, k in enumerate(names)]
+    lacks = totals.join(cells.join(fixed, "grp").groupBy("lab").agg(*has), "lab", "left")
+    open_ = [F.greatest(F.col("total") * F.lit(float(x)) - F.coalesce(F.col(f"has_{i}"), F.lit(0)), F.lit(0.0)) for i, x in enumerate(shares)]
+    all_open = sum(open_[1:], open_[0])
+    ends = F.array(*[F.when(all_open > 0, sum(open_[1 : i + 1], open_[0]) / all_open).otherwise(F.lit(float(shares[: i + 1].sum()))) for i in range(len(names))])
+    bounds = lacks.select(F.col("lab").alias("stratum"), ends.alias("ends"))
+    rest = groups.join(fixed, "grp", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("grp"), F.lit(BUCKETS)))
     sizes = rest.groupBy("stratum", "bucket").agg(F.sum("size").alias("n"))
     w = Window.partitionBy("stratum").orderBy("bucket")
-    middle = (F.sum("n").over(w) - F.col("n") / 2) / F.sum("n").over(Window.partitionBy("stratum"))
-    ends_of = F.coalesce("ends", F.array(*[F.lit(float(v)) for v in default]))
-    at = sizes.withColumn("middle", middle).join(F.broadcast(bounds), "stratum", "left").withColumn("nr", F.least(F.size(F.filter(ends_of, lambda e: e <= F.col("middle"))), F.lit(len(names) - 1)))
-    dealt = rest.join(at.select("stratum", "bucket", "nr"), ["stratum", "bucket"]).select("grp", F.element_at(F.array(*map(F.lit, names)), F.col("nr") + 1).alias("split"))
-    return r.join(dealt.unionByName(fixed), "grp").select(F.col("record").alias(record), F.col("grp").alias(group), "split")
-
-
-def spark_labels(spark: SparkSession, totals: dict[str, int]) -> DataFrame:
-    return spark.createDataFrame([(k, k) for k in totals], "lab string, known string")
+    start = F.pmod(F.xxhash64(F.lit("start"), F.col("stratum")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    middle = (F.sum("n").over(w) - F.col("n") / 2) / F.sum("n").over(Window.partitionBy("stratum")) + start
+    at = sizes.withColumn("middle", middle - F.floor(middle)).join(small(bounds), "stratum")
+    at = at.withColumn("nr", F.least(F.size(F.filter("ends", lambda e: e <= F.col("middle"))), F.lit(len(names) - 1))).select("stratum", "bucket", "nr")
+    dealt = rest.join(small(at), ["stratum", "bucket"]).select("grp", F.element_at(F.array(*map(F.lit, names)), F.col("nr") + 1).alias("split"))
+    out = r.join(fixed, "grp").unionByName(r.join(fixed, "grp", "left_anti").join(dealt, "grp"))
+    return out.select(F.col("record").alias(record), F.col("grp").alias(group), "split")
 
 
 def split_report(assigned: DataFrame, records: DataFrame, record: str, label: str) -> DataFrame:
