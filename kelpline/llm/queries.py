@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kelpline.llm import mixture, nearest, percentiles, splits, subjects, tokens
 from kelpline.runtime import materialize, read
@@ -32,6 +33,21 @@ def p2_report(spark: SparkSession, d: str) -> DataFrame:
     return splits.split_report(splits.deal_groups(r, "episode_index", "component", "dataset", SPLITS), r, "episode_index", "dataset")
 
 
+def p2_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every group of two or more episodes, with the number of splits it lies in."""
+    s = p2_splits(spark, d).groupBy(F.col("component").cast("long").alias("component")).agg(F.count("*").alias("n_episodes"), F.countDistinct("split").alias("n_splits"))
+    return s.filter("n_episodes > 1")
+
+
+def p2_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Every split, and whether its share is within 2 % of what is wanted, or within one largest group."""
+    s = materialize(p2_splits(spark, d), "splits")
+    n = s.count()
+    most = s.groupBy("component").count().agg(F.max("count").alias("c")).first()["c"] or 0
+    want = F.create_map(*[F.lit(x) for kv in SPLITS.items() for x in kv])
+    return s.groupBy("split").count().select("split", want[F.col("split")].alias("wanted"), (F.abs(F.col("count") - want[F.col("split")] * n) <= max(0.02 * n, most)).alias("near"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return nearest.match_packets(read(spark, d, "hdf5_frames"), read(spark, d, "packets")).select("episode_idx", "frame_index", "packet_id").distinct()
 
@@ -87,6 +103,15 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mix_report(p8_mix(spark, d), read(spark, d, "mix_targets"))
 
 
+def p8_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Every target: whether its share is within half a largest document of its weight, and no document over its repeats."""
+    sizes = materialize(_sizes(spark, d), "tokens")
+    r = mixture.mix_report(mixture.mix(sizes, read(spark, d, "mix_targets")), read(spark, d, "mix_targets"))
+    largest = sizes.agg(F.max("n_tokens").alias("n")).first()["n"] or 0
+    near = F.abs(F.col("share") - F.col("weight")) <= F.lit(largest) / F.sum("tokens").over(Window.partitionBy()) + 1e-6
+    return r.select("source", "weight", "max_repeats", near.alias("near"), (F.col("most_copies") <= F.col("max_repeats")).alias("capped"))
+
+
 def _classified(spark: SparkSession, d: str):
     return subjects.classify(read(spark, d, "documents"), read(spark, d, "subject_labels"), read(spark, d, "subjects"))
 
@@ -115,8 +140,8 @@ def p9_leaves(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p2_found": p2_found, "p2_splits": p2_splits, "p2_report": p2_report, "p3_found": p3_found, "p4_percentiles": p4_percentiles, "p4_metrics": p4_metrics, "p4_combined": p4_combined,
-    "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_composition": p9_composition, "p9_leaves": p9_leaves,
+    "p2_found": p2_found, "p2_splits": p2_splits, "p2_report": p2_report, "p2_whole": p2_whole, "p2_shares": p2_shares, "p3_found": p3_found, "p4_percentiles": p4_percentiles, "p4_metrics": p4_metrics, "p4_combined": p4_combined,
+    "p7_ids": p7_ids, "p7_round_trip": p7_round_trip, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_kept": p8_kept, "p9_found": p9_found, "p9_composition": p9_composition, "p9_leaves": p9_leaves,
 }
 
 _NUMBERS = r"""
@@ -140,6 +165,18 @@ with e as (
 )
 """
 
+_REACH = r"""
+with recursive name as (
+  select distinct episode_index, unnest(regexp_extract_all(lower(source_bag), 'rosbag2_\d{4}_\d\d_\d\d-\d\d_\d\d_\d\d|session-\d{4}-\d\d-\d\d-\d{6}|take_\d{8}_\d{6}|xr_run\d{8}t\d{6}')) as rec from episodes
+), link as (
+  select distinct a.episode_index as x, b.episode_index as y from name a join name b on a.rec = b.rec
+  union select episode_index, recut_of from episodes where recut_of in (select episode_index from episodes)
+  union select recut_of, episode_index from episodes where recut_of in (select episode_index from episodes)
+), reach as (
+  select x, y from link union select r.x, l.y from reach r join link l on r.y = l.x
+)
+"""
+
 ORACLE = {
     "p4_percentiles": _NUMBERS + """
 , both_ as (select * from numbers union all select metric, dataset, robot, null, value from numbers),
@@ -153,17 +190,13 @@ where nr = greatest(1, (n * permille + 999) // 1000)""",
     "p4_metrics": _NUMBERS + """
 , ranked as (select *, row_number() over (partition by metric order by value) as nr, count(*) over (partition by metric) as n from numbers)
 select metric, permille, n, value from ranked, (select unnest([10, 250, 500, 750, 990])::int as permille) where nr = greatest(1, (n * permille + 999) // 1000)""",
-    "p2_found": r"""
-with recursive name as (
-  select distinct episode_index, unnest(regexp_extract_all(lower(source_bag), 'rosbag2_\d{4}_\d\d_\d\d-\d\d_\d\d_\d\d|session-\d{4}-\d\d-\d\d-\d{6}|take_\d{8}_\d{6}|xr_run\d{8}t\d{6}')) as rec from episodes
-), link as (
-  select distinct a.episode_index as x, b.episode_index as y from name a join name b on a.rec = b.rec
-  union select episode_index, recut_of from episodes where recut_of in (select episode_index from episodes)
-  union select recut_of, episode_index from episodes where recut_of in (select episode_index from episodes)
-), reach as (
-  select x, y from link union select r.x, l.y from reach r join link l on r.y = l.x
-)
+    "p2_found": _REACH + """
 select min(y) as first_episode, x as episode_index from reach group by x having min(y) < x""",
+    "p2_whole": _REACH + """
+select component, count(*) as n_episodes, 1::bigint as n_splits from (select x, min(y) as component from reach group by x) group by 1 having count(*) > 1""",
+    "p2_shares": "select split, wanted, true as near from (values ('train', 0.8::double), ('validation', 0.1::double), ('test', 0.1::double)) t(split, wanted)",
+    "p8_kept": "select source, weight, max_repeats, true as near, true as capped from mix_targets where source is not null",
+    "p7_round_trip": "select doc_id, true as same, length(coalesce(text, ''))::int as n_chars from documents",
     "p3_found": """
 with f as (
   select distinct episode_idx, frame_index, cast(round(timestamp * 1e9) as bigint) as at_ns from hdf5_frames where timestamp is not null

@@ -88,12 +88,13 @@ def test_deal_keeps_groups_whole_and_shares_near(spark):
     assert splits.deal_groups(df.filter("false"), "id", "grp", "lab", queries.SPLITS).count() == 0
 
 
-def test_deal_with_more_labels_than_are_told_apart(spark, monkeypatch):
-    monkeypatch.setattr(splits, "LABELS", 2)
-    df = spark.createDataFrame([(i, i // 3, "abcdef"[i % 6]) for i in range(3000)], "id long, grp long, lab string")
-    got = splits.deal_groups(df, "id", "grp", "lab", queries.SPLITS).groupBy("split").count().collect()
-    n = {r["split"]: r["count"] for r in got}
-    assert sum(n.values()) == 3000 and abs(n["train"] - 2400) < 150
+def test_deal_with_very_many_labels(spark):
+    df = spark.createDataFrame([(i, i // 3, f"l{i // 3 if i < 3003 else i % 2}") for i in range(9000)], "id long, grp long, lab string")
+    got = splits.deal_groups(df, "id", "grp", "lab", queries.SPLITS)  # 1,001 labels have one group each
+    n = {(r["rare"], r["split"]): r["count"] for r in got.groupBy((F.col("id") < 3003).alias("rare"), "split").count().collect()}
+    for rare, whole in ((True, 3003), (False, 5997)):
+        for name, want in queries.SPLITS.items():
+            assert abs(n[rare, name] - want * whole) < 0.04 * whole, (rare, name, n)
 
 
 def test_nearest_against_brute_force(spark):
@@ -194,10 +195,24 @@ def test_mixture_shares_and_caps(spark):
     report = {r["source"]: r for r in mixture.mix_report(mixture.mix(df, targets), targets).collect()}
     assert report["gone"]["tokens"] == 0 and abs(report["MID"]["share"] - 0.3) < 0.003
     few = {r["source"]: r["tokens"] for r in mixture.mix_report(mixture.mix(df, targets, total=1000), targets).collect()}
-    assert 340 <= few["big"] <= 400
+    assert 370 <= few["big"] <= 430
     assert mixture.mix(df.filter("false"), targets).count() == 0
 
 
+def test_inclusion_is_proportional_to_size(spark):
+    rnd = random.Random(8)
+    sizes = [100] + [rnd.randint(5, 15) for _ in range(60)] + [900]  # one of ten times the mean, one certain
+    part = sum(sizes[:-1]) * 0.15
+    df = spark.createDataFrame([(s * 100 + i, f"s{s}", n) for s in range(1000) for i, n in enumerate(sizes)], "doc_id long, source string, n_tokens long")
+    targets = spark.createDataFrame([(f"s{s}", 0.001, 1) for s in range(1000)], "source string, weight double, max_repeats int")
+    got = mixture.mix(df, targets, total=int(1000 * (900 + part)))
+    n = {r["i"]: r["count"] for r in got.groupBy((F.col("doc_id") % 100).alias("i")).count().collect()}
+    assert n[61] == 1000
+    rate = part / sum(x * x for x in sizes[:-1])
+    for i, x in enumerate(sizes[:-1]):
+        assert abs(n.get(i, 0) - 1000 * rate * x) < 60, (i, x, n.get(i, 0), 1000 * rate * x)
+
+
 WORDS = {1: ["kettle", "spoon", "oven", "dough", "soup"], 2: ["verdict", "lawsuit", "clause", "court", "judge"], 3: ["violin", "concert", "choir", "tuning", "drum"]}
 
 
