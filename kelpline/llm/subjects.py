@@ -22,6 +22,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql.window import Window
 #: Most subjects that are told apart.
 SUBJECTS = 1_000
 #: Labelled documents, and their characters in all, that terms and leaves are learnt from; chosen by hash, whole texts only.
-MAX_LABELLED, MAX_CHARS = 20_000, 32 << 20
+MAX_LABELLED, MAX_CHARS = 8_000, 16 << 20
 #: Pseudo-observations that draw a term towards the base rates; least lift of a term, as a part of the greatest possible,
 #: and least share; least score of a passage.
 SMOOTH, LIFT, SHARE, SCORE = 3.0, 0.45, 0.4, 1.5
@@ -139,20 +140,24 @@ class Latent:
         value = value * self.idf[row]
         value /= np.sqrt(np.bincount(col, weights=value**2, minlength=n))[col].astype(np.float32)
         by_row = np.argsort(row, kind="stable")
-        starts = np.flatnonzero(np.diff(row[by_row], prepend=-1))
-
-        def times(q: np.ndarray) -> np.ndarray:
-            """Matrix (terms by documents) times ``q``."""
-            return np.add.reduceat(value[by_row, None] * q[col[by_row]], starts, axis=0)
-
         full = np.flatnonzero(size)
-        first = np.concatenate([[0], np.cumsum(size)])[full].astype(np.int64)
 
-        def transposed(q: np.ndarray) -> np.ndarray:
-            out = np.zeros((n, q.shape[1]), np.float32)
-            out[full] = np.add.reduceat(value[:, None] * q[row], first, axis=0)
+        def summed(order: np.ndarray, starts: np.ndarray, pick: np.ndarray, q: np.ndarray, rows: int, at: np.ndarray) -> np.ndarray:
+            """Sums of the runs that begin at ``starts`` of the weighted rows ``pick`` of ``q``, some 50,000 at a time."""
+            out = np.zeros((rows, q.shape[1]), np.float32)
+            ends = np.append(starts[1:], len(order))
+            i = 0
+            while i < len(starts):
+                j = max(int(np.searchsorted(ends, starts[i] + 50_000, "right")), i + 1)
+                part = order[starts[i] : ends[j - 1]]
+                out[at[i:j]] = np.add.reduceat(value[part, None] * q[pick[part]], starts[i:j] - starts[i], axis=0)
+                i = j
             return out
 
+        row_starts, col_starts = np.flatnonzero(np.diff(row[by_row], prepend=-1)), np.concatenate([[0], np.cumsum(size)])[full].astype(np.int64)
+        times = lambda q: summed(by_row, row_starts, col, q, v, np.arange(v))  # noqa: E731  terms by documents
+        transposed = lambda q: summed(np.arange(len(row)), col_starts, row, q, n, full)
+
         k = min(dimensions + 10, v, n)
         q = np.linalg.qr(times(np.random.default_rng(seed).normal(size=(n, k)).astype(np.float32)))[0]
         for _ in range(turns):
@@ -243,6 +248,10 @@ class Tree:
     labels: list[int] = field(default_factory=list)
     terms: list[list[str]] = field(default_factory=list)
 
+    @cached_property
+    def sizes(self) -> np.ndarray:
+        return (self.centres**2).sum(1)
+
     @property
     def empty(self) -> bool:
         return self.latent is None
@@ -256,16 +265,20 @@ class Tree:
         return known
 
     def leaf(self, v: np.ndarray) -> int:
-        return int(((self.centres**2).sum(1) - 2 * self.centres @ v).argmin())
+        return int((self.sizes - 2 * self.centres @ v).argmin())
 
 
 def fit(texts: list[str | None], labels: list[set[int]], subjects: list[int], leaves: int = LEAVES) -> Tree:
     """Terms, latent space, tree and leaf mixtures of labelled documents."""
     tree = Tree(subjects, *fit_terms(texts, labels, subjects))
     own: list[list[tuple[str, ...]]] = []
+    known: dict[str, tuple[str, ...]] = {}
     for t in texts:
-        found = [tuple(tree.known_terms(p)) for p in passages(t)]
-        own.append([f for f in found if f])
+        at = passages(t)
+        for p in at:
+            if p not in known:
+                known[p] = tuple(tree.known_terms(p))
+        own.append([f for p in at if (f := known[p])])
     if not any(own):
         return tree
     latent = Latent([Counter(t for f in d for t in f) for d in own])
@@ -277,11 +290,8 @@ def fit(texts: list[str | None], labels: list[set[int]], subjects: list[int], le
     n = int(leaf.max()) + 1
     tree.latent = latent
     tree.centres = np.stack([w[leaf == j] @ x[leaf == j] / w[leaf == j].sum() for j in range(n)]).astype(np.float32)
-    cells: Counter = Counter()
-    for d, l in zip(own, labels):
-        for f in d:
-            if f in vectors:
-                cells[frozenset(s for s in l if s is not None), tree.leaf(vectors[f])] += 1
+    nearest = {f: tree.leaf(v) for f, v in vectors.items()}
+    cells = Counter((frozenset(s for s in l if s is not None), nearest[f]) for d, l in zip(own, labels) for f in d if f in nearest)
     tree.mixture = mixtures(cells, n, subjects)
     names = list(latent.at)
     for c, m in zip(tree.centres, tree.mixture):
