@@ -43,14 +43,17 @@ REACH_FLOOR, REACH = 6.0, 4.0
 RISK = 1e-7
 #: Share of the residuals that are peaks, and the largest shape of their law; a heavier tail is not told from spikes.
 PEAKS, HEAVY = 0.05, 0.1
-#: A run of equal readings is stuck from a length that chance gives with RISK; held between these.
-RUNS = (8, 10)
+#: A run of equal readings is stuck from a length that chance gives with RISK. Chance is the rate of repeats in runs shorter
+#: than SHORT_RUN; shorter runs than LEAST_RUN are never looked at.
+SHORT_RUN, LEAST_RUN = 8, 4
 #: With fewer residuals than this a source's slot is judged by that of all sources.
 ENOUGH = 500
 #: At the ends of episodes, a source with too few residuals has its inner cutoff times the median ratio of the sources with
 #: at least SOME residuals there, in the same slot; where there is none, times EDGE.
 SOME, EDGE = 100, 1.5
 
+#: A task hands on its histograms when it has met so many sources, some 150 KB each.
+MOST_SOURCES = 512
 BINS, SHIFT = 116, 21
 _BASE = int(np.float32(2.0**-14).view(np.int32)) >> SHIFT
 RUN_BINS = 64
@@ -182,7 +185,7 @@ class _Measure:
             rows, X, none = _matrix(column(field))
             if X.size:
                 self.field(field, X, none, rows, ep[rows], blk[rows], fr[rows], own[rows], code[rows])
-        if len(self.sources) > 64:
+        if len(self.sources) > MOST_SOURCES:
             self.flush()
 
     def field(self, field, X, none, rows, ep, blk, fr, own, code) -> None:
@@ -272,7 +275,7 @@ class _Measure:
         length = end - begin
         if n >= 9 and long.any():
             # at the ends of an episode what follows a stuck value is the course again, not a departure from it
-            stuck = same & (length >= RUNS[0])
+            stuck = same & (length >= SHORT_RUN)
             step = np.where(e < c, -1, 1)
             for k in range(4):
                 out[e] &= ~stuck[np.clip(c + k * step, 0, n - 1)]
@@ -289,7 +292,7 @@ class _Measure:
 
         r, slot = np.nonzero(counted & ~same)
         self.count("run", field, code[r], slot * RUN_BINS + np.minimum(length[r, slot], RUN_BINS - 1), width, RUN_BINS)
-        r, slot = np.nonzero(same & (length >= RUNS[0]) & mine)
+        r, slot = np.nonzero(same & (length >= LEAST_RUN) & mine)
         put("run?", r, slot, length[r, slot].astype(float))
 
 
@@ -357,7 +360,9 @@ def pareto_cutoff(x: np.ndarray, n: np.ndarray, risk: float = RISK) -> float:
 
     Its scale and shape come from the quantiles that halve the peaks and halve them again, so the highest quarter, which
     may be the spikes looked for, has no weight. The shape is 0 (exponential) unless the tail is heavier by more than
-    twice the error of its estimate, about 4.4 over the root of the number of peaks. NaN if even the 99 % quantile is zero.
+    twice the error of its estimate, about 4.4 over the root of the number of peaks. Where even the 99 % quantile is zero,
+    the law is that of the residuals that are not; if those are fewer than ``SOME``, the cutoff is zero: whatever departs
+    and returns is more than usual. NaN if all are zero.
     """
     c = np.cumsum(n)
     low = bin_top(_bins(x.astype(np.float32)) - 2)
@@ -368,7 +373,10 @@ def pareto_cutoff(x: np.ndarray, n: np.ndarray, risk: float = RISK) -> float:
 
     u, half, quarter, q99 = q(1 - PEAKS), q(1 - PEAKS / 2), q(1 - PEAKS / 4), q(0.99)
     if q99 <= 0:
-        return float("nan")
+        moved = n[x > 0].sum()
+        if moved < SOME:
+            return 0.0 if moved else float("nan")
+        return pareto_cutoff(x[x > 0], n[x > 0], min(risk * c[-1] / moved, PEAKS / 2))
     if half <= u:
         return u + (q99 - u) / np.log(PEAKS / 0.01) * np.log(PEAKS / risk)
     xi = float(np.log2(max(quarter - half, 1e-9) / (half - u))) - 2 * 4.4 / np.sqrt(PEAKS * c[-1])
@@ -377,32 +385,33 @@ def pareto_cutoff(x: np.ndarray, n: np.ndarray, risk: float = RISK) -> float:
     return float(u + (half - u) * (np.log(tail) / np.log(2) if xi < 1e-3 else (tail**xi - 1) / (2**xi - 1)))
 
 
-def run_cutoff(x: np.ndarray, n: np.ndarray, risk: float = RISK, bounds: tuple[int, int] = RUNS) -> float:
+def run_cutoff(x: np.ndarray, n: np.ndarray, risk: float = RISK) -> float:
     """Length from which a run of equal readings has less than ``risk``, by the rate at which readings repeat in short runs."""
-    short = x < bounds[0]
-    repeats, total = float(((x - 1) * n)[short].sum()), float((x * n)[short].sum())
-    p = repeats / total if total else 0.0
-    length = 1 + np.log(risk) / np.log(p) if 0 < p < 1 else bounds[0] if p == 0 else bounds[1]
-    return float(np.clip(np.ceil(length), *bounds))
-
-
-def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out = []
-        for row in b.to_pylist():
-            bins = sorted((int(c["x"]), c["n"]) for c in row.pop("cells"))
-            x, n = np.array([k for k, _ in bins]), np.array([k for _, k in bins], float)
-            if row["kind"] in ("inner", "edge"):
-                cut = pareto_cutoff(bin_top(x), n)
-            elif row["kind"] == "run":
-                cut = run_cutoff(x, n)
-            else:
-                cut = max(REACH_FLOOR, REACH * float(bin_top(x)[np.searchsorted(np.cumsum(n), 0.999 * n.sum())]))
-            out.append({**row, "n": int(n.sum()), "cutoff": cut})
-        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("kind", pa.string()), ("source", pa.string()), ("field", pa.string()), ("slot", pa.int64()), ("n", pa.int64()), ("cutoff", pa.float64())]))
+    short = x < SHORT_RUN
+    p = (float(((x - 1) * n)[short].sum()) + 1) / (float((x * n)[short].sum()) + 2)
+    return float(max(np.ceil(1 + np.log(risk) / np.log(p)), LEAST_RUN))
 
 
-def cutoffs(measured: DataFrame) -> DataFrame:
+def _fitter(risk: float):
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for row in b.to_pylist():
+                bins = sorted((int(c["x"]), c["n"]) for c in row.pop("cells"))
+                x, n = np.array([k for k, _ in bins]), np.array([k for _, k in bins], float)
+                if row["kind"] in ("inner", "edge"):
+                    cut = pareto_cutoff(bin_top(x), n, risk)
+                elif row["kind"] == "run":
+                    cut = run_cutoff(x, n, risk)
+                else:
+                    cut = max(REACH_FLOOR, REACH * float(bin_top(x)[np.searchsorted(np.cumsum(n), 0.999 * n.sum())]))
+                out.append({**row, "n": int(n.sum()), "cutoff": cut})
+            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("kind", pa.string()), ("source", pa.string()), ("field", pa.string()), ("slot", pa.int64()), ("n", pa.int64()), ("cutoff", pa.float64())]))
+
+    return fit
+
+
+def cutoffs(measured: DataFrame, risk: float = RISK) -> DataFrame:
     """``kind, source, field, slot, n, cutoff``: the cutoffs of every source and slot; ``reach`` is that of all sources.
 
     A source with fewer than ``ENOUGH`` residuals in a slot, or with none but zeros, gets the cutoff of all sources; at the
@@ -412,7 +421,7 @@ def cutoffs(measured: DataFrame) -> DataFrame:
     pooled = h.groupBy("kind", "field", "slot", "x").agg(F.sum("n").alias("n")).withColumn("source", F.lit("*"))
     both = h.filter("kind <> 'level'").withColumn("own", F.lit(True)).unionByName(pooled.withColumn("own", F.lit(False)))
     cells = both.groupBy("own", "kind", "source", "field", "slot").agg(F.collect_list(F.struct(F.col("x").cast("int").alias("x"), "n")).alias("cells"))
-    fit = lambda own: cells.filter(F.col("own") == own).drop("own").mapInArrow(_fit, "kind string, source string, field string, slot long, n long, cutoff double")
+    fit = lambda own: cells.filter(F.col("own") == own).drop("own").mapInArrow(_fitter(risk), "kind string, source string, field string, slot long, n long, cutoff double")
     own, rest = materialize(fit(True), "fits"), fit(False)
     rest = rest.select("kind", "field", "slot", F.col("n").alias("n_all"), F.nanvl("cutoff", F.lit(None).cast("double")).alias("all_cutoff"))
     joined = own.join(small(rest), ["kind", "field", "slot"], "left")
@@ -429,14 +438,14 @@ def cutoffs(measured: DataFrame) -> DataFrame:
     return one.unionByName(level)
 
 
-def find_implausible(frames: DataFrame, source: str = "robot", **how) -> DataFrame:
+def find_implausible(frames: DataFrame, source: str = "robot", risk: float = RISK, **how) -> DataFrame:
     """Implausible readings: ``episode_idx, frame_index, field, slot, reason`` (``spike``, ``stuck``, ``bad``, ``reach``); one row each and reason.
 
     A spike exceeds both its source's cutoff for the slot and ``LOCAL`` times what is typical of its own episode, and the
     level returns after it; at the ends of an episode, where that is not to be seen, a short departure counts as a spike.
     """
     m = measure(frames, source, **how)
-    cut = small(materialize(cutoffs(m).filter("cutoff is not null"), "cutoffs"))
+    cut = small(materialize(cutoffs(m, risk).filter("cutoff is not null"), "cutoffs"))
     seen = m.filter("n is null")
     key = F.when(F.col("kind") == "reach", "*").otherwise(F.col("source"))
     seen = seen.withColumns({"source": key, "kind": F.rtrim(F.col("kind"), F.lit("?"))})

@@ -128,9 +128,14 @@ def test_cutoffs():
     x = spikes.bin_top(np.arange(40, 60))
     n = np.maximum(1e6 * 0.5 ** np.arange(20), 1)
     q99 = x[np.searchsorted(np.cumsum(n), 0.99 * n.sum())]
-    assert 4.5 * q99 <= spikes.pareto_cutoff(x, n) <= 7 * q99
+    assert q99 < spikes.pareto_cutoff(x, n, 1e-4) < spikes.pareto_cutoff(x, n, 1e-6) < spikes.pareto_cutoff(x, n)
     assert np.isnan(spikes.pareto_cutoff(np.array([0.0]), np.array([100.0])))
-    assert spikes.run_cutoff(np.array([1, 2, 3]), np.array([9000.0, 900.0, 90.0])) in (8, 9)
+    assert spikes.pareto_cutoff(np.array([0.0, 1.0]), np.array([10_000.0, 3.0])) == 0  # at rest but for a few
+    rest = np.concatenate([[0.0], x])
+    assert 0 < spikes.pareto_cutoff(rest, np.concatenate([[300 * n.sum()], n])) < np.inf
+    runs = np.array([1, 2, 3, 12]), np.array([9000.0, 900.0, 90.0, 50.0])
+    assert spikes.run_cutoff(*runs) == np.ceil(1 + np.log(1e-7) / np.log((900 + 180 + 1) / (9000 + 1800 + 270 + 2)))
+    assert spikes.run_cutoff(*runs, 1e-12) > 12 and spikes.run_cutoff(*runs, 1e-3) == 4
 
 
 def test_fit_decides_and_lasting_moves_are_no_spikes(spark):
@@ -148,6 +153,13 @@ def test_fit_decides_and_lasting_moves_are_no_spikes(spark):
         cells += [(e, e, i, 0, f"r{e % 2}", 0.0, [float(v)], None, None, "") for i, v in enumerate(x)]
     got = {(r["episode_idx"], r["frame_index"], r["slot"]) for r in spikes.find_implausible(frames(spark, cells)).filter("reason = 'spike'").collect()}
     assert got == planted
+    strict = spikes.find_implausible(frames(spark, cells), risk=1e-30).filter("reason = 'spike'").count()
+    loose = spikes.find_implausible(frames(spark, cells), risk=1e-3).filter("reason = 'spike'").count()
+    assert strict < len(planted) < loose  # the risk decides
+    m = spikes.measure(frames(spark, cells))
+    h = m.filter("n is not null and kind = 'inner' and field = 'state' and source = 'r0'").groupBy("x").agg(F.sum("n").alias("n")).orderBy("x").collect()
+    law = spikes.pareto_cutoff(spikes.bin_top(np.array([int(r["x"]) for r in h])), np.array([float(r["n"]) for r in h]))
+    assert spikes.cutoffs(m).filter("kind = 'inner' and field = 'state' and source = 'r0'").first()["cutoff"] == law  # and nothing overrules the fit
     x = spikes.bin_top(np.arange(1, 116))
     tail = np.exp(-np.concatenate([[0], x]) / 0.01)
     n = 1e6 * (tail[:-1] - tail[1:])
