@@ -32,7 +32,7 @@ KINDS = {"left_arm": "JointState", "right_arm": "JointState", "left_gripper": "J
 
 def with_cameras(messages: DataFrame, cameras: dict[str, str] = CAMERAS) -> DataFrame:
     """Messages of the bags that have every camera's topic."""
-    n = messages.filter(F.col("topic").isin(*cameras.values())).groupBy("bag").agg(F.countDistinct("topic").alias("n")).filter(F.col("n") == len(cameras))
+    n = messages.filter(F.col("topic").isin(*cameras.values())).select("bag", "topic").distinct().groupBy("bag").agg(F.count("*").alias("n")).filter(F.col("n") == len(cameras))
     return messages.join(n.select("bag"), "bag", "left_semi")
 
 
@@ -72,7 +72,7 @@ def frames(messages: DataFrame, fps: int = 45, offset_hz: int = 90, min_rows: in
     parts = {f"{side}_{k}": t for side, group in (("s", STATE), ("a", ACTION)) for k, t in group.items() if lift or k != "lift"}
     fill = {n: F.when(F.col("topic") == t, F.col("seq")) for n, t in parts.items()}
     if not reset:
-        m = order.fill_forward(m, ["bag"], ["seq"], fill)
+        m = order.fill_forward(m, ["bag"], ["seq"], fill, segment.log_block())
     inside = segment.in_episodes(m, marks)
     if reset:
         inside = order.fill_forward(inside, ["bag", "x_seq"], ["seq"], fill)

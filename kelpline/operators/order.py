@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,24 +32,71 @@ def number_rows(df: DataFrame, *order: str | Column, index: str = "row_index", s
     return out.drop("range_id", "range_n", *[f"range_sum_{n}" for n in sums])
 
 
+#: What a scan is spread by.
+_BLOCK = ("scan_key", "scan_block")
+
+
+def _blocked(df: DataFrame, keys: list[str], block: Column) -> DataFrame:
+    """``df`` with ``scan_key`` and ``scan_block``, neither ever null: what the work of a scan is spread by."""
+    return df.withColumns({"scan_key": F.struct(*keys), "scan_block": F.coalesce(block.cast("long"), F.lit(-(1 << 62)))})
+
+
+def _carry(totals: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """``scan_key, scan_block`` and what ``values`` (over the window of all earlier blocks, one row each) carry into a block."""
+    return totals.select("scan_key", "scan_block", *[v.alias(n) for n, v in values.items()])
+
+
+def _earlier():
+    return Window.partitionBy("scan_key").orderBy("scan_block").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _after_carry(b: DataFrame, carried: DataFrame, order: list[str]) -> tuple[DataFrame, object]:
+    """Rows and, ahead of those of each block, the row carried into it; and the window over both."""
+    both = b.withColumn("scan_side", F.lit(1)).unionByName(carried.withColumn("scan_side", F.lit(0)), allowMissingColumns=True)
+    return both, Window.partitionBy(*_BLOCK).orderBy("scan_side", *order)
+
+
 def fill_forward(df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column], block: Column | None = None) -> DataFrame:
     """``df`` with ``values``: for each name the latest non-null value of its column at or before the row, within ``keys``.
 
     With ``block``, a coarse ascending function of the order (a time bucket, say), the work of a key is spread over its
-    blocks: only the last value of each block is carried over the blocks, so a key with a third of all rows is no
-    single task. Without it one key is one task.
+    blocks: only the last value of each block is carried over the blocks, as one more row ahead of the block's, so a key
+    with a third of all rows is no single task and rows are shuffled once. Without it one key is one task.
     """
-    w = Window.partitionBy(*keys, *(["fill_block"] if block is not None else [])).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     if block is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({n: F.last(c, ignorenulls=True).over(w) for n, c in values.items()})
-    b = df.withColumns({"fill_block": block} | {f"fill_{n}": c for n, c in values.items()})
-    latest = b.groupBy(*keys, "fill_block").agg(*[F.max_by(F.col(f"fill_{n}"), F.when(F.col(f"fill_{n}").isNotNull(), F.struct(*order))).alias(f"carry_{n}") for n in values])
-    over = Window.partitionBy(*keys).orderBy("fill_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = latest.select(*[F.col(k).alias(f"k_{k}") for k in keys], F.col("fill_block").alias("k_block"), *[F.last(f"carry_{n}", ignorenulls=True).over(over).alias(f"carry_{n}") for n in values])
-    on = [F.col(k).eqNullSafe(F.col(f"k_{k}")) for k in keys] + [F.col("fill_block").eqNullSafe(F.col("k_block"))]
-    j = b.join(carried, on)
-    out = {n: F.coalesce(F.last(f"fill_{n}", ignorenulls=True).over(w), F.col(f"carry_{n}")) for n in values}
-    return j.withColumns(out).drop("fill_block", "k_block", *[f"k_{k}" for k in keys], *[f"{p}_{n}" for n in values for p in ("fill", "carry")])
+    b = _blocked(df, keys, block).withColumns({f"fill_{n}": c for n, c in values.items()})
+    latest = b.groupBy(*_BLOCK).agg(*[F.max_by(F.col(f"fill_{n}"), F.when(F.col(f"fill_{n}").isNotNull(), F.struct(*order))).alias(f"fill_{n}") for n in values])
+    carried = _carry(latest, {f"fill_{n}": F.last(f"fill_{n}", ignorenulls=True).over(_earlier()) for n in values})
+    both, w = _after_carry(b, carried.filter(reduce(lambda a, c: a | c, [F.col(f"fill_{n}").isNotNull() for n in values])), order)
+    w = w.rowsBetween(Window.unboundedPreceding, 0)
+    out = both.withColumns({n: F.last(f"fill_{n}", ignorenulls=True).over(w) for n in values})
+    return out.filter("scan_side = 1").drop("scan_side", *_BLOCK, *[f"fill_{n}" for n in values])
+
+
+def previous(df: DataFrame, keys: list[str], order: list[str], columns: list[str], block: Column, out: str = "previous") -> DataFrame:
+    """``df`` with ``out``: ``columns`` of the row before, within ``keys``, as a struct; null for a key's first row. Work is spread by blocks."""
+    b = _blocked(df, keys, block).withColumn(out, F.struct(*columns))
+    latest = b.groupBy(*_BLOCK).agg(F.max_by(out, F.struct(*order)).alias(out))
+    both, w = _after_carry(b, _carry(latest, {out: F.last(out, ignorenulls=True).over(_earlier())}), order)
+    return both.withColumn(out, F.lag(out).over(w)).filter("scan_side = 1").drop("scan_side", *_BLOCK)
+
+
+def number_within(df: DataFrame, keys: list[str], order: list[str], block: Column, index: str) -> DataFrame:
+    """``df`` with ``index``: its number from 1 within ``keys``, in a total ``order``. Work is spread by blocks."""
+    b = _blocked(df, keys, block).withColumn("scan_nr", F.row_number().over(Window.partitionBy(*_BLOCK).orderBy(*order)))
+    totals = b.groupBy(*_BLOCK).agg(F.max("scan_nr").alias("n"))
+    carried = _carry(totals, {"scan_n": F.coalesce(F.sum("n").over(_earlier()), F.lit(0))})
+    j = b.join(carried, list(_BLOCK))  # the rows stay where they are
+    return j.withColumn(index, (F.col("scan_nr") + F.col("scan_n")).cast("long")).drop("scan_nr", "scan_n", *_BLOCK)
+
+
+def changes(df: DataFrame, keys: list[str], order: list[str], column: str, block: Column, before: str = "before") -> DataFrame:
+    """Rows whose ``column`` differs from that of the row before in their key (nulls are alike), with ``before``; a key's first row is a change."""
+    p = previous(df, keys, order, [column], block, "scan_previous")
+    out = p.filter(F.col("scan_previous").isNull() | ~F.col(column).eqNullSafe(F.col(f"scan_previous.{column}")))
+    return out.withColumn(before, F.col(f"scan_previous.{column}")).drop("scan_previous")
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: list[str], at: str, take: list[str], tie: str | None = None, block: Column | None = None) -> DataFrame:

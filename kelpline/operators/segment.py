@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kelpline.operators.order import fill_forward
+from kelpline.operators.order import previous
 
 #: Positions of the start and stop buttons; shorter button lists are ignored.
 START, STOP = 2, 3
@@ -19,15 +19,19 @@ START, STOP = 2, 3
 BLOCK = 1 << 17
 
 
-def rising(flag: Column, w) -> Column:
-    """0 in the row before and 1 now; the first row never fires."""
-    return F.coalesce((F.lag(flag).over(w) == 0) & (flag == 1), F.lit(False))
+def log_block(seq: str = "seq") -> Column:
+    """The stretch of a log that a message lies in; logs are spread over their stretches."""
+    return F.floor(F.col(seq) / BLOCK)
 
 
-def edges(presses: DataFrame, start: str, stop: str, keys: tuple[str, ...] = ("bag",), order: tuple[str, ...] = ("seq",)) -> DataFrame:
-    """``presses`` with ``x`` and ``y``: the rising edges of the 0/1 columns ``start`` and ``stop``."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return presses.withColumns({"x": rising(F.col(start), w), "y": rising(F.col(stop), w)})
+def edges(presses: DataFrame, start: str, stop: str, keys: tuple[str, ...] = ("bag",)) -> DataFrame:
+    """``presses`` with ``x`` and ``y``: the rising edges of the 0/1 columns ``start`` and ``stop``, 0 in the message before and 1 now.
+
+    The first message of a log never fires. The message before is carried over the blocks of a log.
+    """
+    p = previous(presses, list(keys), ["seq"], [start, stop], log_block(), "edge_before")
+    rising = lambda c: F.coalesce((F.col(f"edge_before.{c}") == 0) & (F.col(c) == 1), F.lit(False))
+    return p.withColumns({"x": rising(start), "y": rising(stop)}).drop("edge_before")
 
 
 def button_edges(joystick: DataFrame, buttons: str = "buttons") -> DataFrame:
@@ -50,18 +54,21 @@ def episodes(marked: DataFrame, time: str = "t", keys: tuple[str, ...] = ("bag",
     return e.filter(closed).select(*keys, F.col("started.seq").alias("x_seq"), F.col("seq").alias("y_seq"), F.col(f"started.{time}").alias("t_start"), F.col(time).alias("t_stop"))
 
 
-def in_episodes(messages: DataFrame, found: DataFrame, keys: tuple[str, ...] = ("bag",), block: bool = True) -> DataFrame:
+def in_episodes(messages: DataFrame, found: DataFrame, keys: tuple[str, ...] = ("bag",)) -> DataFrame:
     """Messages from the start (inclusive) to the stop (exclusive) of their episode, with ``x_seq`` and ``t_start``.
 
-    A window carries the latest boundary to each message, so that no range join is needed. Logs are split into blocks of
-    ``BLOCK`` numbers, so that a log with a third of all messages is many tasks; without ``block`` a log is one task.
+    Episodes must not overlap; one without a stop holds nothing. The boundaries, repeated at the head of each block of
+    ``BLOCK`` numbers that an episode spans, go among the messages, and a window hands the latest on: messages are
+    shuffled once, there is no join, and a log with a third of all messages is many tasks.
     """
-    bounds = found.select(*keys, F.explode(F.array(F.struct(F.col("x_seq").alias("seq"), F.struct("x_seq", "t_start").alias("mark")), F.struct(F.col("y_seq").alias("seq"), F.struct(F.lit(None).cast("long").alias("x_seq"), F.lit(None).cast("long").alias("t_start")).alias("mark")))).alias("b")).select(*keys, F.col("b.seq").alias("seq"), F.col("b.mark").alias("mark"))
-    # of a start and a stop in one message the stop is later
-    bounds = bounds.groupBy(*keys, "seq").agg(F.min_by("mark", F.col("mark.x_seq").isNotNull()).alias("mark"))
-    m = messages.join(bounds, [*keys, "seq"], "left")
-    m = fill_forward(m, list(keys), ["seq"], {"in_mark": F.col("mark")}, F.floor(F.col("seq") / BLOCK) if block else None).drop("mark").withColumnRenamed("in_mark", "mark")
-    return m.filter(F.col("mark.x_seq").isNotNull()).withColumns({"x_seq": F.col("mark.x_seq"), "t_start": F.col("mark.t_start")}).drop("mark")
+    e = found.filter("x_seq < y_seq").select(*keys, "x_seq", "y_seq", "t_start")
+    heads = e.select("*", F.explode(F.sequence(log_block("x_seq"), log_block("y_seq"))).alias("seg_block"))
+    heads = heads.select(*keys, F.greatest("x_seq", F.col("seg_block") * BLOCK).cast("long").alias("seq"), F.struct("x_seq", "y_seq", "t_start").alias("seg"), "seg_block").filter("seq < seg.y_seq")
+    m = messages.drop("x_seq", "t_start").withColumns({"seg_side": F.lit(1), "seg_block": log_block().cast("long")})
+    both = m.unionByName(heads.withColumn("seg_side", F.lit(0)), allowMissingColumns=True)
+    w = Window.partitionBy(*keys, "seg_block").orderBy("seq", "seg_side").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("seg", F.last("seg", ignorenulls=True).over(w)).filter("seg_side = 1 and seq < seg.y_seq")
+    return both.withColumns({"x_seq": F.col("seg.x_seq"), "t_start": F.col("seg.t_start")}).drop("seg", "seg_side", "seg_block")
 
 
 def bag_summary(found: DataFrame, bags: DataFrame, seconds: Column, fps: float, min_rows: int) -> DataFrame:
@@ -89,6 +96,13 @@ def conversion_summary(found: DataFrame, rows: DataFrame, fps: float, keys: tupl
 
 
 def whole_bags(messages: DataFrame, keyframe: Column, cameras: list[str], keys: tuple[str, ...] = ("bag",)) -> DataFrame:
-    """Whole-log mode: ``x_seq, t_start`` where every camera has had a keyframe, ``y_seq`` null (the log's end); none if one never has."""
-    first = messages.filter(keyframe & F.col("topic").isin(cameras)).groupBy(*keys, "topic").agg(F.min(F.struct("seq", "t")).alias("first"))
-    return first.groupBy(*keys).agg(F.count("*").alias("n"), F.max("first").alias("first")).filter(F.col("n") == len(cameras)).select(*keys, F.col("first.seq").alias("x_seq"), F.col("first.t").alias("t_start"), F.lit(None).cast("long").alias("y_seq"))
+    """Whole-log mode: ``x_seq, t_start`` where every camera has had a keyframe, ``y_seq`` the number after the log's last; none if one never has."""
+    m = messages.withColumn("whole_first", F.when(keyframe & F.col("topic").isin(cameras), F.struct("seq", "t")))
+    each = m.groupBy(*keys, "topic").agg(F.min("whole_first").alias("first"), F.max("seq").alias("last"))
+    out = each.groupBy(*keys).agg(F.count("first").alias("n"), F.max("first").alias("first"), F.max("last").alias("last")).filter(F.col("n") == len(cameras))
+    return out.select(*keys, F.col("first.seq").alias("x_seq"), F.col("first.t").alias("t_start"), (F.col("last") + 1).alias("y_seq"))
+
+
+def topics(messages: DataFrame, *keys: str) -> DataFrame:
+    """``keys, topics``: the sorted topics of each bag, or without keys those of all; distinct before they are gathered."""
+    return messages.select(*keys, "topic").distinct().groupBy(*keys).agg(F.array_sort(F.collect_list("topic")).alias("topics"))

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from kelpline.operators.order import asof_join
+from kelpline.operators.segment import in_episodes, log_block
+from kelpline.runtime import materialize
 
 #: Packets of each camera that are kept ahead of a start.
 KEPT = 60
@@ -33,11 +35,24 @@ def is_keyframe(data: pd.Series) -> pd.Series:
 
 
 def picture_groups(packets: DataFrame, keyframe: str = "keyframe", keys: tuple[str, ...] = ("bag", "topic")) -> DataFrame:
-    """``gop``: number of keyframes so far (0 before the first), and ``tail_from``: the ``seq`` of the last keyframe among the latest ``KEPT`` packets."""
-    w = Window.partitionBy(*keys).orderBy("seq")
-    run, kept = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(1 - KEPT, 0)
-    key = F.when(F.col(keyframe), F.col("seq"))
-    return packets.withColumns({"gop": F.count(key).over(run), "tail_from": F.last(key, ignorenulls=True).over(kept), "nr": F.row_number().over(w)})
+    """``gop``: number of keyframes so far (0 before the first), and ``tail_from``: the ``seq`` of the last keyframe among the latest ``KEPT`` packets.
+
+    Both are counted block by block of a log and then carried over the blocks, as is ``nr``, the packet's number.
+    """
+    p = packets.withColumns({"scan_key": F.struct(*keys), "scan_block": log_block()})
+    w = Window.partitionBy("scan_key", "scan_block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    p = p.withColumns({"nr": F.count(F.lit(1)).over(w), "gop": F.count_if(F.coalesce(F.col(keyframe), F.lit(False))).over(w)})
+    p = p.withColumn("gop_key", F.last(F.when(F.col(keyframe), F.struct("seq", "nr")), ignorenulls=True).over(w))
+    totals = p.groupBy("scan_key", "scan_block").agg(F.max("nr").alias("n"), F.max("gop").alias("g"), F.max("gop_key").alias("key"))
+    earlier = Window.partitionBy("scan_key").orderBy("scan_block").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    totals = totals.withColumns({"n0": F.coalesce(F.sum("n").over(earlier), zero), "g0": F.coalesce(F.sum("g").over(earlier), zero)})
+    totals = totals.withColumn("key", F.when(F.col("key").isNotNull(), F.struct(F.col("key.seq").alias("seq"), (F.col("key.nr") + F.col("n0")).alias("nr"))))
+    totals = totals.select("scan_key", "scan_block", "n0", "g0", F.last("key", ignorenulls=True).over(earlier).alias("key0"))
+    j = p.join(totals, ["scan_key", "scan_block"])  # the packets stay where they are
+    own = F.when(F.col("gop_key").isNotNull(), F.struct(F.col("gop_key.seq").alias("seq"), (F.col("gop_key.nr") + F.col("n0")).alias("nr")))
+    j = j.withColumns({"nr": F.col("nr") + F.col("n0"), "gop": F.col("gop") + F.col("g0"), "gop_key": F.coalesce(own, "key0")})
+    return j.withColumn("tail_from", F.when(F.col("nr") - F.col("gop_key.nr") < KEPT, F.col("gop_key.seq"))).drop("scan_key", "scan_block", "n0", "g0", "key0", "gop_key")
 
 
 def episode_packets(packets: DataFrame, found: DataFrame, keyframe: str = "keyframe") -> DataFrame:
@@ -47,15 +62,14 @@ def episode_packets(packets: DataFrame, found: DataFrame, keyframe: str = "keyfr
     latest ``KEPT`` packets (none if there is no keyframe among them). The packets ahead are numbered, so they are
     found by an equality join of at most ``KEPT`` numbers an episode and camera.
     """
-    p = picture_groups(packets, keyframe).select("bag", "topic", "seq", "tail_from", "nr")
-    ep = found.select("bag", "x_seq", "y_seq")
+    p = materialize(picture_groups(packets, keyframe).select("bag", "topic", "seq", "tail_from", "nr"), "packets")
+    ep = found.select("bag", "x_seq", "y_seq", F.lit(None).cast("long").alias("t_start"))
     cams = p.select("bag", "topic").distinct()
-    starts = ep.join(cams, "bag").withColumn("seq", F.col("x_seq") - 1)
-    last = asof_join(starts, p, ["bag", "topic"], "seq", ["nr", "tail_from"], tie="nr")
+    starts = ep.join(cams, "bag").select("bag", "topic", "x_seq", (F.col("x_seq") - 1).alias("seq"))
+    last = asof_join(starts, p, ["bag", "topic"], "seq", ["nr", "tail_from"], tie="nr", block=log_block())
     ahead = last.filter("asof_tail_from is not null").select("bag", "topic", "x_seq", F.col("asof_tail_from").alias("tail"), F.explode(F.sequence(F.greatest(F.col("asof_nr") - (KEPT - 1), F.lit(1)), F.col("asof_nr"))).alias("nr"))
     ahead = ahead.join(p.select("bag", "topic", "nr", "seq"), ["bag", "topic", "nr"]).filter("seq >= tail").select("bag", "x_seq", "topic", "seq")
-    inside = asof_join(p, ep.withColumn("seq", F.col("x_seq")), ["bag"], "seq", ["x_seq", "y_seq"]).filter("seq < asof_y_seq")
-    return ahead.unionByName(inside.select("bag", F.col("asof_x_seq").alias("x_seq"), "topic", "seq"))
+    return ahead.unionByName(in_episodes(p.select("bag", "topic", "seq"), ep).select("bag", "x_seq", "topic", "seq"))
 
 
 def shown_packets(ticks: DataFrame, packets: DataFrame, keys: list[str], at: str = "t", take: tuple[str, ...] = ("seq", "t")) -> DataFrame:
@@ -63,14 +77,22 @@ def shown_packets(ticks: DataFrame, packets: DataFrame, keys: list[str], at: str
     return asof_join(ticks, packets.withColumn("packet_t", F.col(at)), keys, at, [*[c for c in take if c != at], "packet_t"], tie="seq")
 
 
-def repair_pts(packets: DataFrame, raw: str, keys: tuple[str, ...] = ("bag", "topic"), order: tuple[str, ...] = ("seq",), out: str = "pts") -> DataFrame:
-    """Strictly increasing repair of ``raw``: each is at least one more than the repaired one before.
+def repair_pts(packets: DataFrame, raw: str, keys: tuple[str, ...] = ("bag", "topic"), out: str = "pts") -> DataFrame:
+    """Strictly increasing repair of ``raw`` along ``seq``: each is at least one more than the repaired one before.
 
-    In closed form the i-th is i plus the greatest ``raw`` minus its own number so far.
+    In closed form the i-th is i plus the greatest ``raw`` minus its own number so far; both number and greatest are taken
+    block by block of a log and carried over the blocks.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    p = packets.withColumn("mono_i", F.row_number().over(w))
-    return p.withColumn(out, (F.col("mono_i") + F.max(F.col(raw) - F.col("mono_i")).over(w.rowsBetween(Window.unboundedPreceding, 0))).cast("long")).drop("mono_i")
+    p = packets.withColumns({"scan_key": F.struct(*keys), "scan_block": log_block()})
+    w = Window.partitionBy("scan_key", "scan_block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    p = p.withColumn("mono_i", F.count(F.lit(1)).over(w)).withColumn("mono_m", F.max(F.col(raw) - F.col("mono_i")).over(w))
+    totals = p.groupBy("scan_key", "scan_block").agg(F.max("mono_i").alias("n"), F.max("mono_m").alias("m"))
+    earlier = Window.partitionBy("scan_key").orderBy("scan_block").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("n0", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    totals = totals.withColumn("m0", F.max(F.col("m") - F.col("n0")).over(earlier)).select("scan_key", "scan_block", "n0", "m0")
+    j = p.join(totals, ["scan_key", "scan_block"])  # the packets stay where they are
+    value = F.col("mono_i") + F.col("n0") + F.greatest(F.col("mono_m") - F.col("n0"), F.col("m0"))
+    return j.withColumn(out, value.cast("long")).drop("scan_key", "scan_block", "mono_i", "mono_m", "n0", "m0")
 
 
 def clock_ticks(ns: Column, base_ns: Column, rate: int = 90_000) -> Column:

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kelpline.functions.formats import codec
-from kelpline.operators import datasets, order, sample, segment, steps, video
-from kelpline.runtime import read
+from kelpline.operators import convert, datasets, order, sample, segment, steps, video
+from kelpline.runtime import materialize, read
 
 #: Sampling period and offset in microseconds, and the period in seconds.
 PERIOD, OFFSET, SECONDS = 43_200_000_000, 21_600_000_000, 43_200.0
@@ -16,11 +15,20 @@ TOPICS = ("view", "click", "error")
 CAMERAS = ["view", "click"]
 
 
-def messages(spark: SparkSession, d: str) -> DataFrame:
-    """``bag, seq, topic, t, value, k, event_id``; the explicit order is that of time, then id."""
+def events(spark: SparkSession, d: str) -> DataFrame:
+    """``bag, topic, t, value, k, event_id``."""
     t = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
-    e = read(spark, d, "events").select(F.col("user_id").alias("bag"), F.col("event_type").alias("topic"), t.alias("t"), "value", F.get_json_object("props", "$.k").try_cast("long").alias("k"), "event_id")
-    return e.withColumn("seq", F.row_number().over(Window.partitionBy("bag").orderBy("t", "event_id")).cast("long"))
+    return read(spark, d, "events").select(F.col("user_id").alias("bag"), F.col("event_type").alias("topic"), t.alias("t"), "value", F.get_json_object("props", "$.k").try_cast("long").alias("k"), "event_id")
+
+
+def messages(spark: SparkSession, d: str) -> DataFrame:
+    """:func:`events` with ``seq``; the explicit order is that of time, then id."""
+    return order.number_within(events(spark, d), ["bag"], ["t", "event_id"], F.floor(F.col("t") / (30 * 86_400_000_000)), "seq")
+
+
+def log(spark: SparkSession, d: str) -> DataFrame:
+    """:func:`messages`, numbered once, for queries that read them more than once."""
+    return materialize(messages(spark, d), "log")
 
 
 def joystick(m: DataFrame) -> DataFrame:
@@ -47,7 +55,7 @@ def _seconds():
 
 
 def episode_validate_bags(spark, d):
-    m = messages(spark, d)
+    m = log(spark, d)
     s = segment.bag_summary(_episodes(m), m.select("bag").distinct(), _seconds(), 1 / SECONDS, 1)
     return s.withColumn("valid_s", F.round("valid_s", 3))
 
@@ -58,7 +66,7 @@ def episode_validate_stats(spark, d):
 
 
 def _inside(spark, d):
-    m = messages(spark, d)
+    m = log(spark, d)
     return segment.in_episodes(m, _episodes(m))
 
 
@@ -89,7 +97,9 @@ def episode_numbers(spark, d):
 
 
 def conversion_summary(spark, d):
-    s = segment.conversion_summary(_episodes(messages(spark, d)), sample.grid_rows(_inside(spark, d), PERIOD, OFFSET, []), 1 / SECONDS)
+    m = log(spark, d)
+    found = _episodes(m)
+    s = segment.conversion_summary(found, sample.grid_rows(segment.in_episodes(m, found), PERIOD, OFFSET, []), 1 / SECONDS)
     return s.select("n_pairs", "n_saved", "n_rows", *[F.round(c, 3).alias(c) for c in ("seconds", "valid_percent")])
 
 
@@ -98,8 +108,8 @@ def time_gaps(spark, d):
 
 
 def asof_latest(spark, d):
-    """Each purchase with the latest view before it; logs are split by days, so that no log is one task."""
-    m = messages(spark, d)
+    """Each purchase with the latest view before it; logs are split by days, so that no log is one task. No order of messages is needed."""
+    m = events(spark, d)
     left = m.filter("topic = 'purchase'").select("bag", "t", "event_id")
     right = m.filter("topic = 'view'").select("bag", "t", "event_id", "value")
     day = F.floor(F.col("t") / 86_400_000_000)
@@ -113,18 +123,18 @@ def gop_islands(spark, d):
 
 
 def episode_packets(spark, d):
-    m = messages(spark, d)
+    m = log(spark, d)
     p = m.filter(F.col("topic").isin(CAMERAS)).withColumn("keyframe", F.coalesce(F.col("k") % 10 == 0, F.lit(False)))
     return video.episode_packets(p.select("bag", "topic", "seq", "keyframe"), _episodes(m))
 
 
 def shown_packets(spark, d):
     """Which packet of each camera every kept tick shows: the latest at or before the tick's time."""
-    rows = sample.grid_rows(_inside(spark, d), PERIOD, OFFSET, [])
+    inside = materialize(_inside(spark, d), "inside")
+    rows = sample.grid_rows(inside, PERIOD, OFFSET, [])
     cams = F.explode(F.array(*map(F.lit, CAMERAS)))
     ticks = rows.select("bag", "x_seq", "tick", (F.col("t_start") + (F.col("tick") + 1) * PERIOD).alias("t"), cams.alias("topic"))
-    m = messages(spark, d)
-    inside = segment.in_episodes(m, _episodes(m)).filter(F.col("topic").isin(CAMERAS)).select("bag", "x_seq", "topic", "seq", "t")
+    inside = inside.filter(F.col("topic").isin(CAMERAS)).select("bag", "x_seq", "topic", "seq", "t")
     return video.shown_packets(ticks, inside, ["bag", "x_seq", "topic"]).select("bag", "x_seq", "tick", "topic", F.col("asof_seq").alias("packet_seq"), (F.col("t") - F.col("asof_packet_t")).alias("staleness_us"))
 
 
@@ -134,8 +144,9 @@ def pts_monotone(spark, d):
 
 
 def pts_clock(spark, d):
-    base = Window.partitionBy("bag")
-    return messages(spark, d).select("event_id", video.clock_ticks(F.col("t") * 1000, F.min("t").over(base) * 1000, 9).alias("pts"))
+    e = events(spark, d)
+    base = e.groupBy("bag").agg(F.min("t").alias("base"))
+    return e.join(base, "bag").select("event_id", video.clock_ticks(F.col("t") * 1000, F.col("base") * 1000, 9).alias("pts"))
 
 
 def keyframes(spark, d):
@@ -155,17 +166,15 @@ def rlds_nested(spark, d):
 
 
 def topic_catalog(spark, d):
-    return messages(spark, d).groupBy("bag").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
+    return segment.topics(events(spark, d), "bag")
 
 
 def topic_union(spark, d):
-    return messages(spark, d).agg(F.array_sort(F.collect_set("topic")).alias("topics"))
+    return segment.topics(events(spark, d))
 
 
 def require_topics(spark, d):
-    wanted = ["view", "click", "signup"]
-    m = messages(spark, d).filter(F.col("topic").isin(wanted)).groupBy("bag").agg(F.countDistinct("topic").alias("n"))
-    return m.filter(F.col("n") == len(wanted)).select("bag")
+    return convert.with_cameras(events(spark, d), {"left": "view", "right": "click", "head": "signup"}).select("bag").distinct()
 
 
 def first_calibration(spark, d):
@@ -182,9 +191,8 @@ def whole_bag(spark, d):
 
 def change_events(spark, d):
     """Events whose value differs from the one before in their log; the first is a change."""
-    w = Window.partitionBy("bag").orderBy("seq")
-    m = messages(spark, d).withColumns({"level": F.floor(F.col("value") / 50).cast("long")})
-    return m.withColumn("before", F.lag("level").over(w)).filter(~F.col("level").eqNullSafe(F.col("before")) | (F.col("seq") == 1)).select("event_id", "level", "before")
+    m = events(spark, d).withColumns({"level": F.floor(F.col("value") / 50).cast("long")})
+    return order.changes(m, ["bag"], ["t", "event_id"], "level", F.floor(F.col("t") / (30 * 86_400_000_000))).select("event_id", "level", "before")
 
 
 QUERIES = {f.__name__: f for f in (

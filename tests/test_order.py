@@ -43,3 +43,41 @@ def test_asof_takes_the_latest_at_or_before(spark):
         got = order.asof_join(l, r, ["k"], "t", ["v"], tie="n", block=block)
         assert sorted(tuple(x) for x in got.select("id", "asof_v").collect()) == sorted(want)
     assert order.asof_join(l, r.filter("false"), ["k"], "t", ["v"]).filter("asof_v is null").count() == len(left)
+
+
+def test_scans_by_blocks(spark, monkeypatch):
+    rnd = random.Random(9)
+    data = [(rnd.choice(["a", "b", None]), t, rnd.choice([None, 1, 2, 2]), rnd.randint(0, 9) < 3) for t in range(300)]
+    df = spark.createDataFrame(data, "k string, t int, v int, keyframe boolean").withColumn("seq", F.col("t").cast("long"))
+    last, n, want, changed = {}, {}, {}, set()
+    for k, t, v, _ in data:
+        n[k] = n.get(k, 0) + 1
+        want[t] = (n[k], last.get(k, "none"))
+        if last.get(k, "none") != v:
+            changed.add(t)
+        last[k] = v
+    for width in (7, 1000):
+        block = F.floor(F.col("t") / width)
+        got = order.number_within(order.previous(df, ["k"], ["t"], ["v"], block), ["k"], ["t"], block, "nr").collect()
+        assert {r["t"]: (r["nr"], "none" if r["previous"] is None else r["previous"]["v"]) for r in got} == want
+        assert {r["t"] for r in order.changes(df, ["k"], ["t"], "v", block).collect()} == changed
+    from kelpline.operators import segment, video
+
+    groups = {}
+    for size in (11, 1 << 17):
+        monkeypatch.setattr(segment, "BLOCK", size)
+        monkeypatch.setattr(video, "KEPT", 4)
+        g = video.picture_groups(df, keys=("k",)).collect()
+        p = video.repair_pts(df.withColumn("raw", F.coalesce(F.col("v") * 20, F.lit(0))), "raw", ("k",)).collect()
+        e = segment.edges(df.withColumns({"s": (F.col("v") == 1).cast("int"), "e": (F.col("v") == 2).cast("int")}), "s", "e", ("k",)).collect()
+        found = spark.createDataFrame([("a", 5, 40, 0), ("a", 44, 44, 1), ("a", 60, 290, 2), ("b", 1, 12, 3)], "k string, x_seq long, y_seq long, t_start long")
+        inside = segment.in_episodes(df, found, ("k",)).collect()
+        groups[size] = [sorted(map(str, x)) for x in (g, p, e, inside)]
+        kept = [t for k, t, _, key in data if k == "a"]
+        for r in g:
+            if r["k"] == "a":
+                tail = [t for t in kept if t <= r["t"]][-4:]
+                keys = [t for t in tail if data[t][3]]
+                assert r["tail_from"] == (keys[-1] if keys else None)
+        assert {r["t"]: r["x_seq"] for r in inside} == {t: x for k, t, _, _ in data for kk, x, y in (("a", 5, 40), ("a", 60, 290), ("b", 1, 12)) if k == kk and x <= t < y}
+    assert groups[11] == groups[1 << 17]
