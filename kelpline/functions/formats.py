@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,21 +44,27 @@ def number_tuple(text: Column, n: int = 3) -> Column:
     return F.when(t == "", F.array_repeat(F.lit(0.0), n)).otherwise(F.transform(F.split(t, r"\s+"), lambda x: x.try_cast("double")))
 
 
+def number_list(numbers: Column, digits: int, separator: str = ", ") -> Column:
+    """Numbers with ``digits`` decimals as ``[a, b]``; null elements are left out."""
+    texts = F.transform(F.filter(numbers, lambda x: x.isNotNull()), lambda x: F.format_string(f"%.{digits}f", x.cast("double")))
+    return F.when(numbers.isNotNull(), F.concat(F.lit("["), F.array_join(texts, separator), F.lit("]")))
+
+
 def package_map(text: Column) -> Column:
     """``a: path, b: path`` as a map, null where the text is a single path or address instead."""
     pairs = F.transform(F.filter(F.split(text, ","), lambda x: F.trim(x) != ""), lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("key"), F.trim(F.regexp_replace(x, r"^[^:]*:", "")).alias("value")))
     return F.when(text.rlike(r"^\s*[^:/\s]+\s*:(?!//)"), F.map_from_entries(pairs))
 
 
-def resolve_resource(path: Column, packages: Column | None, root: Column | None, working: Column) -> Column:
-    """Address of a mesh. ``package://name/rest`` goes by the map ``packages`` (null for unknown names) or, with a single
-    ``root``, below it - which is the package itself if it ends in the name, else its parent; other paths follow ``working``."""
+def resolve_resource(path: Column, packages: Column | Callable[[Column], Column] | None, root: Column | None, working: Column) -> Column:
+    """Address of a mesh. ``package://name/rest`` goes by ``packages``, a map or a function of the name (null for
+    unknown names) or, with a single ``root``, below it - which is the package itself if it ends in the name, else its parent; other paths follow ``working``."""
     name = F.regexp_extract(path, r"^package://([^/]+)/?(.*)$", 1)
     rest = F.regexp_extract(path, r"^package://([^/]+)/?(.*)$", 2)
     bare = F.regexp_replace(root, "/+$", "") if root is not None else F.lit(None).cast("string")
     single = F.when(bare.endswith(name), F.concat_ws("/", bare, rest)).otherwise(F.concat_ws("/", bare, name, rest))
-    mapped = F.concat_ws("/", F.try_element_at(packages, name), rest) if packages is not None else F.lit(None).cast("string")
-    known = F.when(F.try_element_at(packages, name).isNotNull(), mapped) if packages is not None else single
+    at = packages(name) if callable(packages) and not isinstance(packages, Column) else None if packages is None else F.try_element_at(packages, name)
+    known = single if at is None else F.when(at.isNotNull(), F.concat_ws("/", at, rest))
     return F.when(path.startswith("package://"), known).otherwise(F.concat(F.coalesce(working, F.lit("")), path))
 
 

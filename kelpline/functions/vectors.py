@@ -67,8 +67,20 @@ def zip_shortest(**arrays: Column) -> Column:
     return F.arrays_zip(*[F.slice(a, 1, n).alias(k) for k, a in arrays.items()])
 
 
-def vector_stats(vectors, column: str):
-    """Per slot (from 0): ``min, max, mean, std`` (population) and ``count`` over all rows, nulls left out."""
-    e = vectors.select(F.posexplode(column).alias("slot", "v"))
+def vector_stats(vectors, column: str, *keys: str):
+    """Per slot (from 0), within ``keys``: ``min, max, mean, std`` (population) and ``count`` over all rows, nulls left out."""
+    e = vectors.select(*keys, F.posexplode(column).alias("slot", "v"))
     v = F.col("v").cast("double")
-    return e.groupBy("slot").agg(F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.count(v).alias("count"))
+    return e.groupBy(*keys, "slot").agg(F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.count(v).alias("count"))
+
+
+def stats_json(frames, columns: list[str], key: str):
+    """``key, stats``: JSON of feature -> min, max, mean, std (a list of slots) and count, of the vector or number ``columns`` of each ``key``."""
+    kinds = dict(frames.dtypes)
+    out = None
+    for c in columns:
+        s = vector_stats(frames.withColumn(c, F.col(c) if kinds[c].startswith("array") else F.array(c)), c, key)
+        slots = F.array_sort(F.collect_list(F.struct("slot", "min", "max", "mean", "std", "count")))  # one entry a slot
+        each = s.groupBy(key).agg(slots.alias("s")).select(key, F.lit(c).alias("feature"), F.struct(*[F.transform("s", lambda x, n=n: x[n]).alias(n) for n in ("min", "max", "mean", "std")], F.array(F.array_max(F.transform("s", lambda x: x["count"]))).alias("count")).alias("stat"))
+        out = each if out is None else out.unionByName(each)
+    return out.groupBy(key).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "stat"))))).alias("stats"))

@@ -146,6 +146,25 @@ def totals(episodes: DataFrame, n_tasks: int | None, chunk: int, n_videos: int,
     return episodes.groupBy(*(by or [])).agg(n.alias("total_episodes"), F.coalesce(F.sum("length"), F.lit(0)).cast("long").alias("total_frames"), F.ceil(n / chunk).cast("long").alias("total_chunks"), (n * n_videos).alias("total_videos")).withColumn("total_tasks", F.lit(n_tasks).cast("long"))
 
 
+def merged_totals(episodes: DataFrame, infos: DataFrame, chunk: int) -> DataFrame:
+    """Totals of datasets merged into one. Episodes, frames and chunks are counted; videos are those the sources declare (null counts 0)."""
+    declared = infos.agg(F.coalesce(F.sum("total_videos"), F.lit(0)).cast("long").alias("n")).first()["n"]
+    return totals(episodes, None, chunk, 0).drop("total_tasks").withColumn("total_videos", F.lit(declared).cast("long"))
+
+
+def number_examples(rows: DataFrame, key: str, salt: str | None = None) -> DataFrame:
+    """``rows`` with ``example``: their number in the order of ``key`` or, with a salt, of a salted hash of it."""
+    return number_rows(rows, *([] if salt is None else [F.xxhash64(F.col(key), F.lit(salt))]), key, index="example")
+
+
+def first_examples(rows: DataFrame, split: str, key: str, most: int, salt: str | None = None) -> DataFrame:
+    """At most ``most`` rows of each ``split``, the first in the order of :func:`number_examples`; a null split is a split."""
+    order = [] if salt is None else [F.xxhash64(F.col(key), F.lit(salt))]
+    n = number_rows(rows, split, *order, key, index="example")
+    first = n.groupBy(F.col(split).alias("first_split")).agg(F.min("example").alias("first_example"))
+    return n.join(small(first), F.col(split).eqNullSafe(F.col("first_split"))).filter(F.col("example") < F.col("first_example") + most).select(*rows.columns)
+
+
 def balanced_parts(items: DataFrame, order: str, parts: int, batch: int) -> DataFrame:
     """``batch`` and ``part`` (from 0) of each item: batches of ``batch`` items in order, each in ``parts`` runs whose sizes differ by one at most."""
     n = number_rows(items, order, index="item").withColumn("batch", F.expr(f"item div {batch}"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline.functions import formats, paths, vectors
-from kelpline.operators import datasets
+from kelpline.operators import datasets, locate
 from kelpline.runtime import read, small
 
 #: Episodes of the training part of the prefix split, and the one task of the unified dataset.
@@ -21,7 +21,7 @@ def _episodes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _frames(spark: SparkSession, d: str) -> DataFrame:
-    f = read(spark, d, "hdf5_frames").select("episode_idx", "frame_index", "task_index", "file_id")
+    f = read(spark, d, "hdf5_frames").select("episode_idx", "frame_index", "task_index", "file_id", "robot", "timestamp", "chassis_action")
     return datasets.keep_first(f, ["episode_idx", "frame_index"], "file_id").withColumn("index", F.lit(0).cast("long"))
 
 
@@ -71,7 +71,7 @@ def delete_episodes(spark, d):
 
 
 def delete_frames(spark, d):
-    return datasets.delete(_whole(spark, d), _gone(spark, d), "episode_idx").frames.select("episode_idx", "frame_index", "index", "file_id")
+    return datasets.delete(_whole(spark, d), _gone(spark, d), "episode_idx").frames.drop("task_index")
 
 
 def delete_stats(spark, d):
@@ -136,15 +136,17 @@ def path_parts(spark, d):
 
 
 def video_resolution(spark, d):
-    """The stored file of each expected video, by falling priority: the template's path, then the same under chunk 0."""
+    """The stored file of each expected video, by falling priority (null if there is none)."""
     keys = F.transform(F.filter(F.map_entries("features"), lambda x: x["value"]["dtype"] == "video"), lambda x: x["key"])
-    t = small(read(spark, d, "info").filter("video_path is not null").select("dataset", "video_path", "chunks_size", F.explode(keys).alias("video_key")))
-    e = _episodes(spark, d).select("episode_index", "dataset").join(t, "dataset")
-    spell = lambda chunk: paths.fill_template(F.col("video_path"), chunk, F.col("episode_index"), F.col("video_key"))
-    want = e.select("episode_index", "dataset", "video_key", F.posexplode(F.array(spell(F.expr("episode_index div chunks_size")), spell(F.lit(0)))).alias("priority", "path"))
-    have = read(spark, d, "files").filter("deleted_at is null").select("dataset", paths.clean_path(F.col("path")).alias("path"), "file_id")
-    j = want.join(have, ["dataset", "path"])
-    return j.groupBy("episode_index", "video_key").agg(F.min_by("file_id", F.struct("priority", "file_id")).alias("file_id"))
+    t = read(spark, d, "info").filter("video_path is not null").select("dataset", "video_path", "chunks_size", F.explode(keys).alias("video_key"))
+    have = read(spark, d, "files").filter("deleted_at is null")
+    return locate.video_files(_episodes(spark, d), t, have).select("episode_index", "video_key", "path", F.col("how").cast("long").alias("how"))
+
+
+def parquet_resolution(spark, d):
+    """The same for frame files, taking every stored part file for a Parquet file of its episode."""
+    have = read(spark, d, "files").filter("kind = 'hdf5'").select("dataset", F.regexp_replace(F.regexp_replace("path", r"\.part\d+\.hdf5$", ".parquet"), "hdf5/chunk-000", "data/chunk-000").alias("path"))
+    return locate.parquet_files(_episodes(spark, d), read(spark, d, "info"), have).select("episode_index", "path", F.col("how").cast("long").alias("how"))
 
 
 def fmt_duration(spark, d):
@@ -165,7 +167,48 @@ def json_permissive(spark, d):
 def vector_assemble(spark, d):
     e = F.col("embedding")
     v = vectors.assemble(F.slice(e, 1, 21), F.slice(e, 22, 3), F.slice(e, 25, 20), F.slice(e, 45, 2), F.slice(e, 47, 7), F.slice(e, 54, 5))
-    return read(spark, d, "embeddings").select("vec_id", F.size(v).alias("n"), F.round(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double")), 6).alias("total"))
+    return read(spark, d, "embeddings").select("vec_id", v.alias("vector"))
+
+
+def ee_pose(spark, d):
+    e = F.col("embedding")
+    part = lambda names, first: F.struct(*[e[first + i].alias(n) for i, n in enumerate(names)])
+    return read(spark, d, "embeddings").select("vec_id", vectors.flatten_pose(F.struct(part("xyz", 0).alias("position"), part("xyzw", 3).alias("orientation"))).alias("pose"))
+
+
+def vector_place(spark, d):
+    return read(spark, d, "embeddings").select("vec_id", vectors.place(F.col("embedding"), F.slice("embedding", 10, 2), 3, 4).alias("vector"))
+
+
+def vector_names(spark, d):
+    rows = [(k, i, n) for k, layout in (("body", vectors.LAYOUT), ("chassis", vectors.CHASSIS), ("wide", vectors.WIDE)) for i, n in enumerate(vectors.names(layout))]
+    return spark.createDataFrame(rows, "layout string, slot int, name string")
+
+
+def number_lists(spark, d):
+    return read(spark, d, "embeddings").select("vec_id", formats.number_list(F.slice("embedding", 1, 3), 2).alias("text"))
+
+
+def episode_stats(spark, d):
+    """Statistics of each episode's chassis slots, without readings that are none."""
+    f = read(spark, d, "hdf5_frames").filter("chassis_state is not null and episode_idx is not null").select("episode_idx", "frame_index", F.transform("chassis_state", lambda x: F.when(F.abs(x) < 100, x)).alias("v"))
+    f = datasets.keep_first(f, ["episode_idx", "frame_index"], "v")
+    return vectors.vector_stats(f, "v", "episode_idx").select("episode_idx", "slot", *[F.round(c, 6).alias(c) for c in ("min", "max", "mean", "std")], "count")
+
+
+def merge_totals(spark, d):
+    """Totals of all datasets in one: episodes and frames are counted, the videos are those that the sources declare."""
+    return datasets.merged_totals(_episodes(spark, d), read(spark, d, "info"), 1000)
+
+
+def example_numbers(spark, d):
+    """Episodes as examples in the order of their number."""
+    return datasets.number_examples(_episodes(spark, d).select("episode_index", "dataset"), "episode_index").select("episode_index", "example")
+
+
+def example_head(spark, d):
+    """At most twenty examples of each dataset, the first by number."""
+    return datasets.first_examples(_episodes(spark, d).select("episode_index", "dataset"), "dataset", "episode_index", 20)
 
 
 def vector_pad(spark, d):
@@ -190,7 +233,8 @@ def zip_lists(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     merge_episodes, merge_frames, merge_tasks, merge_stats, delete_episodes, delete_frames, delete_stats, delete_missing, split_train, split_test, unify_frames, unify_stats, dataset_totals, dataset_info, chunk_ntile,
-    path_render, path_parse_max, path_parts, video_resolution, fmt_duration, fmt_size, json_permissive, vector_assemble, vector_pad, vector_flatten, vector_stats, zip_lists,
+    path_render, path_parse_max, path_parts, video_resolution, parquet_resolution, fmt_duration, fmt_size, json_permissive, vector_assemble, ee_pose, vector_place, vector_names, number_lists, episode_stats,
+    merge_totals, example_numbers, example_head, vector_pad, vector_flatten, vector_stats, zip_lists,
 )}
 
 _E = """
@@ -215,7 +259,7 @@ one as (select dataset, episode_index, min(task) as task from t group by 1, 2)
 select task, row_number() over (order by seen, task) - 1 as task_index from first_""",
     "merge_stats": _E + f"n as (select {_NEW('', 'dataset nulls first, episode_index')}) select n.dataset, n.episode_index, s.written_at from s join n on s.episode_index = n.old_index",
     "delete_episodes": _E + _KEPT + " select episode_index, old_index, start_frame from n",
-    "delete_frames": _E + _KEPT + f" {_FRAMES} from f join n on f.episode_idx = n.old_index",
+    "delete_frames": _E.replace("select episode_idx, frame_index, min(file_id) as file_id from hdf5_frames group by 1, 2", "select * from hdf5_frames qualify row_number() over (partition by episode_idx, frame_index order by file_id) = 1") + _KEPT + f" {_FRAMES}, f.robot, f.timestamp, f.chassis_action from f join n on f.episode_idx = n.old_index",
     "delete_stats": _E + _KEPT + " select n.episode_index, s.written_at from s join n on s.episode_index = n.old_index",
     "delete_missing": "select distinct episode_idx as episode_index from hdf5_frames where episode_idx is not null and episode_idx not in (select episode_index from episodes where episode_index is not null)",
     "split_train": _E + f"n as (select {_NEW('', 'episode_index')}) select episode_index, old_index, start_frame from n where episode_index < {N_TRAIN}",
@@ -237,11 +281,41 @@ select s_suppkey, item // 40 as batch, ntile(4) over (partition by item // 40 or
     "path_parts": r"""with p as (select file_id, regexp_replace(regexp_replace(path, '/(\./|/)+', '/', 'g'), '^(\./|/)+', '') as path from files), b as (select *, regexp_replace(path, '^.*/', '') as base from p)
 select file_id, path, case when path like '%/%' then regexp_replace(path, '/[^/]*$', '') when path is null then null else '' end as dir, regexp_replace(base, '(.)\.[^.]*$', '\1') as stem, lower(case when base like '_%.%' then '.' || regexp_extract(base, '^.+\.([^.]*)$', 1) when base is null then null else '' end) as suffix from b""",
     "video_resolution": _E + r"""i as (select dataset, video_path, chunks_size, features, unnest(map_keys(features)) as video_key from info where video_path is not null),
-w as (select e.episode_index, e.dataset, i.video_key, i.video_path, c.priority, case c.priority when 0 then e.episode_index // i.chunks_size else 0 end as chunk from e join i using (dataset), (select unnest([0, 1]) as priority) c where i.features[i.video_key].dtype = 'video'),
-x as (select *, replace(replace(replace(replace(replace(video_path, '{video_key}', video_key), '{episode_chunk:03d}', lpad(chunk::varchar, greatest(3, length(chunk::varchar))::int, '0')), '{episode_chunk:05d}', lpad(chunk::varchar, greatest(5, length(chunk::varchar))::int, '0')),
- '{episode_index:06d}', lpad(episode_index::varchar, greatest(6, length(episode_index::varchar))::int, '0')), '{episode_index:07d}', lpad(episode_index::varchar, greatest(7, length(episode_index::varchar))::int, '0')) as path from w),
-h as (select dataset, file_id, regexp_replace(regexp_replace(path, '/(\./|/)+', '/', 'g'), '^(\./|/)+', '') as path from files where deleted_at is null)
-select episode_index, video_key, arg_min(file_id, (priority, file_id)) as file_id from x join h using (dataset, path) group by 1, 2""",
+w as (select distinct e.episode_index, e.dataset, i.video_key, i.video_path, e.episode_index // i.chunks_size as chunk from e join i using (dataset) where i.features[i.video_key].dtype = 'video' and e.episode_index is not null),
+c as (select w.*, how, case how when 0 then chunk else 0 end as c from w, (select unnest([0, 1]) as how)),
+x as (select episode_index, dataset, video_key, how, replace(replace(replace(replace(replace(video_path, '{video_key}', video_key), '{episode_chunk:03d}', lpad(c::varchar, greatest(3, length(c::varchar))::int, '0')), '{episode_chunk:05d}', lpad(c::varchar, greatest(5, length(c::varchar))::int, '0')),
+ '{episode_index:06d}', lpad(episode_index::varchar, greatest(6, length(episode_index::varchar))::int, '0')), '{episode_index:07d}', lpad(episode_index::varchar, greatest(7, length(episode_index::varchar))::int, '0')) as path from c
+ union all select episode_index, dataset, video_key, 2, 'videos/chunk-' || lpad(chunk::varchar, 3, '0') || '/' || video_key || '/episode_' || episode_index || '.mp4' from w
+ union all select episode_index, dataset, video_key, 3, 'videos/chunk-' || lpad(chunk::varchar, 3, '0') || '/' || video_key || '/episode_' || lpad(episode_index::varchar, 6, '0') || '.mp4' from w),
+h as (select distinct dataset, regexp_replace(regexp_replace(path, '/(\./|/)+', '/', 'g'), '^(\./|/)+', '') as path from files where deleted_at is null),
+y as (select episode_index, video_key, how, path from x join h using (dataset, path)
+ union all select w.episode_index, w.video_key, 4, h.path from w join h on w.dataset = h.dataset and h.path like 'videos/%.mp4' and list_contains(string_split(regexp_replace(h.path, '/[^/]*$', ''), '/'), w.video_key)
+ and contains(regexp_replace(h.path, '^.*/', ''), lpad(w.episode_index::varchar, 6, '0'))),
+z as (select episode_index, video_key, min((how, path)) as best from y group by 1, 2)
+select w.episode_index, w.video_key, best[2] as path, best[1]::bigint as how from w left join z using (episode_index, video_key)""",
+    "parquet_resolution": _E + r"""w as (select distinct e.episode_index, e.dataset, e.episode_index // i.chunks_size as chunk, 'episode_' || lpad(e.episode_index::varchar, 6, '0') || '.parquet' as name from e join info i using (dataset) where e.episode_index is not null),
+h as (select distinct dataset, regexp_replace(regexp_replace(regexp_replace(regexp_replace(path, '\.part\d+\.hdf5$', '.parquet'), 'hdf5/chunk-000', 'data/chunk-000', 'g'), '/(\./|/)+', '/', 'g'), '^(\./|/)+', '') as path from files where kind = 'hdf5'),
+x as (select episode_index, dataset, 0 as how, 'data/chunk-' || lpad(chunk::varchar, 3, '0') || '/' || name as path from w union all select episode_index, dataset, 1, 'parquet/' || name from w union all select episode_index, dataset, 2, 'data/' || name from w),
+y as (select episode_index, how, path from x join h using (dataset, path) union all select w.episode_index, 3, h.path from w join h on w.dataset = h.dataset and regexp_replace(h.path, '^.*/', '') = w.name),
+z as (select episode_index, min((how, path)) as best from y group by 1)
+select w.episode_index, best[2] as path, best[1]::bigint as how from w left join z using (episode_index)""",
+    "ee_pose": "select vec_id, embedding[1:7] as pose from embeddings",
+    "vector_place": "select vec_id, list_concat(list_concat(embedding[1:3], embedding[10:11]), list_concat([0, 0]::float[], embedding[8:64])) as vector from embeddings",
+    "vector_names": """with p(layout, nr, name, size) as (values
+ ('body', 1, 'left_arm_pos', 7), ('body', 2, 'left_gripper_pos', 1), ('body', 3, 'right_arm_pos', 7), ('body', 4, 'right_gripper_pos', 1), ('body', 5, 'left_arm_vel', 7), ('body', 6, 'left_gripper_vel', 1), ('body', 7, 'right_arm_vel', 7),
+ ('body', 8, 'right_gripper_vel', 1), ('body', 9, 'left_arm_effort', 7), ('body', 10, 'left_gripper_effort', 1), ('body', 11, 'right_arm_effort', 7), ('body', 12, 'right_gripper_effort', 1), ('body', 13, 'left_ee_pose', 7), ('body', 14, 'right_ee_pose', 7),
+ ('chassis', 1, 'chassis_pos', 3), ('chassis', 2, 'chassis_vel', 3), ('chassis', 3, 'chassis_effort', 3)
+), q as (select * from p union all select 'wide', nr, name, size from p where layout = 'body' union all values ('wide', 15, 'chassis', 9), ('wide', 16, 'lift_vel', 1)),
+r as (select layout, nr, name, size, unnest(range(size)) as i from q)
+select layout, (row_number() over (partition by layout order by nr, i) - 1)::int as slot, case when size > 1 then name || '_' || i else name end as name from r""",
+    "number_lists": "select vec_id, '[' || array_to_string(list_transform(embedding[1:3], lambda x: printf('%.2f', x::double)), ', ') || ']' as text from embeddings",
+    "episode_stats": """with f as (select distinct episode_idx, frame_index, chassis_state from hdf5_frames where chassis_state is not null and episode_idx is not null),
+v as (select episode_idx, unnest(range(len(chassis_state)))::int as slot, unnest(chassis_state)::double as v from f), w as (select episode_idx, slot, case when abs(v) < 100 then v end as v from v)
+select episode_idx, slot, round(min(v), 6) as min, round(max(v), 6) as max, round(avg(v), 6) as mean, round(stddev_pop(v), 6) as std, count(v) as count from w group by 1, 2""",
+    "merge_totals": _E + """z as (select 1) select count(*) as total_episodes, coalesce(sum(length), 0)::bigint as total_frames, ceil(count(*) / 1000.0)::bigint as total_chunks,
+ (select coalesce(sum(total_videos), 0)::bigint from info) as total_videos from e""",
+    "example_numbers": _E + "z as (select 1) select episode_index, row_number() over (order by episode_index nulls first) - 1 as example from e",
+    "example_head": _E + "z as (select 1) select episode_index, dataset from e qualify row_number() over (partition by dataset order by episode_index nulls first) <= 20",
     "fmt_duration": _E + """t as (select episode_index, coalesce(length, 0) as s from e) select episode_index,
  case when s >= 3600 then printf('%dh %dm %ds', s // 3600, s % 3600 // 60, s % 60) when s >= 60 then printf('%dm %ds', s // 60, s % 60) else printf('%ds', s) end as text,
  case when s >= 60 then printf('%dm %ds', s // 60, s % 60) else printf('%ds', s) end as minutes from t""",
@@ -257,5 +331,5 @@ select slot, round(min(v), 6) as min, round(max(v), 6) as max, round(avg(v), 6)
   list_concat(list_concat(embedding[8:14], embedding[23:23]), list_concat(embedding[32:38], embedding[46:46])),
   list_concat(list_concat(embedding[15:21], embedding[24:24]), list_concat(embedding[39:44], [0, 0]::float[])),
   embedding[47:53], list_concat(embedding[54:58], [0, 0]::float[])) as v from embeddings)
-select vec_id, len(v)::int as n, round(list_sum(list_transform(v, lambda x: x::double)), 6) as total from v""",
+select vec_id, v as vector from v""",
 }
