@@ -114,7 +114,7 @@ def mimic_cycles(joints_: DataFrame) -> DataFrame:
 def require_no_cycles(joints_: DataFrame) -> DataFrame:
     """``joints_``, failing when it is read if joints mimic each other in a circle."""
     bad = small(mimic_cycles(joints_).withColumn("in_cycle", F.lit(True)))
-    ok = F.when(F.col("in_cycle").isNull(), True).otherwise(F.raise_error(F.lit("joints mimic each other in an infinite loop")).cast("boolean"))
+    ok = F.when(F.col("in_cycle").isNull(), True).otherwise(F.raise_error(F.lit("mimic joints form a cycle")).cast("boolean"))
     return joints_.join(bad, ["robot", "joint"], "left").filter(ok).drop("in_cycle")
 
 
@@ -123,17 +123,17 @@ def set_values(joints_: DataFrame, requests: DataFrame, current: DataFrame | Non
 
     A joint passes the value asked of it, before its own limits, on to the joints that mimic it: times multiplier plus
     offset, where a null passes on the offset. Each clamps by its own limits. A null request changes nothing, nor does
-    a fixed joint. ``current`` (``robot, joint, value``) defaults to zeros. Of several requests that reach a joint the
+    a fixed joint. Chains of any length are followed; each joint once. ``current`` (``robot, joint, value``) defaults to zeros. Of several requests that reach a joint the
     one over the most steps holds.
     """
     j = joints_.select("robot", "joint", "type", "lower", "upper", "mimic_joint", "multiplier", "offset")
     asked = _recursive(joints_.sparkSession, """
-        with recursive asked(robot, joint, requested, depth) as (
-          select r.robot, r.joint, cast(r.value as double), 0 from {r} r
+        with recursive asked(robot, joint, requested, path) as (
+          select r.robot, r.joint, cast(r.value as double), array(r.joint) from {r} r
           union all
-          select j.robot, j.joint, coalesce(a.requested * j.multiplier, 0D) + j.offset, a.depth + 1
-          from asked a join {j} j on a.robot = j.robot and a.joint = j.mimic_joint where a.depth < 100
-        ) select robot, joint, max_by(requested, depth) as requested from asked group by robot, joint""", r=requests.select("robot", "joint", "value"), j=j)
+          select j.robot, j.joint, coalesce(a.requested * j.multiplier, 0D) + j.offset, array_append(a.path, j.joint)
+          from asked a join {j} j on a.robot = j.robot and a.joint = j.mimic_joint where not array_contains(a.path, j.joint)
+        ) select robot, joint, max_by(requested, size(path)) as requested from asked group by robot, joint""", r=requests.select("robot", "joint", "value"), j=j)
     out = j.join(asked, ["robot", "joint"])
     now = F.lit(0.0)
     if current is not None:
@@ -144,6 +144,27 @@ def set_values(joints_: DataFrame, requests: DataFrame, current: DataFrame | Non
     return out.select("robot", "joint", "requested", value.alias("value"), (value != now).alias("changed"))
 
 
+def reapply(joints_: DataFrame, current: DataFrame, ignore_limits: bool = False) -> DataFrame:
+    """Values after limits are switched on or off: ``current`` (``robot, joint, value``) asked for again; ``changed`` where it moves."""
+    own = joints_.withColumns({"mimic_joint": F.lit(None).cast("string")})
+    return set_values(own, current, current, ignore_limits)
+
+
+def clone(source: str, target: str, *tables: DataFrame) -> tuple[DataFrame, ...]:
+    """Copies of a robot's tables under another name. Mimic joints follow the copy's masters, as tables refer by name within a robot.
+
+    A mimic joint whose master the robot lacks mimics nothing in the copy.
+    """
+    out = []
+    for t in tables:
+        c = t.filter(F.col("robot") == source).withColumn("robot", F.lit(target))
+        if "mimic_joint" in t.columns:
+            known = c.select(F.col("joint").alias("clone_joint")).distinct()
+            c = c.join(small(known), F.col("mimic_joint") == F.col("clone_joint"), "left").withColumn("mimic_joint", F.col("clone_joint")).drop("clone_joint")
+        out.append(c)
+    return tuple(out)
+
+
 def merge_values(current: Column, values: Column) -> Column:
     """Value of a planar or floating joint after a request: null components keep what was."""
     return F.zip_with(current, values, lambda a, b: F.coalesce(b, a))
@@ -199,9 +220,24 @@ def frames_by_name(links_: DataFrame, joints_: DataFrame, shapes_: DataFrame) ->
     return named.filter("frame is not null").groupBy("robot", "frame").agg(F.min_by("role", order).alias("role"))
 
 
-def values_map(values: DataFrame) -> DataFrame:
-    """``robot, joint_values``: the joints' values as a map."""
-    return values.groupBy("robot").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("joint", "value")))).alias("joint_values"))
+def joint_values(joints_: DataFrame, scalars: DataFrame, arrays: DataFrame | None = None) -> DataFrame:
+    """``robot, joint, values``: every joint's value as an array of ``n_values``, zeros where none is given.
+
+    ``scalars``: ``robot, joint, value``; ``arrays``: ``robot, joint, value`` with an array, for planar and floating joints.
+    """
+    j = joints_.select("robot", "joint", "n_values").join(scalars.select("robot", "joint", F.array("value").alias("one")), ["robot", "joint"], "left")
+    given = F.when(F.col("n_values") == 1, F.col("one"))
+    if arrays is not None:
+        j = j.join(arrays.select("robot", "joint", F.col("value").cast("array<double>").alias("many")), ["robot", "joint"], "left")
+        given = F.coalesce(given, F.when(F.size("many") == F.col("n_values"), F.col("many")))
+    return j.select("robot", "joint", F.coalesce(given, F.array_repeat(F.lit(0.0), F.col("n_values").cast("int"))).alias("values"))
+
+
+def values_json(values: DataFrame) -> DataFrame:
+    """``robot, joint_values``: JSON of all joints by name, a number for joints with one value, else a list."""
+    text = F.when(F.size("values") == 1, F.to_json(F.col("values")).substr(F.lit(2), F.length(F.to_json("values")) - 2)).otherwise(F.to_json("values"))
+    entry = F.concat(F.to_json(F.array("joint")).substr(F.lit(2), F.length(F.to_json(F.array("joint"))) - 2), F.lit(": "), text)
+    return values.groupBy("robot").agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(entry)), ", "), F.lit("}")).alias("joint_values"))
 
 
 def state_joints(frames: DataFrame, joints_: DataFrame, state: str = "state", first: tuple[str, ...] = ("l_joint", "r_joint"), per_side: int = 8) -> DataFrame:

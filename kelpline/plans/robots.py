@@ -78,11 +78,54 @@ def link_poses(spark, d):
     _, l, j = _model(spark)
     v = robot.set_values(j, _asked(spark)).select("robot", "joint", "value")
     p = robot.poses(l, j, v)
-    return p.select("link", *[F.round(F.col("pos")[i], 6).alias(c) for i, c in enumerate("xyz")], F.round(F.abs(F.col("rot")[3]), 6).alias("w"))
+    return p.select("link", *[(F.round(F.col("pos")[i], 6) + 0.0).alias(c) for i, c in enumerate("xyz")], F.round(F.abs(F.col("rot")[3]), 6).alias("w"))
 
 
 def model_shapes(spark, d):
-    return robot.shapes(_model(spark)[0]).select("link", "role", "name", "shape", "size", "radius", "length", "rgba")
+    return robot.shapes(_model(spark)[0]).select("link", "role", "name", "shape", "size", "radius", "length", "rgba", "xyz")
+
+
+def _values(spark):
+    _, _, j = _model(spark)
+    return robot.set_values(j, _asked(spark)).select("robot", "joint", "value")
+
+
+def joint_values(spark, d):
+    _, _, j = _model(spark)
+    many = spark.createDataFrame([("demo", "slide", [1.0, None, 3.0])], "robot string, joint string, value array<double>")
+    many = many.withColumn("value", robot.merge_values(F.array(*map(F.lit, (7.0, 8.0, 9.0))), F.col("value")))
+    return robot.joint_values(j, _values(spark), many).select("joint", "values")
+
+
+def limits_again(spark, d):
+    """Values set without limits, and again with them."""
+    _, _, j = _model(spark)
+    free = robot.set_values(j, _asked(spark), ignore_limits=True)
+    return robot.reapply(j, free.select("robot", "joint", "value")).select("joint", F.round("requested", 9).alias("free"), F.round("value", 9).alias("held"), "changed")
+
+
+def cloned_values(spark, d):
+    """A copy of the model answers to its own requests."""
+    _, l, j = _model(spark)
+    l2, j2 = robot.clone("demo", "twin", l, j)
+    v = robot.set_values(j2.unionByName(j), _asked(spark).withColumn("robot", F.lit("twin")))
+    return v.select("robot", "joint", F.round("value", 9).alias("value"))
+
+
+def frame_names(spark, d):
+    p, l, j = _model(spark)
+    return robot.frames_by_name(l, j, robot.shapes(p)).select("frame", "role")
+
+
+def rigid_groups(spark, d):
+    _, l, j = _model(spark)
+    return robot.rigid_group(l, j).select("joint", "link")
+
+
+def joint_degrees(spark, d):
+    """The limits of turning joints in degrees, of the model and as read from the tables' first joint."""
+    j = _model(spark)[2].filter(F.col("type").isin("revolute", "continuous"))
+    return j.select("joint", *[F.round(F.degrees(c), 6).alias(c) for c in ("lower", "upper")])
 
 
 def natural_sort(spark, d):
@@ -120,7 +163,7 @@ def mesh_addresses(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    joint_defaults, joint_clamp, mimic_propagate, mimic_cycle, root_links, tree_depth, movable_ancestor, link_poses, model_shapes, natural_sort, state_joints, drag_angles, option_words, mesh_addresses,
+    joint_defaults, joint_clamp, mimic_propagate, mimic_cycle, root_links, tree_depth, movable_ancestor, link_poses, model_shapes, joint_values, limits_again, cloned_values, frame_names, rigid_groups, joint_degrees, natural_sort, state_joints, drag_angles, option_words, mesh_addresses,
 )}
 
 _J = """
@@ -145,6 +188,35 @@ select *, greatest(-0.25, least(0.5, v)) as clamped from f where v is not null a
   union all select j.joint, a.requested * j.multiplier + j."offset" from a join j on j.mimic_joint = a.joint
 ), v as (select a.joint, a.requested, case when j.type = 'fixed' then 0 when j.type in ('revolute', 'prismatic') then greatest(lower, least(upper, a.requested)) else a.requested end as value from a join j using (joint))
 select joint, round(requested, 9) as requested, round(value, 9) as value, value <> 0 as changed from v""",
+    "joint_values": _J + """, v(joint, value) as (values ('joint1', 1.8::double), ('joint2', 0.25), ('joint10', 1.5), ('finger_2', 0.04), ('finger_10', -0.04), ('body_fixed', 0), ('wheel', 23 * (-1 * 0.1::double) - 5))
+select j.joint, case n_values when 0 then []::double[] when 1 then [v.value] else [1, 8, 3]::double[] end as values from j left join v using (joint)""",
+    "limits_again": _J + """, v(joint, free) as (values ('joint1', 2.5::double), ('joint2', 0.1), ('joint10', 1.5), ('finger_2', 0.1), ('finger_10', -0.1), ('body_fixed', 0), ('wheel', 23 * (-1 * 0.1::double) - 5)),
+w as (select joint, free, case when type in ('revolute', 'prismatic') then greatest(lower, least(upper, free)) when type = 'fixed' then free else free end as held from v join j using (joint))
+select joint, round(free, 9) as free, round(held, 9) as held, free <> held as changed from w""",
+    "cloned_values": """select 'twin' as robot, joint, round(value, 9) as value from (values ('joint1', 1.8::double), ('joint2', 0.25), ('joint10', 1.5), ('finger_2', 0.04), ('finger_10', -0.04), ('body_fixed', 0), ('wheel', -7.3)) v(joint, value)""",
+    "frame_names": _J + "select joint as frame, 'joint' as role from j union all select link, 'link' from l where link not in (select joint from j) union all select 'hull', 'visual'",
+    "rigid_groups": _J + "select mover as joint, link from t where mover is not null",
+    "joint_degrees": _J + "select joint, round(degrees(lower), 6) as lower, round(degrees(upper), 6) as upper from j where type in ('revolute', 'continuous')",
+    "model_shapes": """select * from (values
+ ('base', 'visual', 'hull', 'box', [0.4, 0.3, 0.2]::double[], null::double, null::double, [0.5, 0.5, 0.5, 1]::double[], [0, 0, 0.1]::double[]),
+ ('upper', 'collision', null, 'cylinder', null, 0.05, 0.3, null, [0, 0, 0]::double[]),
+ ('wheel', 'visual', null, 'sphere', null, 0.1, null, null, [0, 0, 0]::double[])) v(link, role, name, shape, size, radius, length, rgba, xyz)""",
+    "link_poses": _J.replace("t(link, depth", """o(joint, x, y, z, yaw, v) as (values ('body_fixed', 0.0::double, 0.0::double, 0.5::double, 1.5707963267948966::double, 0.0::double), ('joint1', 0.2, 0, 0, 0, 1.8), ('joint2', 0.3, 0, 0, 0, 0.25), ('joint10', 0.25, 0, 0, 0, 1.5),
+ ('finger_2', 0, 0, 0, 0, 0.04), ('finger_10', 0, 0, 0, 0, -0.04), ('slide', 0, 0, 0, 0, 0), ('wheel', 0, 0, 0, 0, 23 * (-1 * 0.1::double) - 5)),
+-- each joint as a turn (quaternion a, b, c, w) and a shift
+m as (select parent, child, case when type = 'prismatic' then x + axis[1] * v else x end as x, case when type = 'prismatic' then y + axis[2] * v else y end as y, case when type = 'prismatic' then z + axis[3] * v else z end as z,
+  case when type in ('revolute', 'continuous') then axis[1] * sin(v / 2) else 0 end as a, case when type in ('revolute', 'continuous') then axis[2] * sin(v / 2) else 0 end as b,
+  case when type in ('revolute', 'continuous') then axis[3] * sin(v / 2) else sin(yaw / 2) end as c, case when type in ('revolute', 'continuous') then cos(v / 2) else cos(yaw / 2) end as w from j join o using (joint)),
+k(link, x, y, z, a, b, c, w) as (
+  select 'base', 0.0::double, 0.0::double, 0.0::double, 0.0::double, 0.0::double, 0.0::double, 1.0::double
+  union all select m.child,
+    k.x + (1 - 2 * (k.b * k.b + k.c * k.c)) * m.x + 2 * (k.a * k.b - k.c * k.w) * m.y + 2 * (k.a * k.c + k.b * k.w) * m.z,
+    k.y + 2 * (k.a * k.b + k.c * k.w) * m.x + (1 - 2 * (k.a * k.a + k.c * k.c)) * m.y + 2 * (k.b * k.c - k.a * k.w) * m.z,
+    k.z + 2 * (k.a * k.c - k.b * k.w) * m.x + 2 * (k.b * k.c + k.a * k.w) * m.y + (1 - 2 * (k.a * k.a + k.b * k.b)) * m.z,
+    k.w * m.a + k.a * m.w + k.b * m.c - k.c * m.b, k.w * m.b - k.a * m.c + k.b * m.w + k.c * m.a, k.w * m.c + k.a * m.b - k.b * m.a + k.c * m.w, k.w * m.w - k.a * m.a - k.b * m.b - k.c * m.c
+  from k join m on m.parent = k.link
+),
+t(link, depth""") + " select link, round(x, 6) + 0.0 as x, round(y, 6) + 0.0 as y, round(z, 6) + 0.0 as z, round(abs(w), 6) as w from k",
     "mimic_cycle": "select 'r' as robot, unnest(['a', 'b', 'c']) as joint",
     "root_links": _J + "select link from t where depth = 0",
     "tree_depth": _J + "select link, depth, array_to_string(path, '/') as path from t",
