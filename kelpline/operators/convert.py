@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelpline.functions import vectors
@@ -112,11 +112,15 @@ def rlds(frames_: DataFrame, found: DataFrame, fps: int, task: str) -> DataFrame
     return j.select("steps", meta.alias("episode_metadata"))
 
 
+def camera_key(topic: Column) -> Column:
+    """The camera that a topic of pictures or of calibrations belongs to; null for others."""
+    return F.coalesce(*[F.when(topic == t, k) for group in (CAMERAS, CAMERA_INFO) for k, t in group.items()])
+
+
 def calibrations(messages: DataFrame) -> DataFrame:
     """Calibration of every camera of every bag: the first heard, or none found."""
-    keys = F.create_map(*[F.lit(x) for k, t in CAMERA_INFO.items() for x in (t, k)])
     heard = decode(messages.filter(F.col("topic").isin(*CAMERA_INFO.values())), "CameraInfo").filter("payload is not null")
-    heard = heard.select("bag", F.element_at(keys, F.col("topic")).alias("camera"), "seq", F.col("payload.k").alias("K"), F.col("payload.d").alias("D"), F.col("payload.p").alias("P"), "payload.width", "payload.height", "payload.distortion_model")
+    heard = heard.select("bag", camera_key(F.col("topic")).alias("camera"), "seq", F.col("payload.k").alias("K"), F.col("payload.d").alias("D"), F.col("payload.p").alias("P"), "payload.width", "payload.height", "payload.distortion_model")
     every = messages.select("bag").distinct().withColumn("camera", F.explode(F.array(*map(F.lit, CAMERAS))))
     return steps.with_calibration(every, steps.first_calibration(heard))
 

@@ -77,6 +77,12 @@ def shown_packets(ticks: DataFrame, packets: DataFrame, keys: list[str], at: str
     return asof_join(ticks, packets.withColumn("packet_t", F.col(at)), keys, at, [*[c for c in take if c != at], "packet_t"], tie="seq")
 
 
+def needed_packets(packets: DataFrame, shown: DataFrame, keys: tuple[str, ...] = ("bag", "topic"), seq: str = "asof_seq") -> DataFrame:
+    """The packets that some tick of ``shown`` (see :func:`shown_packets`) shows; only these need be decoded to pictures."""
+    n = shown.filter(F.col(seq).isNotNull()).select(*keys, F.col(seq).alias("seq")).distinct()
+    return packets.join(n, [*keys, "seq"], "left_semi")
+
+
 def repair_pts(packets: DataFrame, raw: str, keys: tuple[str, ...] = ("bag", "topic"), out: str = "pts") -> DataFrame:
     """Strictly increasing repair of ``raw`` along ``seq``: each is at least one more than the repaired one before.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,14 +130,92 @@ def episode_packets(spark, d):
     return video.episode_packets(p.select("bag", "topic", "seq", "keyframe"), _episodes(m))
 
 
-def shown_packets(spark, d):
-    """Which packet of each camera every kept tick shows: the latest at or before the tick's time."""
+def _shown(spark, d):
     inside = materialize(_inside(spark, d), "inside")
     rows = sample.grid_rows(inside, PERIOD, OFFSET, [])
     cams = F.explode(F.array(*map(F.lit, CAMERAS)))
     ticks = rows.select("bag", "x_seq", "tick", (F.col("t_start") + (F.col("tick") + 1) * PERIOD).alias("t"), cams.alias("topic"))
     inside = inside.filter(F.col("topic").isin(CAMERAS)).select("bag", "x_seq", "topic", "seq", "t")
-    return video.shown_packets(ticks, inside, ["bag", "x_seq", "topic"]).select("bag", "x_seq", "tick", "topic", F.col("asof_seq").alias("packet_seq"), (F.col("t") - F.col("asof_packet_t")).alias("staleness_us"))
+    return inside, video.shown_packets(ticks, inside, ["bag", "x_seq", "topic"])
+
+
+def shown_packets(spark, d):
+    """Which packet of each camera every kept tick shows: the latest at or before the tick's time."""
+    return _shown(spark, d)[1].select("bag", "x_seq", "tick", "topic", F.col("asof_seq").alias("packet_seq"), (F.col("t") - F.col("asof_packet_t")).alias("staleness_us"))
+
+
+def needed_packets(spark, d):
+    """The packets that must be decoded, as some kept tick shows them."""
+    inside, shown = _shown(spark, d)
+    return video.needed_packets(inside, shown).select("bag", "x_seq", "topic", "seq")
+
+
+#: What the converted log makes of the event types: topic, message type.
+ROLES = {
+    "view": (convert.STATE["left_arm"], "sensor_msgs/msg/JointState"), "click": (convert.ACTION["left_arm"], "sensor_msgs/msg/JointState"), "error": (convert.STATE["right_gripper"], "sensor_msgs/msg/JointState"),
+    "signup": (convert.MARKERS, "sensor_msgs/msg/Joy"), "purchase": (convert.MARKERS, "sensor_msgs/msg/Joy"),
+}
+
+
+def _payloads(parts):
+    """Events as message bytes: joint states of position and velocity, and joystick messages of four buttons."""
+
+    def padded(body: bytes, code: str, *v) -> bytes:
+        body += b"\0" * (-len(body) % struct.calcsize(code))
+        return body + struct.pack(f"<{len(v)}{code}", *v)
+
+    def numbers(body: bytes, code: str, v: list) -> bytes:
+        body = padded(body, "I", len(v))
+        return padded(body, code, *v) if v else body
+
+    head = struct.pack("<III", 0, 0, 1) + b"\0"
+    for p in parts:
+        out = []
+        for topic, value, k in zip(p["topic"], p["value"].fillna(0.0), p["k"].fillna(0)):
+            if topic in ("signup", "purchase"):
+                body = numbers(numbers(head, "f", []), "i", [0, 0, int(topic == "signup"), int(topic == "purchase")])
+            else:
+                position = {"view": [value, float(k), 1.0], "click": [value], "error": [value]}[topic]
+                body = numbers(head, "I", [])
+                for v in (position, [float(k)] if topic == "error" else [], []):
+                    body = numbers(body, "d", v)
+            out.append(b"\0\1\0\0" + body)
+        yield p.assign(data=out)[["bag", "seq", "event", "ts_ns", "data"]]
+
+
+def converted_frames(spark, d):
+    """The whole conversion - episodes, grid, late decoding, vectors, least length - of a log of message bytes made from the events."""
+    m = log(spark, d).select("bag", "seq", "topic", "value", "k", F.expr("t div 1944").alias("ts_ns"))
+    m = m.withColumn("event", F.col("topic")).mapInPandas(_payloads, "bag long, seq long, event string, ts_ns long, data binary")
+    role = lambda i: F.coalesce(*[F.when(F.col("event") == e, r[i]) for e, r in ROLES.items()])
+    m = materialize(m.select("bag", "seq", role(0).alias("topic"), role(1).alias("msg_type"), "ts_ns", "data"), "messages")
+    f = convert.frames(m, 45, 90, min_rows=2)
+    return f.select("bag", "x_seq", "frame_index", "tick", F.round("timestamp", 9).alias("timestamp"), "state", "action", "chassis_state", "chassis_action")
+
+
+def camera_sizes(spark, d):
+    """The size of each packet's pictures: its own, else that of a calibration that every third has, else a default."""
+    p = read(spark, d, "packets")
+    third = F.col("packet_id") % 3 == 0
+    size = steps.camera_size(F.when(F.col("packet_id") % 2 == 0, F.col("width")), F.col("height"), F.when(third, 1280), F.when(third, (F.col("packet_id") % 5 * 144).cast("int")), (640, 480))
+    return p.select("packet_id", size["width"].alias("width"), size["height"].alias("height"))
+
+
+def crop_boxes(spark, d):
+    box = steps.crop_box(F.col("width"), F.col("height"), F.col("topic").contains("xr_video"))
+    return read(spark, d, "packets").select("packet_id", *[box[c].alias(c) for c in ("x", "y", "width", "height", "side")])
+
+
+def camera_topics(spark, d):
+    return read(spark, d, "packets").groupBy("topic", convert.camera_key(F.col("topic")).alias("camera")).agg(F.count("*").alias("n"))
+
+
+def camera_defaults(spark, d):
+    """Every camera of every log with its first calibration, or with none."""
+    e = messages(spark, d).filter("topic in ('view', 'click') and k > 50")
+    heard = e.select("bag", F.col("topic").alias("camera"), "seq", F.array(F.col("value")).alias("K"), F.col("k").cast("int").alias("width"), F.col("k").cast("int").alias("height"), F.col("topic").alias("distortion_model"))
+    every = events(spark, d).select("bag").distinct().withColumn("camera", F.explode(F.array(*map(F.lit, (*CAMERAS, "none")))))
+    return steps.with_calibration(every, steps.first_calibration(heard)).select("bag", "camera", "found", F.size("K").alias("n_k"), "width", "height", "distortion_model")
 
 
 def pts_monotone(spark, d):
@@ -197,7 +277,7 @@ def change_events(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     episode_frames, edge_detect, episode_segments, episode_validate_bags, episode_validate_stats, messages_in_episodes, grid_ticks, episode_numbers, conversion_summary, time_gaps, asof_latest, gop_islands, episode_packets,
-    shown_packets, pts_monotone, pts_clock, keyframes, rlds_steps, rlds_nested, topic_catalog, topic_union, require_topics, first_calibration, dedupe_first, whole_bag, change_events,
+    shown_packets, needed_packets, converted_frames, camera_sizes, crop_boxes, camera_topics, camera_defaults, pts_monotone, pts_clock, keyframes, rlds_steps, rlds_nested, topic_catalog, topic_union, require_topics, first_calibration, dedupe_first, whole_bag, change_events,
 )}
 
 _M = """
@@ -273,6 +353,52 @@ select y.bag, y.x_seq, q.topic, q.seq from y join q on q.bag = y.bag and q.topic
 , k as (select bag, x_seq, tick, t_start + (tick + 1) * 43200000000 as t, topic from g, (select unnest(['view', 'click']) as topic))
 select k.bag, k.x_seq, k.tick, k.topic, i.seq as packet_seq, k.t - i.t as staleness_us
 from k asof left join (select * from i where topic in ('view', 'click')) i on k.bag = i.bag and k.x_seq = i.x_seq and k.topic = i.topic and k.t >= i.t""",
+    "needed_packets": _M + """
+, k as (select bag, x_seq, tick, t_start + (tick + 1) * 43200000000 as t, topic from g, (select unnest(['view', 'click']) as topic))
+select distinct k.bag, k.x_seq, k.topic, i.seq
+from k asof join (select * from i where topic in ('view', 'click')) i on k.bag = i.bag and k.x_seq = i.x_seq and k.topic = i.topic and k.t >= i.t""",
+    "converted_frames": """
+with m as (
+  select user_id as bag, event_type as topic, epoch_us(ts) // 1944 as ns, coalesce(value, 0) as value, coalesce(try_cast(json_extract_string(props, '$.k') as bigint), 0) as k,
+         row_number() over (partition by user_id order by ts, event_id) as seq from events
+), e as (
+  select bag, seq, ns, coalesce(lag(topic) over w = 'purchase' and topic = 'signup', false) as x, coalesce(lag(topic) over w = 'signup' and topic = 'purchase', false) as y
+  from m where topic in ('signup', 'purchase') window w as (partition by bag order by seq)
+), c as (
+  select *, max(case when x then seq end) over (partition by bag order by seq rows unbounded preceding) as x_seq,
+         max(case when y then seq end) over (partition by bag order by seq rows between unbounded preceding and 1 preceding) as y_before
+  from e where x or y
+), ep as (
+  select c.bag, c.x_seq, c.seq as y_seq, m.ns as start_ns from c join m on m.bag = c.bag and m.seq = c.x_seq where c.y and c.x_seq is not null and (c.y_before is null or c.x_seq > c.y_before)
+), i as (
+  select m.*, ep.x_seq, (m.ns - ep.start_ns) * 4050 as u,
+         max(case when topic = 'view' then m.seq end) over h as view_seq, max(case when topic = 'click' then m.seq end) over h as click_seq, max(case when topic = 'error' then m.seq end) over h as error_seq
+  from m join ep on m.bag = ep.bag and m.seq >= ep.x_seq and m.seq < ep.y_seq window h as (partition by m.bag, ep.x_seq order by m.seq rows unbounded preceding)
+), p as (
+  select *, coalesce(lag(case when u < 135000000000 then 0 else (u - 135000000000) // 90000000000 + 1 end) over (partition by bag, x_seq order by seq), 0) as pending from i
+), g as (
+  select bag, x_seq, pending as tick, min(case when u between (pending + 1) * 90000000000 and (pending + 1) * 90000000000 + 45000000000 then seq end) as state_seq,
+         min(case when u > (pending + 1) * 90000000000 + 45000000000 then seq end) as action_seq
+  from p group by all having state_seq is not null and action_seq is not null
+), r as (select *, row_number() over (partition by bag, x_seq order by tick) - 1 as frame_index, count(*) over (partition by bag, x_seq) as n from g),
+z as (select [0, 0, 0, 0, 0, 0, 0]::float[] as z7)
+select r.bag, r.x_seq, r.frame_index, r.tick, round(r.frame_index * (1 / 45.0::double), 9) as timestamp,
+       list_concat(list_concat([coalesce(v.value, 0), coalesce(v.k, 0), case when v.seq is null then 0 else 1 end, 0, 0, 0, 0, 0]::float[], z7), list_concat([coalesce(f.value, 0)]::float[], list_concat(z7, [0]::float[])),
+                   list_concat(z7, [coalesce(f.k, 0)]::float[]), list_concat(list_concat(z7, z7), list_concat(z7, z7)), [0, 0]::float[]) as state,
+       list_concat([coalesce(a.value, 0)]::float[], list_concat(list_concat(z7, z7), list_concat(z7, z7)), list_concat(list_concat(z7, z7), list_concat(z7, z7)), [0, 0, 0, 0, 0]::float[]) as action,
+       [0, 0, 0, 0, 0, 0, 0, 0, 0]::float[] as chassis_state, [0, 0, 0, 0, 0, 0, 0, 0, 0]::float[] as chassis_action
+from r join i s on s.bag = r.bag and s.x_seq = r.x_seq and s.seq = r.state_seq join i b on b.bag = r.bag and b.x_seq = r.x_seq and b.seq = r.action_seq
+left join m v on v.bag = r.bag and v.seq = s.view_seq left join m f on f.bag = r.bag and f.seq = s.error_seq left join m a on a.bag = r.bag and a.seq = b.click_seq, z
+where r.n >= 2""",
+    "camera_sizes": """select packet_id, case when packet_id % 2 = 0 and width is not null and height is not null then width when packet_id % 3 = 0 and packet_id % 5 > 0 then 1280 else 640 end as width,
+ case when packet_id % 2 = 0 and width is not null and height is not null then height when packet_id % 3 = 0 and packet_id % 5 > 0 then (packet_id % 5 * 144)::int else 480 end as height from packets""",
+    "crop_boxes": "select packet_id, 0 as x, 0 as y, case when topic like '%xr_video%' then width // 2 else width end as width, height, 224 as side from packets",
+    "camera_topics": """select topic, case topic when '/left/color/image_raw/ffmpeg' then 'left_color' when '/right/color/image_raw/ffmpeg' then 'right_color' when '/xr_video_topic/ffmpeg' then 'head_camera' end as camera, count(*) as n
+from packets group by 1, 2""",
+    "camera_defaults": _M + """
+, f as (select bag, topic, arg_min(k, seq) as k from m where topic in ('view', 'click') and k > 50 group by 1, 2), b as (select distinct bag from m)
+select b.bag, c.camera, f.bag is not null as found, case when f.bag is not null then 1 else 9 end as n_k, coalesce(f.k, 0)::int as width, coalesce(f.k, 0)::int as height, coalesce(f.topic, '') as distortion_model
+from b cross join (select unnest(['view', 'click', 'none']) as camera) c left join f on f.bag = b.bag and f.topic = c.camera""",
     "pts_monotone": _M + """
 , r as (select bag, seq, floor(value)::bigint as raw, row_number() over (partition by bag order by seq) as n from m where value is not null)
 select bag, seq, raw, n + max(raw - n) over (partition by bag order by seq rows unbounded preceding) as pts from r""",
