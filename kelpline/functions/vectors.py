@@ -77,10 +77,11 @@ def vector_stats(vectors, column: str, *keys: str):
 def stats_json(frames, columns: list[str], key: str):
     """``key, stats``: JSON of feature -> min, max, mean, std (a list of slots) and count, of the vector or number ``columns`` of each ``key``."""
     kinds = dict(frames.dtypes)
+    part = lambda n: F.transform("s", lambda x: x[n])
     out = None
     for c in columns:
         s = vector_stats(frames.withColumn(c, F.col(c) if kinds[c].startswith("array") else F.array(c)), c, key)
         slots = F.array_sort(F.collect_list(F.struct("slot", "min", "max", "mean", "std", "count")))  # one entry a slot
-        each = s.groupBy(key).agg(slots.alias("s")).select(key, F.lit(c).alias("feature"), F.struct(*[F.transform("s", lambda x, n=n: x[n]).alias(n) for n in ("min", "max", "mean", "std")], F.array(F.array_max(F.transform("s", lambda x: x["count"]))).alias("count")).alias("stat"))
+        each = s.groupBy(key).agg(slots.alias("s")).select(key, F.lit(c).alias("feature"), F.struct(*[part(n).alias(n) for n in ("min", "max", "mean", "std")], F.array(F.array_max(part("count"))).alias("count")).alias("stat"))
         out = each if out is None else out.unionByName(each)
     return out.groupBy(key).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "stat"))))).alias("stats"))

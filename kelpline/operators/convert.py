@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kelpline.functions import vectors
-from kelpline.operators import order, sample, segment, steps
+from kelpline.operators import order, sample, segment, steps, video
+from kelpline.runtime import materialize
 from kelpline.sources.bags import decode
 
 #: Topics by what they carry.
@@ -98,18 +99,64 @@ def number_episodes(frames_: DataFrame, start: int = 0) -> DataFrame:
     return order.number_rows(e, "bag", "x_seq", index="episode_index", start=start)
 
 
-def rlds(frames_: DataFrame, found: DataFrame, fps: int, task: str) -> DataFrame:
-    """One row per episode: nested ``steps`` and ``episode_metadata``."""
-    s = steps.steps(frames_, float(fps), F.lit(task), ("bag", "x_seq"))
-    obs = F.struct("state", "chassis_state")
+def _camera_packets(messages: DataFrame) -> DataFrame:
+    """``bag, seq, ts_ns, topic, payload, keyframe`` of the cameras' packets; broken ones are left out."""
+    p = decode(messages.filter(F.col("topic").isin(*CAMERAS.values())), "FFMPEGPacket").filter("payload is not null")
+    return p.select("bag", "seq", "ts_ns", "topic", "payload", video.is_keyframe(F.col("payload.data")).alias("keyframe"))
+
+
+def episode_pictures(messages: DataFrame, found: DataFrame) -> DataFrame:
+    """``bag, x_seq, camera, seq, ts_ns, pts, width, height, encoding, keyframe, data``: the packets that each episode's pictures
+    need, from the last keyframe ahead of it on, with their time stamps made increasing."""
+    p = materialize(_camera_packets(messages), "packets")
+    need = video.episode_packets(p.select("bag", "topic", "seq", "keyframe"), found)
+    each = p.join(need, ["bag", "topic", "seq"]).withColumn("raw_pts", F.col("payload.pts"))
+    each = video.repair_pts(each, "raw_pts", ("bag", "x_seq", "topic"))
+    return each.select("bag", "x_seq", camera_key(F.col("topic")).alias("camera"), "seq", "ts_ns", "pts", "payload.width", "payload.height", "payload.encoding", "keyframe", "payload.data")
+
+
+def pictures(messages: DataFrame, found: DataFrame, frames_: DataFrame, fps: int) -> DataFrame:
+    """``bag, x_seq, frame_index`` and, per camera, the packet that the frame shows: the latest of its episode at the tick's time, null if none yet.
+
+    Packets are passed on as they are; pictures are not decoded.
+    """
+    marks = found.select("bag", "x_seq", F.col("t_start").alias("began"))
+    ticks = frames_.select("bag", "x_seq", "frame_index", "tick").join(marks, ["bag", "x_seq"])
+    at = F.col("began") + F.floor((F.col("tick") + 1) * 1_000_000_000 / F.lit(fps))
+    ticks = ticks.withColumn("ts_ns", at.cast("long")).withColumn("topic", F.explode(F.array(*map(F.lit, CAMERAS.values())))).select("bag", "x_seq", "topic", "frame_index", "ts_ns")
+    p = materialize(_camera_packets(messages), "packets")
+    inside = segment.in_episodes(p.select("bag", "seq", "ts_ns", "topic"), found)
+    shown = video.shown_packets(ticks, inside.select("bag", "x_seq", "topic", "seq", "ts_ns"), ["bag", "x_seq", "topic"], "ts_ns", ("seq",))
+    data = shown.join(p.select("bag", "topic", F.col("seq").alias("asof_seq"), F.col("payload.data").alias("data")), ["bag", "topic", "asof_seq"], "left")
+    return data.groupBy("bag", "x_seq", "frame_index").agg(*[F.first(F.when(F.col("topic") == t, F.col("data")), ignorenulls=True).alias(k) for k, t in CAMERAS.items()])
+
+
+def rlds(frames_: DataFrame, found: DataFrame, fps: int, task: str, cameras: DataFrame | None = None, pictures_: DataFrame | None = None) -> DataFrame:
+    """One row per episode: nested ``steps`` and ``episode_metadata``.
+
+    With ``pictures_`` (see :func:`pictures`) a step's observation has the packet each camera shows; with ``cameras`` (see
+    :func:`calibrations`) the metadata have every camera's calibration. Names of slots, cameras and topics are in the metadata.
+    """
+    f = frames_ if pictures_ is None else frames_.join(pictures_, ["bag", "x_seq", "frame_index"], "left")
+    s = steps.steps(f, float(fps), F.lit(task), ("bag", "x_seq"))
+    obs = F.struct("state", "chassis_state", *(CAMERAS if pictures_ is not None else []))
     s = s.withColumns({"observation": obs, "timestamp": F.col("step_time")})
     cols = ["observation", "action", "chassis_action", "timestamp", "discount", "reward", "is_first", "is_last", "is_terminal", "language_instruction"]
     n = steps.nested(s, cols, ("bag", "x_seq"))
     e = number_episodes(frames_)
     clock = F.date_format(F.timestamp_micros(F.expr("t_start div 1000")), "yyyy-MM-dd HH:mm:ss")
     j = n.join(e, ["bag", "x_seq"]).join(found.select("bag", "x_seq", "t_start"), ["bag", "x_seq"])
-    meta = F.struct(F.col("episode_index").alias("episode_idx"), F.col("n_steps").cast("int").alias("n_steps"), F.lit(fps).alias("fps"), F.lit(task).alias("task"), F.col("bag").alias("source_bag"), clock.alias("recording_time"))
-    return j.select("steps", meta.alias("episode_metadata"))
+    texts = lambda v: F.array(*map(F.lit, v))
+    meta = [
+        F.col("episode_index").alias("episode_idx"), F.col("n_steps").cast("int").alias("n_steps"), F.lit(fps).alias("fps"), F.lit(task).alias("task"), F.col("bag").alias("source_bag"), clock.alias("recording_time"),
+        texts(vectors.names(vectors.LAYOUT)).alias("feature_names_state_action"), texts(vectors.names(vectors.CHASSIS)).alias("feature_names_chassis"), texts(CAMERAS).alias("camera_keys"), texts(CAMERAS.values()).alias("camera_topics"),
+    ]
+    if cameras is not None:
+        each = cameras.groupBy("bag").agg(*[F.first(F.when(F.col("camera") == k, F.struct("found", "K", "D", "P", "width", "height", "distortion_model")), ignorenulls=True).alias(f"cal_{k}") for k in CAMERAS])
+        j = j.join(each, "bag", "left")
+        head = F.col("cal_head_camera")
+        meta += [head["height"].alias("image_height"), head["width"].alias("image_width"), F.struct(*[F.col(f"cal_{k}").alias(k) for k in CAMERAS]).alias("cameras")]
+    return j.select("steps", F.struct(*meta).alias("episode_metadata"))
 
 
 def camera_key(topic: Column) -> Column:

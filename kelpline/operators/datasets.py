@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from kelpline.operators.order import number_rows
-from kelpline.runtime import small
+from kelpline.runtime import materialize, small
 
 
 @dataclass(frozen=True)
@@ -87,8 +87,8 @@ def missing_episodes(episodes: DataFrame, wanted: DataFrame) -> DataFrame:
     return wanted.select("episode_index").distinct().join(episodes.select("episode_index"), "episode_index", "left_anti")
 
 
-def _take(d: Dataset, kept: DataFrame, frame_episode: str) -> Dataset:
-    e = renumber(kept, "episode_index")
+def _follow(d: Dataset, e: DataFrame, frame_episode: str) -> Dataset:
+    """The tables that go with renumbered episodes ``e``."""
     frames = None if d.frames is None else rewrite_frames(d.frames, e, {frame_episode: "old_index"}, d.order, frame_episode)
     to = e.select(F.col("old_index").alias("m_old"), F.col("episode_index").alias("m_new"))
     stats = None if d.stats is None else d.stats.join(small(to), F.col("episode_index") == F.col("m_old")).withColumn("episode_index", F.col("m_new")).drop("m_old", "m_new")
@@ -101,16 +101,19 @@ def delete(d: Dataset, ids: DataFrame, frame_episode: str = "episode_index", che
         lost = [r[0] for r in missing_episodes(d.episodes, ids).orderBy("episode_index").limit(20).collect()]
         if lost:
             raise ValueError(f"no such episodes: {lost}")
-    return _take(d, d.episodes.join(small(ids.select("episode_index").distinct()), "episode_index", "left_anti"), frame_episode)
+    kept = d.episodes.join(small(ids.select("episode_index").distinct()), "episode_index", "left_anti")
+    return _follow(d, renumber(kept, "episode_index"), frame_episode)
 
 
 def split(d: Dataset, n_train: int, frame_episode: str = "episode_index") -> tuple[Dataset, Dataset]:
     """The first ``n_train`` episodes by number and the rest, each renumbered from 0 with all tasks; the rest is empty if there are no more."""
     if n_train <= 0:
         raise ValueError("the training split must have at least one episode")
-    ranked = number_rows(d.episodes, "episode_index", index="rank")
-    part = lambda c: _take(d, ranked.filter(c).drop("rank"), frame_episode)
-    return part(F.col("rank") < n_train), part(F.col("rank") >= n_train)
+    e = materialize(renumber(d.episodes, "episode_index"), "split")
+    rest = e.filter(F.col("episode_index") >= n_train)
+    ahead = rest.agg(F.coalesce(F.min("start_frame"), F.lit(0)).alias("n")).first()["n"]
+    rest = rest.withColumns({"episode_index": F.col("episode_index") - n_train, "start_frame": F.col("start_frame") - ahead})
+    return _follow(d, e.filter(F.col("episode_index") < n_train), frame_episode), _follow(d, rest, frame_episode)
 
 
 def unify(d: Dataset, task: str) -> Dataset:

@@ -34,12 +34,13 @@ def _tasks(spark: SparkSession, d: str) -> DataFrame:
     return _episodes(spark, d).select("dataset", F.col("episode_index").alias("task_index"), F.explode("tasks").alias("task"))
 
 
-def _merged(spark: SparkSession, d: str) -> datasets.Dataset:
+def _merged(spark: SparkSession, d: str, *parts: str) -> datasets.Dataset:
+    """The merged datasets, with only those of their tables that ``parts`` names besides the episodes."""
     e = _episodes(spark, d)
     source = small(e.select(F.col("episode_index").alias("e"), "dataset"))
-    f = _frames(spark, d).join(source, F.col("episode_idx") == F.col("e")).drop("e").withColumn("task_index", F.col("episode_idx"))
-    s = _stats(spark, d).join(source, F.col("episode_index") == F.col("e")).drop("e")
-    return datasets.merge(datasets.Dataset(e, f, _tasks(spark, d), s), "dataset", "episode_index", frame_episode="episode_idx")
+    f = _frames(spark, d).join(source, F.col("episode_idx") == F.col("e")).drop("e").withColumn("task_index", F.col("episode_idx")) if "frames" in parts else None
+    s = _stats(spark, d).join(source, F.col("episode_index") == F.col("e")).drop("e") if "stats" in parts else None
+    return datasets.merge(datasets.Dataset(e, f, _tasks(spark, d) if "tasks" in parts else None, s), "dataset", "episode_index", frame_episode="episode_idx")
 
 
 def merge_episodes(spark, d):
@@ -47,19 +48,19 @@ def merge_episodes(spark, d):
 
 
 def merge_frames(spark, d):
-    return _merged(spark, d).frames.select("episode_idx", "frame_index", "index", "task_index", "file_id")
+    return _merged(spark, d, "frames", "tasks").frames.select("episode_idx", "frame_index", "index", "task_index", "file_id")
 
 
 def merge_tasks(spark, d):
-    return _merged(spark, d).tasks
+    return datasets.task_dictionary(_tasks(spark, d), "dataset", "task_index")
 
 
 def merge_stats(spark, d):
-    return _merged(spark, d).stats.select("dataset", "episode_index", "written_at")
+    return _merged(spark, d, "stats").stats.select("dataset", "episode_index", "written_at")
 
 
-def _whole(spark, d):
-    return datasets.Dataset(_episodes(spark, d), _frames(spark, d), read(spark, d, "tasks"), _stats(spark, d))
+def _whole(spark, d, *parts: str):
+    return datasets.Dataset(_episodes(spark, d), _frames(spark, d) if "frames" in parts else None, None, _stats(spark, d) if "stats" in parts else None)
 
 
 def _gone(spark, d):
@@ -71,11 +72,11 @@ def delete_episodes(spark, d):
 
 
 def delete_frames(spark, d):
-    return datasets.delete(_whole(spark, d), _gone(spark, d), "episode_idx").frames.drop("task_index")
+    return datasets.delete(_whole(spark, d, "frames"), _gone(spark, d), "episode_idx").frames.drop("task_index")
 
 
 def delete_stats(spark, d):
-    return datasets.delete(_whole(spark, d), _gone(spark, d), "episode_idx").stats.select("episode_index", "written_at")
+    return datasets.delete(_whole(spark, d, "stats"), _gone(spark, d), "episode_idx").stats.select("episode_index", "written_at")
 
 
 def delete_missing(spark, d):
@@ -88,11 +89,11 @@ def split_train(spark, d):
 
 
 def split_test(spark, d):
-    return datasets.split(_whole(spark, d), N_TRAIN, "episode_idx")[1].frames.select("episode_idx", "frame_index", "index", "file_id")
+    return datasets.split(_whole(spark, d, "frames"), N_TRAIN, "episode_idx")[1].frames.select("episode_idx", "frame_index", "index", "file_id")
 
 
 def unify_frames(spark, d):
-    return datasets.unify(_whole(spark, d), TASK).frames.groupBy("episode_idx").agg(F.count("*").alias("n"), F.min("task_index").alias("task_index"))
+    return datasets.unify(_whole(spark, d, "frames"), TASK).frames.groupBy("episode_idx").agg(F.count("*").alias("n"), F.min("task_index").alias("task_index"))
 
 
 def unify_stats(spark, d):

@@ -3,15 +3,52 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
+import re
+import uuid
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kelpline.operators import locate
+
+
+def _at(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a local path or of a URI that pyarrow knows; used on the driver and on executors alike."""
+    return fs.FileSystem.from_uri(path)
+
+
+def exists(path: str) -> bool:
+    system, p = _at(path)
+    return system.get_file_info(p).type != fs.FileType.NotFound
+
+
+def files_below(root: str) -> list[str]:
+    """Paths of all files below a folder, from it on, sorted; none if it does not exist."""
+    system, p = _at(root)
+    found = system.get_file_info(fs.FileSelector(p, recursive=True, allow_not_found=True))
+    return sorted(f.path[len(p.rstrip("/")) + 1 :] for f in found if f.type == fs.FileType.File)
+
+
+def _put(path: str, write) -> None:
+    """Let ``write`` fill a file beside ``path`` and move it there, so that a file is whole or not there."""
+    system, p = _at(path)
+    system.create_dir(p.rsplit("/", 1)[0], recursive=True)
+    tmp = f"{p}.{uuid.uuid4().hex[:8]}.tmp"
+    with system.open_output_stream(tmp) as out:
+        write(out)
+    system.move(tmp, p)
+
+
+def read_text(path: str) -> str:
+    system, p = _at(path)
+    with system.open_input_stream(p) as f:
+        return f.read().decode("utf-8")
+
+
 EPISODES = "episode_index long, tasks array<string>, length long"
 TASKS = "task_index long, task string"
 
@@ -22,7 +59,7 @@ def read_lines(spark: SparkSession, path: str, schema: str, strict: bool = True)
     ``strict`` fails on a broken line; else broken lines are dropped, and the file may also be a JSON array or objects
     joined by commas.
     """
-    if not os.path.exists(path):
+    if not exists(path):
         return spark.createDataFrame([], schema)
     if strict:
         return _strict(spark, path, schema)
@@ -43,25 +80,26 @@ def write_lines(df: DataFrame, path: str, order: str, ascii_only: bool = False)
 
     With ``ascii_only`` other characters are escaped. The file is written beside its place and then moved there.
     """
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    names = df.columns
-    rows = df.orderBy(order).select(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("j"))
-    with open(f"{path}.tmp", "w", encoding="utf-8") as f:
+    rows = df.orderBy(order).select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("j"))
+    write_texts(rows.select(F.col("j")), path, (lambda j: json.dumps(json.loads(j))) if ascii_only else None)
+
+
+def write_texts(rows: DataFrame, path: str, change=None) -> None:
+    """One line per row of a single text column, in the rows' order."""
+
+    def write(out) -> None:
         for r in rows.toLocalIterator():
-            f.write((json.dumps(json.loads(r["j"])) if ascii_only else r["j"]) + "\n")
-    os.replace(f"{path}.tmp", path)
+            out.write(((change(r[0]) if change else r[0]) + "\n").encode("utf-8"))
+
+    _put(path, write)
 
 
 def read_info(root: str) -> dict:
-    with open(f"{root}/meta/info.json", encoding="utf-8") as f:
-        return json.load(f)
+    return json.loads(read_text(f"{root}/meta/info.json"))
 
 
 def write_info(root: str, info: dict, ascii_only: bool = False) -> None:
-    os.makedirs(f"{root}/meta", exist_ok=True)
-    with open(f"{root}/meta/info.json.tmp", "w", encoding="utf-8") as f:
-        json.dump(info, f, indent=4, ensure_ascii=ascii_only)
-    os.replace(f"{root}/meta/info.json.tmp", f"{root}/meta/info.json")
+    _put(f"{root}/meta/info.json", lambda out: out.write(json.dumps(info, indent=4, ensure_ascii=ascii_only).encode("utf-8")))
 
 
 def video_keys(info: dict) -> list[str]:
@@ -91,12 +129,9 @@ def write_frames(frames: DataFrame, root: str, info: dict, order: str = "frame_i
     def write(key, table):  # without type hints, which Spark would read
         index = key[0].as_py()
         path = f"{root}/{episode_path(info, index)}"
-        if os.path.exists(path) and not overwrite:
+        if exists(path) and not overwrite:
             raise FileExistsError(path)
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        tmp = f"{path}.{os.getpid()}.tmp"
-        pq.write_table(table.sort_by(order), tmp)
-        os.replace(tmp, path)
+        _put(path, lambda out: pq.write_table(table.sort_by(order), out))
         return pa.table({"episode": pa.array([index], pa.int64()), "path": [path], "n_rows": pa.array([table.num_rows], pa.int64())})
 
     return frames.select(*keep).groupBy(episode).applyInArrow(write, "episode long, path string, n_rows long")
@@ -109,29 +144,49 @@ def write_shards(rows: DataFrame, path: str, key: str, per_shard: int, salt: str
 
 
 def copy_plan(mapping: DataFrame, info: dict, source: str, target: str) -> DataFrame:
-    """``src, dst`` of the videos of episodes that move from ``old_index`` to ``episode_index``."""
+    """``src, dst`` of the videos of episodes that move from ``old_index`` to ``episode_index``.
+
+    Videos are looked up among the source's files by template and by the usual other places; missing ones have no row.
+    """
     from kelpline.functions.paths import fill_template
 
+    spark = mapping.sparkSession
     if not info.get("video_path") or not video_keys(info):
-        return mapping.select(F.lit("").alias("src"), F.lit("").alias("dst")).filter("false")
-    size, template = info["chunks_size"], F.lit(info["video_path"])
-    spell = lambda c, k: fill_template(template, F.expr(f"{c} div {size}"), F.col(c), k)
-    e = mapping.select("old_index", "episode_index", F.explode(F.array(*map(F.lit, video_keys(info)))).alias("key"))
-    return e.select(F.concat(F.lit(f"{source}/"), spell("old_index", F.col("key"))).alias("src"), F.concat(F.lit(f"{target}/"), spell("episode_index", F.col("key"))).alias("dst"))
+        return spark.createDataFrame([], "src string, dst string")
+    size = info["chunks_size"]
+    stored = spark.createDataFrame([("", p) for p in files_below(source)], "dataset string, path string")
+    keys = spark.createDataFrame([("", info["video_path"], k, size) for k in video_keys(info)], "dataset string, video_path string, video_key string, chunks_size long")
+    found = locate.video_files(mapping.select(F.lit("").alias("dataset"), F.col("old_index").alias("episode_index")), keys, stored).filter("path is not null")
+    found = found.select(F.col("episode_index").alias("old_index"), "video_key", "path").join(mapping.select("old_index", "episode_index"), "old_index")
+    dst = fill_template(F.lit(info["video_path"]), F.expr(f"episode_index div {size}"), F.col("episode_index"), F.col("video_key"))
+    return found.select(F.concat(F.lit(f"{source}/"), "path").alias("src"), F.concat(F.lit(f"{target}/"), dst).alias("dst"))
+
 
+def tree_plan(spark: SparkSession, source: str, target: str, exclude: str = "") -> DataFrame:
+    """``src, dst`` of every file below ``source`` whose path from there does not match ``exclude`` from its start."""
+    kept = [p for p in files_below(source) if not exclude or not re.match(exclude, p)]
+    return spark.createDataFrame([(f"{source}/{p}", f"{target}/{p}") for p in kept], "src string, dst string")
 
-def run_copies(plan: DataFrame) -> DataFrame:
-    """Copy the files of a plan where they are; returns ``src, dst, copied`` (false where the source is missing)."""
+
+def run_copies(plan: DataFrame, move: bool = False) -> DataFrame:
+    """Copy (or ``move``) the files of a plan, in parallel; returns ``src, dst, copied`` (false where the source is missing)."""
 
     def copy(parts):
         for p in parts:
             done = []
             for s, t in zip(p["src"], p["dst"]):
-                ok = os.path.exists(s)
-                if ok:
-                    os.makedirs(os.path.dirname(t), exist_ok=True)
-                    shutil.copyfile(s, f"{t}.tmp")
-                    os.replace(f"{t}.tmp", t)
+                ok = exists(s)
+                if ok and s != t:
+                    system, at = _at(s)
+                    with system.open_input_stream(at) as f:
+
+                        def write(out, f=f):
+                            while chunk := f.read(1 << 22):
+                                out.write(chunk)
+
+                        _put(t, write)
+                    if move:
+                        system.delete_file(at)
                 done.append(ok)
             yield pd.DataFrame({"src": p["src"], "dst": p["dst"], "copied": done})
 
@@ -140,9 +195,7 @@ def run_copies(plan: DataFrame) -> DataFrame:
 
 def next_index(root: str) -> int:
     """One more than the highest number of an episode file below ``root``; 0 if there is none."""
-    import re
-
-    found = [int(m[1]) for _, _, files in os.walk(root) for x in files if (m := re.match(r"episode_(\d+)\.", x))]
+    found = [int(m[1]) for p in files_below(root) if (m := re.match(r"episode_(\d+)\.", p.rsplit("/", 1)[-1]))]
     return max(found, default=-1) + 1
 
 
@@ -154,10 +207,8 @@ def check_start(root: str, start: int, overwrite: bool = False) -> None:
 
 def clear_unfinished(root: str) -> int:
     """Delete temporary files of runs that broke off; returns how many."""
-    n = 0
-    for here, _, files in os.walk(root):
-        for x in files:
-            if x.endswith((".tmp", ".tmp.hdf5")):
-                os.unlink(os.path.join(here, x))
-                n += 1
-    return n
+    system, top = _at(root)
+    left = [p for p in files_below(root) if p.endswith((".tmp", ".tmp.hdf5"))]
+    for p in left:
+        system.delete_file(f"{top.rstrip('/')}/{p}")
+    return len(left)

@@ -215,6 +215,12 @@ def test_conversion_matches_sequential_rules(spark, root):
     assert len(wide["state"]) == 72 and wide["state"][62:71] == [1, 2, 3, 4, 5, 6, 7, 8, 9]
     n = convert.rlds(f, convert.episodes(m), 45, "t").orderBy("episode_metadata.source_bag").first()
     assert n["episode_metadata"]["recording_time"] == "2023-11-14 22:13:20" and n["episode_metadata"]["n_steps"] == len(want)
+    meta = n["episode_metadata"]
+    assert len(meta["feature_names_state_action"]) == 62 and meta["camera_keys"] == list(convert.CAMERAS)
+    found = convert.episodes(m)
+    full = convert.rlds(f, found, 45, "t", convert.calibrations(m), convert.pictures(m, found, f, 45)).orderBy("episode_metadata.source_bag").first()
+    assert full["episode_metadata"]["cameras"]["left_color"]["found"] in (True, False) and "head_camera" in full["steps"][0]["observation"]
+    assert any(x["observation"]["left_color"] for x in full["steps"])
     assert n["steps"][0]["is_first"] and n["steps"][-1]["reward"] == 1.0 and not n["steps"][-2]["is_last"]
 
 
@@ -223,6 +229,8 @@ def test_validation(spark, root):
     got = {r["bag"]: (r["n_pairs"], r["n_valid"], r["duration_s"], len(r["topics"])) for r in per.collect()}
     assert got["bag1"][:3] == (1, 1, 5.0) and got["inner"][:2] == (1, 0)
     assert total.first()["n_pairs"] == 3 and total.first()["n_valid"] == 2
+    text = cli.report(per, total)
+    assert text[0].startswith("bag1: ") and "1 pairs, 1 valid" in text[0] and text[-2].startswith("all: 3 pairs, 2 valid")
 
 
 @pytest.fixture(scope="module")
@@ -245,6 +253,16 @@ def test_dataset_folder(spark, dataset):
     with pytest.raises(FileExistsError):
         folders.check_start(str(dataset), 0)
     assert folders.next_index(str(dataset)) == len(e)
+    info = json.loads((dataset / "meta/info.json").read_text())
+    assert info["features"]["state"]["shape"] == [72] and info["features"]["state"]["names"][62] == "chassis_0" and info["features"]["timestamp"]["shape"] == [1]
+    stats = [json.loads(x) for x in (dataset / "meta/episodes_stats.jsonl").read_text().splitlines()]
+    assert [x["episode_index"] for x in stats] == list(range(len(e)))
+    first = f.filter("episode_index = 0").select(F.min(F.col("state")[0]).cast("double"), F.count("*")).first()
+    assert stats[0]["stats"]["state"]["min"][0] == pytest.approx(first[0]) and stats[0]["stats"]["state"]["count"] == [first[1]] == [e[0]["length"]]
+    cameras = [json.loads(x) for x in (dataset / "meta/cameras.jsonl").read_text().splitlines()]
+    assert len(cameras) == 3 * len(e)
+    packets = spark.read.parquet(str(dataset / "packets"))
+    assert packets.filter("episode_index is null or data is null").count() == 0 and packets.count() > 0
 
 
 def test_delete_split_unify_merge(spark, dataset, tmp_path):
@@ -258,7 +276,20 @@ def test_delete_split_unify_merge(spark, dataset, tmp_path):
     m = cli.merge_folders(spark, [f"{dataset}_train", f"{dataset}_test", str(tmp_path)], str(tmp_path / "all"))
     assert m["total_episodes"] == len(n) and m["total_frames"] == sum(x["length"] for x in n) and m["total_tasks"] == 1
     assert sorted(x["length"] for x in counts(tmp_path / "all")) == sorted(x["length"] for x in n)
+    (dataset / "videos/chunk-000/cam").mkdir(parents=True)
+    (dataset / "videos/chunk-000/cam/episode_000001.mp4").write_bytes(b"film")
+    (dataset / "notes.txt").write_text("kept")
+    info = json.loads((dataset / "meta/info.json").read_text())
+    info["features"]["cam"] = {"dtype": "video", "shape": [1], "names": None}
+    (dataset / "meta/info.json").write_text(json.dumps(info | {"video_path": "films/{video_key}/{episode_index:06d}.mp4", "total_videos": 7}))
+    cli.delete_episodes(spark, str(dataset), str(tmp_path / "del2"), [0])
+    assert (tmp_path / "del2/films/cam/000000.mp4").read_bytes() == b"film"  # found below videos, stored by the template
+    w = cli.merge_folders(spark, [str(dataset), str(tmp_path / "del2")], str(tmp_path / "two"))
+    assert w["total_videos"] == 7 + len(n) - 1 and len(list((tmp_path / "two/films/cam").iterdir())) == 2
     u = cli.unify_tasks(spark, str(dataset), str(tmp_path / "uni"), "pick")
+    assert (tmp_path / "uni/videos/chunk-000/cam/episode_000001.mp4").read_bytes() == b"film" and (tmp_path / "uni/notes.txt").read_text() == "kept"
+    plan = folders.tree_plan(spark, str(tmp_path / "uni/videos"), str(tmp_path / "moved"))
+    assert folders.run_copies(plan, move=True).filter("copied").count() == 1 and folders.files_below(str(tmp_path / "uni/videos")) == []
     assert u["total_tasks"] == 1 and counts(tmp_path / "uni")[0]["tasks"] == ["pick"]
 
 
