@@ -1,7 +1,7 @@
 """Many tiny files packed into few containers of a target size, byte for byte, with an index, and read back in parallel.
 
-A store is a folder: ``containers/container=N/`` holds one file per container, and ``index/``, written last, one row per
-member: path, container, block, offset, length, CRC-32, rows and the key ranges of its records. A container is a run of
+A store is a folder: ``containers/`` holds one file per container, and ``index/``, written last, one row per member: path,
+file, container, block, offset, length, CRC-32, rows and the key ranges of its records. A container is a run of
 blocks, each with a payload, the concatenation of its members' original bytes, and the members' list, so a container can
 be read without the index. Both are written by Spark's committer, which moves files into place; lists are read
 without the payload, and a lookup by path reads only the containers and blocks it needs.
@@ -174,13 +174,27 @@ def _packer(members: Callable, block_bytes: int):
 
 
 def _write(rows: DataFrame, n: int, order: list[str], members: Callable, block_bytes: int, path: str) -> DataFrame:
-    """Write the containers of ``rows`` (with ``pack_container``): all rows of one meet in one task, so each is one file."""
+    """Write the containers of ``rows`` (with ``pack_container``): all rows of one meet in one task, so each is one file.
+
+    Up to ``TASKS`` containers, a task is a container and its output file needs no further sorting.
+    """
     tasks = max(1, min(n, TASKS))
     spread = rows.repartitionById(tasks, F.col("pack_container")).sortWithinPartitions("pack_container", *order)
     blocks = spread.mapInArrow(_packer(members, block_bytes), BLOCKS)
-    # row groups of a few blocks, so that a container is read by several tasks and written with little memory
-    blocks.write.partitionBy("container").option("compression", "zstd").option("parquet.block.size", str(4 * block_bytes)).parquet(f"{path}/containers")
-    return rows.sparkSession.read.schema(BLOCKS).parquet(f"{path}/containers")
+    # row groups of a few blocks, checked at every block, so that a container is written with little memory and read by several tasks
+    sizes = {"parquet.block.size": 4 * block_bytes, "parquet.page.size": block_bytes, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 1, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
+    w = blocks.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").options(**{k: str(v) for k, v in sizes.items()})
+    (w if n <= TASKS else w.partitionBy("container")).parquet(f"{path}/containers")
+    return _blocks(rows.sparkSession, path)
+
+
+def _blocks(spark: SparkSession, path: str, files: list[str] | None = None) -> DataFrame:
+    """The blocks of a store, of ``files`` only if given, with the ``file`` they lie in, from the containers' folder on."""
+    top = f"{path}/containers"
+    if files == [] or not _exists(spark, top):
+        return spark.createDataFrame([], BLOCKS).withColumn("file", F.lit(None).cast("string"))
+    b = spark.read.schema(BLOCKS).option("basePath", top).parquet(*([top] if files is None else [f"{top}/{f}" for f in files]))
+    return b.withColumn("file", F.regexp_extract(F.col("_metadata.file_path"), r"/containers/((?:container=\d+/)?[^/]+)$", 1))
 
 
 def _place(frames: DataFrame, plan: DataFrame) -> DataFrame:
@@ -221,7 +235,7 @@ def pack_rows(frames: DataFrame, files: DataFrame, info: DataFrame, path: str |
     plan, n = container_plan(counted, files, info, seen.nbytes / max(seen.num_rows, 1), target_bytes)
     blocks = _write(_place(frames, plan), n, ["file_id", "episode_idx", "frame_index"], _row_members(frames.columns, MEMBER_ROWS), block_bytes, path)
     names = plan.filter("file_id is not null").select("file_id", "dataset", "chunk", "path")
-    index = blocks.select("container", "block", F.explode("members").alias("m")).select("container", "block", "m.file_id", "m.offset", "m.length", "m.crc32", "m.n_rows", "m.records").join(names, "file_id", "left")
+    index = blocks.select("file", "container", "block", F.explode("members").alias("m")).select("file", "container", "block", "m.file_id", "m.offset", "m.length", "m.crc32", "m.n_rows", "m.records").join(names, "file_id", "left")
     return _commit(index.fillna("", ["dataset"]), path)
 
 
@@ -245,11 +259,11 @@ def pack_files(spark: SparkSession, root: str, path: str | None = None, pattern:
     plan = runtime.materialize(plan.select("path", "dataset", F.col("first").alias("pack_container")), "plan")
     rows = found.select(name.alias("path"), "content").join(runtime.small(plan.select("path", "pack_container")), "path")
     blocks = _write(rows, n, ["path"], _file_members, block_bytes, path)
-    index = blocks.select("container", "block", F.explode("members").alias("m")).select("container", "block", "m.*").join(plan.select("path", "dataset"), "path")
+    index = blocks.select("file", "container", "block", F.explode("members").alias("m")).select("file", "container", "block", "m.*").join(plan.select("path", "dataset"), "path")
     return _commit(index.withColumn("chunk", F.lit(None).cast("long")), path)
 
 
-INDEX = ["container", "block", "file_id", "dataset", "chunk", "path", "offset", "length", "crc32", "n_rows", "records"]
+INDEX = ["file", "container", "block", "file_id", "dataset", "chunk", "path", "offset", "length", "crc32", "n_rows", "records"]
 
 
 def _commit(index: DataFrame, path: str) -> Store:
@@ -260,8 +274,8 @@ def _commit(index: DataFrame, path: str) -> Store:
 def open_store(spark: SparkSession, path: str) -> Store:
     """A store written before; one without an index was not finished and is an error."""
     path = path.rstrip("/")
-    kinds = [T.StructField(c, {"container": T.IntegerType(), "dataset": T.StringType(), "path": T.StringType(), "records": RANGE}.get(c, T.LongType())) for c in INDEX]
-    return Store(path, spark.read.schema(T.StructType(kinds)).parquet(f"{path}/index"), spark.read.schema(BLOCKS).parquet(f"{path}/containers") if _exists(spark, f"{path}/containers") else spark.createDataFrame([], BLOCKS))
+    kinds = [T.StructField(c, {"file": T.StringType(), "container": T.IntegerType(), "dataset": T.StringType(), "path": T.StringType(), "records": RANGE}.get(c, T.LongType())) for c in INDEX]
+    return Store(path, spark.read.schema(T.StructType(kinds)).parquet(f"{path}/index"), _blocks(spark, path))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -273,19 +287,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def container_files(store: Store) -> DataFrame:
     """``container, files, n_members, n_bytes, stored_bytes``: the physical files of each container and what they hold."""
     spark = store.blocks.sparkSession
-    on_disk = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{store.path}/containers").select(F.regexp_extract("path", r"container=(\d+)/", 1).cast("int").alias("container"), F.col("length").alias("stored"))
-    held = store.index.groupBy("container").agg(F.count(F.lit(1)).alias("n_members"), F.sum("length").alias("n_bytes"))
-    return on_disk.groupBy("container").agg(F.count(F.lit(1)).alias("files"), F.sum("stored").alias("stored_bytes")).join(held, "container", "full")
+    held = store.index.groupBy("container").agg(F.countDistinct("file").alias("files"), F.count(F.lit(1)).alias("n_members"), F.sum("length").alias("n_bytes"))
+    if not _exists(spark, f"{store.path}/containers"):
+        return held.withColumn("stored_bytes", F.lit(0).cast("long"))
+    disk = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{store.path}/containers")
+    disk = disk.select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("stored"))
+    names = store.index.select("container", F.substring_index("file", "/", -1).alias("name")).distinct()
+    return held.join(names.join(disk, "name").groupBy("container").agg(F.sum("stored").alias("stored_bytes")), "container", "left")
 
 
 def _wanted(store: Store, paths: list[str] | None) -> DataFrame:
     """The blocks of a store, or those that hold a member of ``paths``, with ``keep``, the offsets wanted (null: all)."""
     if paths is None:
         return store.blocks.withColumn("keep", F.lit(None).cast("array<long>"))
-    hits = store.index.filter(F.col("path").isin([p for p in paths])).select("container", "block", "offset")
-    containers = [r["container"] for r in hits.select("container").distinct().collect()]  # as many as paths, at most
+    hits = store.index.filter(F.col("path").isin([p for p in paths])).select("file", "container", "block", "offset")
+    files = [r["file"] for r in hits.select("file").distinct().collect()]  # only these are opened; as many as paths and their members
     keep = hits.groupBy("container", "block").agg(F.collect_list("offset").alias("keep"))
-    return store.blocks.filter(F.col("container").isin(containers)).join(runtime.small(keep), ["container", "block"])
+    return _blocks(store.blocks.sparkSession, store.path, files).join(runtime.small(keep), ["container", "block"])
 
 
 def _reader(columns: list[str], schema: pa.Schema):
