@@ -31,7 +31,7 @@ def validate(spark: SparkSession, root: str, fps: float = 45, min_rows: int = 30
     m = _messages(spark, root)
     e = convert.episodes(m)
     seconds = (F.col("t_stop") - F.col("t_start")) / F.lit(1e9)
-    per = segment.bag_summary(e, found.select(F.col("name").alias("bag"), "n_bytes"), seconds, fps, min_rows).join(bags.duration_s(spark, found, m), "bag", "left")
+    per = segment.bag_summary(e, found.select(F.col("name").alias("bag"), "n_bytes"), seconds, fps, min_rows).join(bags.duration_s(spark, root, found, m), "bag", "left")
     topics = m.groupBy("bag").agg(F.array_sort(F.collect_set("topic")).alias("topics"))
     per = per.join(topics, "bag", "left").withColumns({"size": size_text(F.col("n_bytes")), "duration": duration_text(F.col("duration_s"))})
     return per, segment.duration_stats(e, seconds, fps, min_rows)

@@ -41,9 +41,12 @@ def discover(spark: SparkSession, root: str, per_file: bool = False) -> DataFram
     return out.select(F.regexp_extract("dir", r"([^/]*)$", 1).alias("name"), F.col("dir").alias("path"), "bag_file", F.when(F.col("k") == 0, "sqlite3").otherwise("mcap").alias("storage"), "n_bytes").orderBy("path", "bag_file")
 
 
-def duration_s(spark: SparkSession, bags: DataFrame, messages: DataFrame) -> DataFrame:
-    """``bag, duration_s``: as ``metadata.yaml`` tells, else from the first to the last message, 0 if there is none."""
-    meta = spark.read.text([f"{r['path']}/metadata.y*ml" for r in bags.select("path").collect()], wholetext=True).select(F.regexp_extract("_metadata.file_path", r"([^/]*)/[^/]*$", 1).alias("bag"), F.regexp_extract("value", r"duration:\s*\n?\s*nanoseconds:\s*(\d+)", 1).try_cast("long").alias("ns"))
+def duration_s(spark: SparkSession, root: str, bags: DataFrame, messages: DataFrame) -> DataFrame:
+    """``bag, duration_s``: as the bag's ``metadata.yaml`` below ``root`` tells, else from the first to the last message, 0 if there is none."""
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "metadata.y*ml").text(root, wholetext=True)
+    folder = F.regexp_replace(F.regexp_extract(F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")), r"^(.*)/[^/]*$", 1), r"^file:/*", "/")
+    meta = text.select(folder.alias("path"), F.regexp_extract("value", r"duration:\s*\n?\s*nanoseconds:\s*(\d+)", 1).try_cast("long").alias("ns"))
+    meta = bags.join(meta.groupBy("path").agg(F.max("ns").alias("ns")), "path").select(F.col("name").alias("bag"), "ns")
     span = messages.groupBy("bag").agg((F.max("ts_ns") - F.min("ts_ns")).alias("span"))
     j = bags.select(F.col("name").alias("bag")).join(meta, "bag", "left").join(span, "bag", "left")
     return j.select("bag", (F.coalesce("ns", "span", F.lit(0)) / 1e9).alias("duration_s"))
