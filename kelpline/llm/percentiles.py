@@ -19,7 +19,7 @@ from kelpline import runtime
 from kelpline.runtime import drop_scratch, materialize
 
 #: An interval with at most so many rows is resolved by listing them.
-FINISH = 64
+FINISH = 256
 #: The largest finite double, and what makes the logarithm of every positive double positive.
 LARGEST, SHIFT = 1.7976931348623157e308, 745.0
 #: Bins a unit of the logarithm that a histogram has: bins are under 0.4 % wide.
@@ -45,15 +45,16 @@ def _part(x: Column, lo: Column, hi: Column, fanout: int) -> Column:
     return F.when(x < low, 0).when(x > high, fanout + 1).otherwise(F.when(low < high, part).otherwise(1)).cast("int")
 
 
-def _meet(rows: DataFrame, intervals: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """The rows inside an interval of their group, with its ``lo`` and ``hi``; hot groups by a broadcast of bounded size."""
-    i = intervals.select(F.col("grp").alias("i_grp"), "lo", "hi")
-    on = (F.col("grp") == F.col("i_grp")) & F.col("x").between(F.col("lo"), F.col("hi"))
-    if hot is None or runtime.fits(i):
-        return rows.join(runtime.small(i), on).drop("i_grp")
+def _meet(rows: DataFrame, key: str, table: DataFrame, hot: DataFrame, within: Column | None = None) -> DataFrame:
+    """``rows`` joined to ``table`` on ``key``, ``within`` being a further condition; hot keys by a broadcast of bounded size."""
+    t = table.withColumnRenamed(key, "meet_key")
+    on = F.col(key) == F.col("meet_key")
+    on = on if within is None else on & within
+    if runtime.fits(t):
+        return rows.join(F.broadcast(t), on).drop("meet_key")
     hot = F.broadcast(hot)
-    of = lambda how: i.join(hot.withColumnRenamed("grp", "i_grp"), "i_grp", how)
-    return rows.join(F.broadcast(of("left_semi")), on).unionByName(rows.join(hot, "grp", "left_anti").join(of("left_anti"), on)).drop("i_grp")
+    of = lambda how: t.join(hot.withColumnRenamed(key, "meet_key"), "meet_key", how)
+    return rows.join(F.broadcast(of("left_semi")), on).unionByName(rows.join(hot, key, "left_anti").join(of("left_anti"), on)).drop("meet_key")
 
 
 def percentiles(values: DataFrame, groups: list[str], value: str, permille: tuple[int, ...] = (500, 900, 990), fanout: int = 16) -> DataFrame:
@@ -65,38 +66,46 @@ def percentiles(values: DataFrame, groups: list[str], value: str, permille: tupl
     """
     x = F.col(value).cast("double")
     rows = materialize(values.select(F.struct(*groups).alias("grp"), (x + F.lit(0.0)).alias("x")).filter("x is not null and not isnan(x)"), "values")
-    first = materialize(rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")), "groups")
+    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    # groups go by a number from here on; it is written, so it stays
+    first = materialize(sizes.withColumn("gid", F.monotonically_increasing_id()), "groups")
     total = first.agg(F.sum("n").alias("n")).first()["n"] or 0
-    hot = first.filter((F.col("n") * runtime.HOT >= total) & (F.col("n") > FINISH)).select("grp")  # at most HOT groups
+    hot = first.filter((F.col("n") * runtime.HOT >= total) & (F.col("n") > FINISH))  # at most HOT groups
+    keyed = materialize(_meet(rows, "grp", first.select("grp", "gid", "n"), hot.select("grp")).select("gid", "n", "x"), "values")
+    drop_scratch(rows)
+    hot = hot.select("gid")
     rank = F.greatest(F.lit(1).cast("long"), F.expr("(n * permille + 999) div 1000"))
-    state = first.withColumn("permille", F.explode(F.array(*map(F.lit, permille)))).select("grp", "permille", "n", rank.alias("rank"), "lo", "hi", F.col("n").alias("inside"))
-    done, rows_in = [], rows
+    asked = F.explode(F.array(*map(F.lit, permille))).alias("permille")
+    inside_ = F.col("x").between(F.col("lo"), F.col("hi"))
+    small = keyed.filter(F.col("n") <= FINISH).groupBy("gid").agg(F.array_sort(F.collect_list("x")).alias("xs"), F.first("n").alias("n")).select("gid", "n", "xs", asked)
+    done = [materialize(small.select("gid", "permille", F.element_at("xs", rank.cast("int")).alias("value")), "listed")]
+    state = first.filter(F.col("n") > FINISH).select("gid", "n", "lo", "hi", asked).select("gid", "permille", rank.alias("rank"), "lo", "hi", F.col("n").alias("inside"))
+    rows_in, old = keyed.filter(F.col("n") > FINISH).select("gid", "x"), None
     for _ in range(100):
-        done.append(state.filter("lo = hi").select("grp", "permille", "n", F.col("lo").alias("value")))
-        few, many = state.filter(f"lo < hi and inside <= {FINISH}"), state.filter(f"lo < hi and inside > {FINISH}")
-        listed = _meet(rows_in, few.select("grp", "lo", "hi").distinct(), hot).groupBy("grp", "lo").agg(F.array_sort(F.collect_list("x")).alias("xs"))
-        listed = few.join(listed.select(F.col("grp").alias("l_grp"), F.col("lo").alias("l_lo"), "xs"), (F.col("grp") == F.col("l_grp")) & (F.col("lo") == F.col("l_lo")))
-        done.append(materialize(listed.select("grp", "permille", "n", F.element_at("xs", F.col("rank").cast("int")).alias("value")), "listed"))
-        if not many.limit(1).count():
+        if not state.limit(1).count():
             break
-        inside = materialize(_meet(rows_in, many.select("grp", "lo", "hi").distinct(), hot), "inside")
-        counts = inside.groupBy("grp", "lo", _part(F.col("x"), F.col("lo"), F.col("hi"), fanout).alias("part")).agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("least"), F.max("x").alias("most"))
-        parts = counts.groupBy("grp", "lo").agg(F.array_sort(F.collect_list(F.struct("part", "m", "least", "most"))).alias("parts"))  # at most fanout + 2
-        j = many.join(parts.select(F.col("grp").alias("p_grp"), F.col("lo").alias("p_lo"), "parts"), (F.col("grp") == F.col("p_grp")) & (F.col("lo") == F.col("p_lo")))
+        done.append(state.filter("lo = hi").select("gid", "permille", F.col("lo").alias("value")))
+        few, many = state.filter(f"lo < hi and inside <= {FINISH}"), state.filter(f"lo < hi and inside > {FINISH}")
+        listed = _meet(rows_in, "gid", few.select("gid", "lo", "hi").distinct(), hot, inside_).groupBy("gid", "lo").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+        done.append(materialize(few.join(listed, ["gid", "lo"]).select("gid", "permille", F.element_at("xs", F.col("rank").cast("int")).alias("value")), "listed"))
+        inside = materialize(_meet(rows_in, "gid", many.select("gid", "lo", "hi").distinct(), hot, inside_), "inside")
+        counts = inside.groupBy("gid", "lo", _part(F.col("x"), F.col("lo"), F.col("hi"), fanout).alias("part")).agg(F.count(F.lit(1)).alias("m"), F.min("x").alias("least"), F.max("x").alias("most"))
+        parts = counts.groupBy("gid", "lo").agg(F.array_sort(F.collect_list(F.struct("part", "m", "least", "most"))).alias("parts"))  # at most fanout + 2
         zero = F.struct(F.lit(0).cast("long").alias("below"), F.lit(None).cast("double").alias("least"), F.lit(None).cast("double").alias("most"), F.lit(0).cast("long").alias("m"))
         take = lambda a, p: (
             F.when(a["least"].isNotNull(), a)
             .when(a["below"] + p["m"] >= F.col("rank"), F.struct(a["below"].alias("below"), p["least"].alias("least"), p["most"].alias("most"), p["m"].alias("m")))
             .otherwise(F.struct((a["below"] + p["m"]).alias("below"), a["least"].alias("least"), a["most"].alias("most"), a["m"].alias("m")))
         )
-        j = j.withColumn("to", F.aggregate("parts", zero, take))
-        state = materialize(j.select("grp", "permille", "n", (F.col("rank") - F.col("to.below")).alias("rank"), F.col("to.least").alias("lo"), F.col("to.most").alias("hi"), F.col("to.m").alias("inside")), "state")
-        if rows_in is not rows:
+        j = many.join(parts, ["gid", "lo"]).withColumn("to", F.aggregate("parts", zero, take))
+        state = materialize(j.select("gid", "permille", (F.col("rank") - F.col("to.below")).alias("rank"), F.col("to.least").alias("lo"), F.col("to.most").alias("hi"), F.col("to.m").alias("inside")), "state")
+        if old is not None:
             drop_scratch(old)
-        old, rows_in = inside, inside.select("grp", "x")
+        old, rows_in = inside, inside.select("gid", "x")
     else:
         raise RuntimeError("intervals are still open after 100 passes")
-    return reduce(DataFrame.unionByName, done).select(*[F.col(f"grp.{c}").alias(c) for c in groups], "permille", "n", "value")
+    found = reduce(DataFrame.unionByName, done).join(runtime.small(first.select("gid", "grp", "n")), "gid")
+    return found.select(*[F.col(f"grp.{c}").alias(c) for c in groups], "permille", "n", "value")
 
 
 def histogram(values: DataFrame, groups: list[str], value: str) -> DataFrame:
