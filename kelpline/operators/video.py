@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,10 +29,29 @@ def first_picture_type(data: bytes | None) -> int | None:
     return next((k for k in kinds if k < 32), None)
 
 
-@F.pandas_udf(T.BooleanType())
-def is_keyframe(data: pd.Series) -> pd.Series:
+def first_picture_types(data: pa.Array) -> np.ndarray:
+    """:func:`first_picture_type` of a whole batch in one pass over its bytes; -1 for none."""
+    data = data.cast(pa.large_binary())
+    out = np.full(len(data), -1, np.int64)
+    if not len(data):
+        return out
+    ends = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1]
+    bytes_ = np.frombuffer(data.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    at = np.flatnonzero((bytes_[:-3] == 0) & (bytes_[1:-2] == 0) & (bytes_[2:-1] == 1)) if len(bytes_) > 3 else np.empty(0, np.int64)
+    kind = (bytes_[at + 3] >> 1) & 63
+    row = np.searchsorted(ends, at, "right") - 1
+    ok = (kind < 32) & (at + 3 < ends[row + 1])
+    row, first = np.unique(row[ok], return_index=True)
+    out[row] = kind[ok][first]
+    out[data.is_null().to_numpy(zero_copy_only=False)] = -1
+    return out
+
+
+@F.arrow_udf(T.BooleanType())
+def is_keyframe(data: pa.Array) -> pa.Array:
     """Whether the first picture unit is of type 19 or 20; null and empty packets are not."""
-    return data.map(lambda d: first_picture_type(d) in (19, 20))
+    return pa.array(np.isin(first_picture_types(data), (19, 20)))
 
 
 def picture_groups(packets: DataFrame, keyframe: str = "keyframe", keys: tuple[str, ...] = ("bag", "topic")) -> DataFrame:

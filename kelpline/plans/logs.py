@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import struct
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline.functions.formats import codec
 from kelpline.operators import convert, datasets, order, sample, segment, steps, video
-from kelpline.runtime import materialize, read
+from kelpline.runtime import materialize, read, scratch_path, shared_dir
+from kelpline.streaming import live
 
 #: Sampling period and offset in microseconds, and the period in seconds.
 PERIOD, OFFSET, SECONDS = 43_200_000_000, 21_600_000_000, 43_200.0
@@ -257,6 +259,46 @@ def require_topics(spark, d):
     return convert.with_cameras(events(spark, d), {"left": "view", "right": "click", "head": "signup"}).select("bag").distinct()
 
 
+def _streamed(spark: SparkSession, batch: DataFrame, run, mode: str = "append") -> DataFrame:
+    """The result of a streaming plan over ``batch``, written as files and read as a stream to its end."""
+    top = scratch_path(spark, f"{shared_dir(spark)}/kelpline-live-{uuid.uuid4().hex}")
+    batch.write.parquet(f"{top}/in")
+    out = run(spark.readStream.schema(batch.schema).parquet(f"{top}/in"))
+    sink = out.writeStream.outputMode(mode).option("checkpointLocation", f"{top}/state").trigger(availableNow=True)
+    if mode == "append":
+        q = sink.format("parquet").option("path", f"{top}/out").start()
+    else:
+        q = sink.foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{top}/out")).start()
+    q.awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{top}/out")
+
+
+def _live(spark, d):
+    m = joystick(messages(spark, d))
+    return m.select(F.col("bag").cast("string").alias("bag"), "seq", "t", "topic", "value", "k", "buttons")
+
+
+def live_segments(spark, d):
+    """Episodes as a stream closes them."""
+    return _streamed(spark, _live(spark, d), live.live_episodes).drop("n_late")
+
+
+def live_ticks(spark, d):
+    """Grid rows as a stream gives them when their episode stops."""
+    return _streamed(spark, _live(spark, d), lambda m: live.live_grid(m, PERIOD, OFFSET, 1))
+
+
+def live_buffers(spark, d):
+    """The packets of each episode out of a stream's rings and buffers."""
+    m = _live(spark, d).withColumn("keyframe", F.when(F.col("topic").isin(CAMERAS), F.coalesce(F.col("k") % 10 == 0, F.lit(False))))
+    return _streamed(spark, m, live.live_packets)
+
+
+def live_values(spark, d):
+    """The latest value of every topic of every log at a stream's end."""
+    return _streamed(spark, _live(spark, d).select("bag", "topic", "seq", "value"), lambda m: live.live_latest(m, "value"), "complete")
+
+
 def first_calibration(spark, d):
     return steps.first_calibration(messages(spark, d).select("bag", F.col("topic").alias("camera"), "seq", "value", "k"))
 
@@ -277,7 +319,7 @@ def change_events(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     episode_frames, edge_detect, episode_segments, episode_validate_bags, episode_validate_stats, messages_in_episodes, grid_ticks, episode_numbers, conversion_summary, time_gaps, asof_latest, gop_islands, episode_packets,
-    shown_packets, needed_packets, converted_frames, camera_sizes, crop_boxes, camera_topics, camera_defaults, pts_monotone, pts_clock, keyframes, rlds_steps, rlds_nested, topic_catalog, topic_union, require_topics, first_calibration, dedupe_first, whole_bag, change_events,
+    live_segments, live_ticks, live_buffers, live_values, shown_packets, needed_packets, converted_frames, camera_sizes, crop_boxes, camera_topics, camera_defaults, pts_monotone, pts_clock, keyframes, rlds_steps, rlds_nested, topic_catalog, topic_union, require_topics, first_calibration, dedupe_first, whole_bag, change_events,
 )}
 
 _M = """
@@ -349,10 +391,20 @@ y as (select z.*, (select max(q.seq) from q where q.bag = z.bag and q.topic = z.
 select ep.bag, ep.x_seq, q.topic, q.seq from ep join q on ep.bag = q.bag and q.seq >= ep.x_seq and q.seq < ep.y_seq
 union all
 select y.bag, y.x_seq, q.topic, q.seq from y join q on q.bag = y.bag and q.topic = y.topic and q.seq >= y.tail and q.seq < y.x_seq""",
+    "live_buffers": _M + """
+, q as (select bag, topic, seq, k % 10 = 0 as keyframe, row_number() over (partition by bag, topic order by seq) as nr from m where topic in ('view', 'click')),
+z as (select ep.bag, ep.x_seq, q.topic, max(q.nr) as last_nr from ep join q on ep.bag = q.bag and q.seq < ep.x_seq group by all),
+y as (select z.*, (select max(q.seq) from q where q.bag = z.bag and q.topic = z.topic and q.keyframe and q.nr between z.last_nr - 59 and z.last_nr) as tail from z)
+select ep.bag::varchar as bag, ep.x_seq, q.topic, q.seq from ep join q on ep.bag = q.bag and q.seq >= ep.x_seq and q.seq < ep.y_seq
+union all
+select y.bag::varchar, y.x_seq, q.topic, q.seq from y join q on q.bag = y.bag and q.topic = y.topic and q.seq >= y.tail and q.seq < y.x_seq""",
     "shown_packets": _M + """
 , k as (select bag, x_seq, tick, t_start + (tick + 1) * 43200000000 as t, topic from g, (select unnest(['view', 'click']) as topic))
 select k.bag, k.x_seq, k.tick, k.topic, i.seq as packet_seq, k.t - i.t as staleness_us
 from k asof left join (select * from i where topic in ('view', 'click')) i on k.bag = i.bag and k.x_seq = i.x_seq and k.topic = i.topic and k.t >= i.t""",
+    "live_segments": _M + "select bag::varchar as bag, x_seq, y_seq, t_start, t_stop from ep",
+    "live_ticks": _M + "select bag::varchar as bag, x_seq, tick, state_seq, action_seq from g",
+    "live_values": _M + "select bag::varchar as bag, topic, max(seq) as seq, arg_max_null(value, seq) as value from m group by 1, 2",
     "needed_packets": _M + """
 , k as (select bag, x_seq, tick, t_start + (tick + 1) * 43200000000 as t, topic from g, (select unnest(['view', 'click']) as topic))
 select distinct k.bag, k.x_seq, k.topic, i.seq

@@ -317,7 +317,15 @@ def test_shards(spark, tmp_path):
 
 
 def test_keyframes():
-    from kelpline.operators.video import first_picture_type
+    import random
+
+    import pyarrow as pa
+
+    from kelpline.operators.video import first_picture_type, first_picture_types
 
     assert first_picture_type(b"\0\0\1\x26x") == 19 and first_picture_type(b"\0\0\0\1\x40\0\0\1\x02") == 1
     assert first_picture_type(None) is None and first_picture_type(b"") is None and first_picture_type(b"\0\0\1") is None and first_picture_type(b"\0\0\1\x40") is None
+    rnd = random.Random(3)
+    data = [None if rnd.random() < 0.1 else bytes(rnd.choice([0, 0, 0, 1, 1, 0x26, 0x28, 0x42, 0x02]) for _ in range(rnd.randint(0, 14))) for _ in range(3000)]
+    for batch in (pa.array(data, pa.binary()), pa.array(data, pa.binary()).slice(100, 2000), pa.array([], pa.binary()), pa.array([None, b""], pa.binary())):
+        assert [None if k < 0 else k for k in first_picture_types(batch)] == [first_picture_type(x) for x in batch.to_pylist()]
