@@ -166,6 +166,12 @@ class Latent:
         e = (q @ u)[:, :dimensions]
         self.terms = (e / np.maximum(np.linalg.norm(e, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
+    @classmethod
+    def of(cls, at: dict[str, int], idf: np.ndarray, terms_: np.ndarray) -> Latent:
+        out = cls.__new__(cls)
+        out.at, out.idf, out.terms = at, idf, terms_
+        return out
+
     def vector(self, terms_: list[str]) -> np.ndarray | None:
         """The normalised vector of a passage's terms; None if none is known."""
         at = [self.at[t] for t in terms_ if t in self.at]
@@ -256,6 +262,14 @@ class Tree:
     def empty(self) -> bool:
         return self.latent is None
 
+    def plain(self) -> tuple:
+        """What workers need, in types that they know without this package (broadcast values are pickled by name)."""
+        return self.weights, self.passing, self.latent.at, self.latent.idf, self.latent.terms, self.centres
+
+    @classmethod
+    def of(cls, weights: dict, passing: set, at: dict, idf: np.ndarray, terms_: np.ndarray, centres: np.ndarray) -> Tree:
+        return cls([], weights, passing, Latent.of(at, idf, terms_), centres)
+
     def known_terms(self, passage: str) -> list[str]:
         """The discriminative terms of a passage; none if together they say too little, or if it is a passing mention."""
         found = terms(passage)
@@ -317,7 +331,7 @@ def learn(documents: DataFrame, labels: DataFrame, subjects: list[int], max_labe
 
 def _descender(shared, id_at: int, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree: Tree = shared.value
+        tree = Tree.of(*shared.value)
         known: dict[str, int | None] = {}
 
         def leaf(p: str) -> int | None:
@@ -345,7 +359,7 @@ def _descender(shared, id_at: int, text_at: int):
 def document_leaves(documents: DataFrame, tree: Tree) -> DataFrame:
     """``doc_id, leaf, n``: how many passages of each row's text fall into each leaf."""
     docs = documents.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+    shared = docs.sparkSession.sparkContext.broadcast(tree.plain())
     return docs.mapInArrow(_descender(shared, 0, 1), "doc_id long, leaf int, n long")
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import datetime as dt
+import pickle
 import random
 
 import pytest
@@ -246,6 +247,7 @@ def test_subjects_held_out(spark):
     # the tree decides: with a single leaf, or with the mixtures of other leaves, the subjects are lost
     off = {(r["doc_id"], r["subject_id"]) for r in subjects.classify(df, lab, sub, leaves=1)[0].collect() if r["doc_id"] >= 450}
     assert len(off & want) < 0.7 * len(want) or len(off & want) < 0.7 * len(off)
+    assert b"kelpline" not in pickle.dumps(subjects.learn(df, lab, [1, 2, 3]).plain())  # workers need not have the package
     few = subjects.classify(df, lab, sub, max_labelled=200, max_chars=20_000)[0].count()  # a smaller sample, all documents
     assert few > 0.9 * len({(r["doc_id"], r["subject_id"]) for r in found.collect()})
     none, tree = subjects.classify(df, lab.filter("false"), sub)
